@@ -16,7 +16,8 @@ def parse_timestamp(value: str | Column, fmt: str | None = None, strict: bool =
     if fmt is None:
         parsed = x.try_cast("timestamp_ntz")
     else:
-        parsed = F.try_to_timestamp(x, F.lit(fmt)).cast("timestamp_ntz")
+        valid = F.try_to_timestamp(x, F.lit(fmt)).isNotNull()
+        parsed = F.when(valid, F.to_timestamp_ntz(x, F.lit(fmt)))
     if not strict:
         return parsed
     failure = F.raise_error(F.concat(F.lit("not a timestamp: "), x.cast("string")))
