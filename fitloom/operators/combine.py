@@ -19,9 +19,14 @@ def _names(on: str | Sequence[str]) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
-def _row_hash(df: DataFrame) -> Column:
-    hashable = [quoted(f.name) for f in df.schema if "map<" not in f.dataType.simpleString()]
-    return F.xxhash64(*hashable)
+def _row_hash(df: DataFrame, spread_by: str | Sequence[str] | None) -> Column:
+    """A hash that scatters rows and is the same when a lost task runs again.
+
+    Naming the row key in ``spread_by`` keeps the scan from reading every column.
+    """
+    if spread_by is not None:
+        return F.xxhash64(*[quoted(c) for c in _names(spread_by)])
+    return F.xxhash64(*[quoted(f.name) for f in df.schema if "map<" not in f.dataType.simpleString()])
 
 
 def _is_any(on: Sequence[str], keys: Sequence[tuple]) -> Column:
@@ -35,6 +40,7 @@ def inner_join(
     on: str | Sequence[str],
     null_safe: bool = False,
     hot_keys: Sequence[tuple] | None = None,
+    spread_by: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """Many-to-one inner join; the key appears once.
 
@@ -49,7 +55,7 @@ def inner_join(
         hot = [k for k in hot if None not in k]
     pairs = list(keys)
     if hot:
-        salt = F.when(_is_any(keys, hot), F.pmod(_row_hash(left), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
+        salt = F.when(_is_any(keys, hot), F.pmod(_row_hash(left, spread_by), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
         copies = F.when(_is_any(keys, hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
         left = left.withColumn("_salt", salt)
         right = right.withColumn("_salt", F.explode(copies))
@@ -68,6 +74,7 @@ def lookup(
     out: str,
     hot: DataFrame | None = None,
     small: bool = False,
+    spread_by: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """Add ``out``, the dictionary's ``code`` for each value; unmatched rows get NULL.
 
@@ -81,7 +88,7 @@ def lookup(
     if small:
         found = df.withColumn("_text", text).join(F.broadcast(entries), F.col("_text") == F.col("_value"), "left")
         return found.withColumn(out, F.col("_code")).drop("_text", "_value", "_code")
-    spread = F.pmod(_row_hash(df), F.lit(1 << 20)).cast("string")
+    spread = F.pmod(_row_hash(df, spread_by), F.lit(1 << 20)).cast("string")
     tagged = df.withColumns({"_text": text, "_spread": spread})
     if hot is not None:
         first = hot.select(F.col("value").alias("_hot_value"), F.col("code").alias("_hot_code"))

@@ -18,6 +18,7 @@ def build_session(app: str = "fitloom", cores: str | int = "*", **conf: str) ->
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
     )
@@ -52,15 +53,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return "/".join([shared_dir(spark), "fitloom", f"{name}-{uuid.uuid4().hex}"])
 
 
+def write_table(df: DataFrame, name: str) -> str:
+    """Write ``df`` as an intermediate table and return its path."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return path
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     The written table survives lost executors, ends the lineage, and gives the
     optimizer real sizes, so a later join can decide on a broadcast by itself.
     """
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(write_table(df, name))
 
 
 def available_cores(default: int = 8) -> int:
