@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .columns import quoted
-from .stats import frequent_keys
+from .stats import frequent_key_hashes, key_hash64
 
 # Pieces a hot key is cut into.
 SALTS = 64
@@ -29,34 +29,31 @@ def _row_hash(df: DataFrame, spread_by: str | Sequence[str] | None) -> Column:
     return F.xxhash64(*[quoted(f.name) for f in df.schema if "map<" not in f.dataType.simpleString()])
 
 
-def _is_any(on: Sequence[str], keys: Sequence[tuple]) -> Column:
-    each = [reduce(lambda a, b: a & b, [quoted(c).eqNullSafe(F.lit(v)) for c, v in zip(on, k)]) for k in keys]
-    return reduce(lambda a, b: a | b, each)
-
-
 def inner_join(
     left: DataFrame,
     right: DataFrame,
     on: str | Sequence[str],
     null_safe: bool = False,
-    hot_keys: Sequence[tuple] | None = None,
+    hot: Sequence[int] | None = None,
     spread_by: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """Many-to-one inner join; the key appears once.
 
-    With ``null_safe`` missing keys match each other. Keys that hold over a percent
-    of the left rows (measured, unless given) are spread over ``SALTS`` pieces, and
-    only their few right rows are repeated once per piece. The optimizer stays free
-    to broadcast the right side when its size allows.
+    With ``null_safe`` missing keys match each other. Left keys that hold a large share
+    of the rows are spread over ``SALTS`` pieces, and only their few right rows are
+    repeated once per piece. Those keys are measured; pass ``hot=[]`` where the left key
+    is known to be unique. The optimizer stays free to broadcast the right side when
+    its size allows.
     """
     keys = _names(on)
-    hot = frequent_keys(left, keys) if hot_keys is None else list(hot_keys)
-    if not null_safe:
-        hot = [k for k in hot if None not in k]
+    if hot is None:
+        hot = frequent_key_hashes(left, keys)
     pairs = list(keys)
     if hot:
-        salt = F.when(_is_any(keys, hot), F.pmod(_row_hash(left, spread_by), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
-        copies = F.when(_is_any(keys, hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+        hot_left = key_hash64(left, keys).isin(list(hot))
+        hot_right = key_hash64(right, keys, like=left).isin(list(hot))
+        salt = F.when(hot_left, F.pmod(_row_hash(left, spread_by), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
+        copies = F.when(hot_right, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
         left = left.withColumn("_salt", salt)
         right = right.withColumn("_salt", F.explode(copies))
         pairs.append("_salt")

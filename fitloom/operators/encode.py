@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 
 from ..session import materialise, write_table
 from . import stats
-from .columns import quoted
+from .columns import columns_of_type, is_missing, quoted
 from .combine import as_text, lookup
 
 # A dictionary up to this size is kept inside the fitted stage and broadcast.
@@ -133,7 +133,7 @@ class ImputeModel(_Fitted, DefaultParamsReadable, DefaultParamsWritable):
 
 
 class MissingIndicator(Transformer, _Columns, DefaultParamsReadable, DefaultParamsWritable):
-    """Add ``<column>_missing`` (0/1), so trees can still see what was imputed."""
+    """Add ``<column>_missing`` (0/1), so a model can still see what was imputed."""
 
     @keyword_only
     def __init__(self, *, inputCols: list[str] | None = None):
@@ -141,7 +141,34 @@ class MissingIndicator(Transformer, _Columns, DefaultParamsReadable, DefaultPara
         self._set(**self._input_kwargs)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return dataset.withColumns({f"{c}_missing": quoted(c).isNull().cast("int") for c in self.columns()})
+        return dataset.withColumns({f"{c}_missing": is_missing(c) for c in self.columns()})
+
+
+class FillNumbers(Estimator, DefaultParamsReadable, DefaultParamsWritable):
+    """Complete all numeric columns but the excluded ones for a model that takes no NULL.
+
+    A column with missing values in the fitted table gets an indicator and its median;
+    any other, such as the code of a value never seen, gets 0.
+    """
+
+    exclude = Param(Params._dummy(), "exclude", "keys and targets", TypeConverters.toListString)
+
+    @keyword_only
+    def __init__(self, *, exclude: list[str] | None = None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        excluded = set(self.getOrDefault(self.exclude))
+        names = [c for c in columns_of_type(dataset, include="number") if c not in excluded]
+        gaps = []
+        if names:
+            row = dataset.agg(*[F.count(F.when(quoted(c).isNull(), 1)).alias(c) for c in names]).first()
+            gaps = [c for c in names if row[c]]
+        fill: dict[str, object] = {c: 0 for c in names}
+        if gaps:
+            fill |= stats.medians(dataset, gaps)
+        return PipelineModel([MissingIndicator(inputCols=gaps), ImputeModel.of(names, fill)])
 
 
 # --- dictionaries ----------------------------------------------------------------

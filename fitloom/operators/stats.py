@@ -196,22 +196,27 @@ def class_shares(df: DataFrame, label: str) -> DataFrame:
     )
 
 
-def frequent_keys(df: DataFrame, on: Sequence[str], share: float = 0.01) -> list[tuple]:
-    """Every key that holds more than ``share`` of the rows; at most 1/share of them.
+def key_hash64(df: DataFrame, on: Sequence[str], like: DataFrame | None = None) -> Column:
+    """A 64-bit hash of the key; ``like`` gives the types to hash, so that two tables agree."""
+    parts = []
+    for c in on:
+        x = quoted(c)
+        if like is not None and like.schema[c].dataType != df.schema[c].dataType:
+            x = x.try_cast(like.schema[c].dataType)
+        parts.append(x)
+    return F.xxhash64(*parts)
+
 
-    A heavy-hitter sketch gives a superset in one pass without shuffling keys; the
-    second pass counts just those candidates.
+def frequent_key_hashes(df: DataFrame, on: Sequence[str], share: float = 0.01, least: int = 100_000) -> list[int]:
+    """Hashes of every key with over ``share`` of the rows and at least ``least`` of them.
+
+    There are at most 1/share. A heavy-hitter sketch gives a superset in one pass that
+    shuffles no keys; a second pass counts just those candidates.
     """
-    keys = df.select(F.struct(*[quoted(c) for c in on]).alias("k"))
-    candidates = keys.stat.freqItems(["k"], share).first()[0]
+    hashes = df.select(key_hash64(df, on).alias("h"))
+    candidates = hashes.stat.freqItems(["h"], share).first()[0]
     if not candidates:
         return []
-    # Null-safe comparison, because a key column may be NULL on the hot rows.
-    any_candidate = reduce(
-        lambda a, b: a | b,
-        [reduce(lambda a, b: a & b, [F.col(f"k.`{c}`").eqNullSafe(F.lit(k[c])) for c in on]) for k in candidates],
-    )
-    counted = keys.groupBy(F.when(any_candidate, F.col("k")).alias("k")).count().collect()
+    counted = hashes.groupBy(F.when(F.col("h").isin(candidates), F.col("h")).alias("h")).count().collect()
     rows = sum(r["count"] for r in counted)
-    hot = [r["k"] for r in counted if r["k"] is not None and r["count"] > share * rows]
-    return sorted((tuple(k[c] for c in on) for k in hot), key=repr)
+    return sorted(r["h"] for r in counted if r["h"] is not None and r["count"] >= max(least, share * rows))

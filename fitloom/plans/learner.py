@@ -9,11 +9,13 @@ The plan is a thin layer over ``pyspark.ml.Pipeline``; all tables stay lazy Data
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
+from pyspark import StorageLevel, inheritable_thread_target
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -135,12 +137,21 @@ class Learner:
 
     plan: FeaturePlan
 
-    def fit(self, raw: DataFrame | None = None, features: DataFrame | None = None) -> FittedLearner:
+    def fit(
+        self,
+        raw: DataFrame | None = None,
+        features: DataFrame | None = None,
+        stage_rows: DataFrame | None = None,
+    ) -> FittedLearner:
         """Fit all stages and models on the given rows.
 
-        The model matrix is spread over a fixed number of partitions by key hash and
-        sorted by key within them, so the result does not depend on the layout of the
-        input. It is stored once and shared by the models of all targets.
+        ``stage_rows`` lets the stages, but not the models, see other rows than the
+        training ones; leave it out to keep every statistic inside the training rows.
+
+        The model matrix is spread over a fixed number of partitions by row hash and
+        sorted within them, so the result does not depend on the layout of the input
+        and a key held by many rows crowds no partition. It is stored once and shared
+        by the models of all targets.
         """
         plan = self.plan
         table = drop_columns(_at_mark(plan.prepare, raw, features), plan.drop, missing_ok=True)
@@ -149,18 +160,19 @@ class Learner:
             raise KeyError(f"no such column: {absent}")
         table, labels, texts = _with_labels(table, plan)
         exclude = [*plan.keys, *plan.targets, *plan.keep, *labels.values()]
-        preparation = Pipeline(stages=[*plan.stages, FeatureVector(exclude=exclude)]).fit(table)
+        seen = table if stage_rows is None else drop_columns(stage_rows, plan.drop, missing_ok=True)
+        preparation = Pipeline(stages=[*plan.stages, FeatureVector(exclude=exclude)]).fit(seen)
         keys = [quoted(k) for k in plan.keys]
         matrix = preparation.transform(table).select(*keys, *[quoted(c) for c in labels.values()], "features")
-        partitions = plan.partitions or table.sparkSession.sparkContext.defaultParallelism
-        matrix = matrix.repartition(partitions, F.xxhash64(*keys)).sortWithinPartitions(*keys)
+        partitions = plan.partitions or _training_partitions(table)
+        row_hash = F.xxhash64(*keys, "features")
+        matrix = matrix.repartition(partitions, row_hash).sortWithinPartitions(*keys, row_hash)
         shared_dir(table.sparkSession)
         matrix = matrix.persist(StorageLevel.MEMORY_AND_DISK)
         stages: list[Transformer] = list(preparation.stages)
         binary = []
         try:
-            for target, estimator in plan.models.items():
-                model = _wired(estimator, target, labels[target]).fit(matrix)
+            for target, model in _fit_models(plan, labels, matrix).items():
                 stages += [model, _on_target_scale(target, plan.target_transform, texts.get(target))]
                 if getattr(model, "numClasses", 0) == 2:
                     binary.append(target)
@@ -171,6 +183,25 @@ class Learner:
         )
 
 
+def _training_partitions(table: DataFrame) -> int:
+    """Small matrices in few partitions, large ones in pieces that fit a task's memory."""
+    rows = table.count()
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(cores, math.ceil(rows / 20_000)), math.ceil(rows / 2_000_000))
+
+
+def _fit_models(plan: FeaturePlan, labels: dict[str, str], matrix: DataFrame) -> dict[str, Model]:
+    """Fit the model of every target on the same stored matrix, all at once.
+
+    Tree training is a chain of short jobs; the chains of several targets fill the
+    cluster better side by side.
+    """
+    jobs = {t: inheritable_thread_target(_wired(m, t, labels[t]).fit) for t, m in plan.models.items()}
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        running = {t: pool.submit(job, matrix) for t, job in jobs.items()}
+        return {t: future.result() for t, future in running.items()}
+
+
 def _with_labels(table: DataFrame, plan: FeaturePlan) -> tuple[DataFrame, dict[str, str], dict[str, list[str]]]:
     """Add one numeric label column per target; text classes are numbered in sorted order."""
     labels = {t: f"_label_{t}" for t in plan.targets}

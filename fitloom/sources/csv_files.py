@@ -160,10 +160,8 @@ def read_csv(
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write the table as a folder of CSV files with a header and no row index."""
-    df.write.mode(mode).csv(
-        path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
-        timestampNTZFormat="yyyy-MM-dd HH:mm:ss[.SSSSSS]",
-    )
+    writer = df.write.mode(mode).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+    writer.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 
 def submission(scored: DataFrame, key: str | Sequence[str], outputs: Mapping[str, str | Column]) -> DataFrame:
