@@ -1,0 +1,72 @@
+import datetime
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from fitloom.functions import (
+    checked_ln,
+    checked_log1p,
+    checked_sqrt,
+    cyclic,
+    nan_to_null,
+    parse_timestamp,
+    strip_line_ends,
+    text_length,
+    with_calendar,
+)
+
+
+def one(df):
+    return df.first()[0]
+
+
+def values(df, column):
+    return [r[0] for r in df.select(column).collect()]
+
+
+def test_month_is_cyclic_from_january(spark):
+    df = spark.createDataFrame([(m,) for m in (1, 4, 7, 10)], "m int")
+    sine, _ = cyclic("m", 12, offset=1)
+    assert values(df, F.round(sine, 9)) == [0.0, 1.0, 0.0, -1.0]
+
+
+def test_weekday_starts_on_monday(spark):
+    days = [(datetime.datetime(2024, 1, 1), 1), (datetime.datetime(2024, 1, 7, 23), 0)]
+    df = with_calendar(spark.createDataFrame(days, "ts timestamp_ntz, workingday int"), "ts")
+    rows = df.select("day_of_week", "hour", "hour_workingday_interaction").collect()
+    assert [tuple(r) for r in rows] == [(0, 0, 0), (6, 23, 0)]
+
+
+@pytest.mark.parametrize("fn, bad, good", [(checked_log1p, -1.0, 0.0), (checked_ln, 0.0, 1.0), (checked_sqrt, -1.0, 0.0)])
+def test_values_outside_the_domain_fail(spark, fn, bad, good):
+    schema = "x double"
+    assert one(spark.createDataFrame([(good,)], schema).select(fn("x"))) == 0.0
+    assert one(spark.createDataFrame([(None,)], schema).select(fn("x"))) is None
+    with pytest.raises(Exception, match="outside its domain"):
+        spark.createDataFrame([(bad,)], schema).select(fn("x")).collect()
+
+
+def test_timestamps_strict_and_lenient(spark):
+    df = spark.createDataFrame([("2011-01-20 05:00:00",), (None,)], "t string")
+    assert values(df, parse_timestamp("t")) == [datetime.datetime(2011, 1, 20, 5), None]
+    assert values(df, parse_timestamp("t", "yyyy-MM-dd HH:mm:ss")) == [datetime.datetime(2011, 1, 20, 5), None]
+    bad = spark.createDataFrame([("xx",)], "t string")
+    assert values(bad, parse_timestamp("t", strict=False)) == [None]
+    assert values(bad, parse_timestamp("t", "yyyy", strict=False)) == [None]
+    with pytest.raises(Exception, match="not a timestamp"):
+        bad.select(parse_timestamp("t")).collect()
+
+
+def test_line_ends_are_stripped_and_kept(spark):
+    df = spark.createDataFrame([("a \nb\t\nc  ",), ("a\r\n\nb \n",), ("",)], "t string")
+    assert values(df, strip_line_ends("t")) == ["a\nb\nc", "a\n\nb\n", ""]
+
+
+def test_length_counts_characters(spark):
+    assert one(spark.createDataFrame([("çé😀",)], "t string").select(text_length("t"))) == 3
+
+
+def test_nan_becomes_null(spark):
+    df = spark.createDataFrame([(math.nan,), (1.0,)], "x double")
+    assert values(df, nan_to_null("x")) == [None, 1.0]
