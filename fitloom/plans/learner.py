@@ -194,12 +194,13 @@ def _fit_models(plan: FeaturePlan, labels: dict[str, str], matrix: DataFrame) ->
     """Fit the model of every target on the same stored matrix, all at once.
 
     Tree training is a chain of short jobs; the chains of several targets fill the
-    cluster better side by side.
+    cluster better side by side. A copy of a model is kept, because the model itself
+    holds on to its training summary and with it to the session.
     """
-    jobs = {t: inheritable_thread_target(_wired(m, t, labels[t]).fit) for t, m in plan.models.items()}
-    with ThreadPoolExecutor(len(jobs)) as pool:
-        running = {t: pool.submit(job, matrix) for t, job in jobs.items()}
-        return {t: future.result() for t, future in running.items()}
+    inherit = inheritable_thread_target(matrix.sparkSession)
+    with ThreadPoolExecutor(len(plan.models)) as pool:
+        running = {t: pool.submit(inherit(_wired(m, t, labels[t]).fit), matrix) for t, m in plan.models.items()}
+        return {t: future.result().copy() for t, future in running.items()}
 
 
 def _with_labels(table: DataFrame, plan: FeaturePlan) -> tuple[DataFrame, dict[str, str], dict[str, list[str]]]:
