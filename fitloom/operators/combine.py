@@ -39,8 +39,8 @@ def inner_join(
 ) -> DataFrame:
     """Many-to-one inner join; the key appears once.
 
-    With ``null_safe`` missing keys match each other. Left keys that hold a large share
-    of the rows are spread over ``SALTS`` pieces, and only their few right rows are
+    With ``null_safe`` missing keys match each other. Left keys that hold over a
+    thousandth of the rows are spread over ``SALTS`` pieces, and only their few right rows are
     repeated once per piece. Those keys are measured; pass ``hot=[]`` where the left key
     is known to be unique. The optimizer stays free to broadcast the right side when
     its size allows.

@@ -38,8 +38,10 @@ from .combine import as_text, lookup
 # A dictionary up to this size is kept inside the fitted stage and broadcast.
 SMALL_ENTRIES = 20_000
 SMALL_BYTES = 4 << 20
-# A value above this share counts as frequent; there are at most 1/share of them.
-HOT_SHARE = 0.001
+# A value above this share counts as frequent. There are at most 1/share of them, and
+# with the length limit their list is at most 40 MB.
+HOT_SHARE = 0.0001
+HOT_LENGTH = 4096
 # Widest one-hot block written out as single expressions.
 MAX_CATEGORIES = 2_000
 
@@ -51,6 +53,13 @@ class _Columns(Params):
         return self.getOrDefault(self.inputCols)
 
 
+class _Spread(Params):
+    spreadBy = Param(
+        Params._dummy(), "spreadBy", "row key, used to scatter rows when a dictionary is too large to broadcast",
+        TypeConverters.toListString,
+    )
+
+
 class _Fitted(Model, _Columns):
     state = Param(Params._dummy(), "state", "fitted values, as plain data", TypeConverters.identity)
 
@@ -204,7 +213,7 @@ def _large_dictionary(counts: DataFrame, kind: str, rows: int) -> dict:
         coded = counts.withColumn("code", F.col("n") / F.lit(float(rows)))
     path = write_table(coded.select(as_text(counts, "value").alias("value"), "code", "n"), "dictionary")
     table = counts.sparkSession.read.parquet(path)
-    hot = table.where(F.col("n") > F.lit(HOT_SHARE * rows)).collect()
+    hot = table.where((F.col("n") > HOT_SHARE * rows) & (F.octet_length("value") <= HOT_LENGTH)).collect()
     return {"table": path, "hot": {"values": [r["value"] for r in hot], "codes": [r["code"] for r in hot]}}
 
 
@@ -249,7 +258,7 @@ def _entries(spark: SparkSession, inline: dict) -> DataFrame:
     return spark.createDataFrame(list(zip(inline["values"], inline["codes"])), _ENTRY)
 
 
-class OrdinalEncode(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWritable):
+class OrdinalEncode(Estimator, _Columns, _Spread, DefaultParamsReadable, DefaultParamsWritable):
     """Replace values by their position in the sorted list of fitted values.
 
     Numbers sort as numbers and text by code point. An unknown value fails, or
@@ -259,26 +268,37 @@ class OrdinalEncode(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWri
     unknown = Param(Params._dummy(), "unknown", "error or null", TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, *, inputCols: list[str] | None = None, unknown: str = "error"):
+    def __init__(
+        self, *, inputCols: list[str] | None = None, unknown: str = "error", spreadBy: list[str] | None = None
+    ):
         super().__init__()
-        self._setDefault(unknown="error")
+        self._setDefault(unknown="error", spreadBy=[])
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> DictionaryModel:
-        state = {"columns": _dictionaries(dataset, self.columns(), "ordinal"), "unknown": self.getOrDefault(self.unknown)}
+        state = {
+            "columns": _dictionaries(dataset, self.columns(), "ordinal"),
+            "unknown": self.getOrDefault(self.unknown),
+            "spread_by": self.getOrDefault(self.spreadBy),
+        }
         return DictionaryModel.of(self.columns(), state)
 
 
-class FrequencyEncode(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWritable):
+class FrequencyEncode(Estimator, _Columns, _Spread, DefaultParamsReadable, DefaultParamsWritable):
     """Replace values by their share among the non-missing fitted rows; unknown is NULL."""
 
     @keyword_only
-    def __init__(self, *, inputCols: list[str] | None = None):
+    def __init__(self, *, inputCols: list[str] | None = None, spreadBy: list[str] | None = None):
         super().__init__()
+        self._setDefault(spreadBy=[])
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> DictionaryModel:
-        state = {"columns": _dictionaries(dataset, self.columns(), "frequency"), "unknown": "null"}
+        state = {
+            "columns": _dictionaries(dataset, self.columns(), "frequency"),
+            "unknown": "null",
+            "spread_by": self.getOrDefault(self.spreadBy),
+        }
         return DictionaryModel.of(self.columns(), state)
 
 
@@ -292,7 +312,8 @@ class DictionaryModel(_Fitted, MLReadable, MLWritable):
         for c, fitted in state["columns"].items():
             if "table" in fitted:
                 table = spark.read.parquet(fitted["table"]).select("value", "code")
-                coded = lookup(dataset, c, table, "_coded", hot=_entries(spark, fitted["hot"]))
+                hot = _entries(spark, fitted["hot"])
+                coded = lookup(dataset, c, table, "_coded", hot=hot, spread_by=state["spread_by"] or None)
             else:
                 coded = lookup(dataset, c, _entries(spark, fitted), "_coded", small=True)
             code = F.col("_coded")
@@ -363,11 +384,7 @@ class OneHotEncode(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWrit
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> OneHotModel:
-        listed: dict[str, list] = {c: [] for c in self.columns()}
-        for group in stats.by_type(dataset, self.columns()).values():
-            counts = materialise(stats.value_counts(dataset, group), "categories")
-            _read_categories(counts, group, listed)
-        return self.model(listed)
+        return self.model(sorted_categories(dataset, self.columns()))
 
     def model(self, listed: dict[str, list]) -> OneHotModel:
         state = {
@@ -385,7 +402,7 @@ def _read_categories(counts: DataFrame, names: Sequence[str], into: dict[str, li
     sizes = _sized(counts.where(F.col("column").isin(list(names))))
     for c in names:
         if c in sizes and sizes[c][0] > MAX_CATEGORIES:
-            raise ValueError(f"column {c} has {sizes[c][0]} categories; use sparse_one_hot or FrequencyEncode")
+            raise ValueError(f"column {c} has {sizes[c][0]} categories; too many to list")
     text = as_text(counts, "value").alias("text")
     found: dict[str, list] = {c: [] for c in names}
     for r in counts.where(F.col("column").isin(list(names))).select("column", "value", text).collect():
@@ -394,6 +411,14 @@ def _read_categories(counts: DataFrame, names: Sequence[str], into: dict[str, li
         into[c] = [r["text"] for r in sorted(found[c], key=lambda r: r["value"])]
 
 
+def sorted_categories(dataset: DataFrame, names: Sequence[str]) -> dict[str, list[str]]:
+    """The categories of several columns in order, read after their number was checked."""
+    listed: dict[str, list] = {c: [] for c in names}
+    for group in stats.by_type(dataset, names).values():
+        _read_categories(materialise(stats.value_counts(dataset, group), "categories"), group, listed)
+    return listed
+
+
 class OneHotModel(_Fitted, DefaultParamsReadable, DefaultParamsWritable):
     def _transform(self, dataset: DataFrame) -> DataFrame:
         state = self.fitted()
@@ -414,7 +439,9 @@ class OneHotModel(_Fitted, DefaultParamsReadable, DefaultParamsWritable):
 def sparse_one_hot(columns: Sequence[str]) -> list[Estimator]:
     """Stages that build sparse ``<column>_onehot`` vectors; unknown and missing are all zeros.
 
-    The indexer gives unseen values one extra last index and the encoder drops it.
+    The indexer gives unseen values one extra last index and the encoder drops it. The
+    fitted values live on the driver, like the width of the vector; for columns wider
+    than that use ``FrequencyEncode``.
     """
     index = StringIndexer(
         inputCols=list(columns),
@@ -428,7 +455,7 @@ def sparse_one_hot(columns: Sequence[str]) -> list[Estimator]:
     return [index, encode, DropColumns(inputCols=[*columns, *[f"{c}_index" for c in columns]])]
 
 
-class RoutedEncode(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWritable):
+class RoutedEncode(Estimator, _Columns, _Spread, DefaultParamsReadable, DefaultParamsWritable):
     """Few distinct values: one-hot. ``threshold`` or more: frequency.
 
     One set of value counts answers both the choice and the encodings. The choice is
@@ -439,9 +466,16 @@ class RoutedEncode(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWrit
     output = Param(Params._dummy(), "output", "columns or vector", TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, *, inputCols: list[str] | None = None, threshold: int = 10, output: str = "columns"):
+    def __init__(
+        self,
+        *,
+        inputCols: list[str] | None = None,
+        threshold: int = 10,
+        output: str = "columns",
+        spreadBy: list[str] | None = None,
+    ):
         super().__init__()
-        self._setDefault(threshold=10, output="columns")
+        self._setDefault(threshold=10, output="columns", spreadBy=[])
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
@@ -462,7 +496,12 @@ class RoutedEncode(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWrit
             encoder = OneHotEncode(inputCols=low, output=self.getOrDefault(self.output))
             stages.append(encoder.model({c: few[c] for c in low}))
         if high:
-            stages.append(DictionaryModel.of(high, {"columns": {c: many[c] for c in high}, "unknown": "null"}))
+            state = {
+                "columns": {c: many[c] for c in high},
+                "unknown": "null",
+                "spread_by": self.getOrDefault(self.spreadBy),
+            }
+            stages.append(DictionaryModel.of(high, state))
         return PipelineModel(stages)
 
 

@@ -207,7 +207,7 @@ def key_hash64(df: DataFrame, on: Sequence[str], like: DataFrame | None = None)
     return F.xxhash64(*parts)
 
 
-def frequent_key_hashes(df: DataFrame, on: Sequence[str], share: float = 0.01, least: int = 100_000) -> list[int]:
+def frequent_key_hashes(df: DataFrame, on: Sequence[str], share: float = 0.001, least: int = 100_000) -> list[int]:
     """Hashes of every key with over ``share`` of the rows and at least ``least`` of them.
 
     There are at most 1/share. A heavy-hitter sketch gives a superset in one pass that

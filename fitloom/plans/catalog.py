@@ -30,7 +30,7 @@ from ..functions import (
 )
 from ..operators import columns as cols
 from ..operators import combine, encode, metrics, stats
-from ..operators.split import exact_split, hash_split
+from ..operators.split import exact_test_rows, hash_split, in_test, with_side
 from ..session import scratch_path
 from ..sources import (
     hashed_integers,
@@ -311,7 +311,7 @@ def join_null_safe(spark: SparkSession, folder: str) -> DataFrame:
 def lookup_map(spark: SparkSession, folder: str) -> DataFrame:
     """Each order mapped to the share of its lines; orders without lines get NULL."""
     lines = table(spark, folder, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
-    mapping = encode.FrequencyEncode(inputCols=["o_orderkey"]).fit(lines)
+    mapping = encode.FrequencyEncode(inputCols=["o_orderkey"], spreadBy=["id"]).fit(lines)
     orders = table(spark, folder, "orders").select("o_orderkey", F.col("o_orderkey").alias("id"))
     return mapping.transform(orders).select("id", F.round("o_orderkey", 12).alias("share"))
 
@@ -466,26 +466,23 @@ def metric_rmsle(spark: SparkSession, folder: str) -> DataFrame:
 # --- splits ---------------------------------------------------------------------------------
 
 
-def _sides(parts) -> DataFrame:
-    test = parts.test.withColumn("side", F.lit("test"))
-    return test.unionByName(parts.train.withColumn("side", F.lit("train")))
-
-
 @query
 def split_hash(spark: SparkSession, folder: str) -> DataFrame:
-    return _sides(hash_split(table(spark, folder, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", 0.2, 42))
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    return with_side(orders, in_test("o_orderkey", 0.2, 42))
 
 
 @query
 def split_exact(spark: SparkSession, folder: str) -> DataFrame:
-    return _sides(exact_split(table(spark, folder, "orders").select("o_orderkey", "o_totalprice"), "o_orderkey", 0.2, 42))
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    return with_side(orders, exact_test_rows(orders, "o_orderkey", 0.2, 42))
 
 
 @query
 def split_by_group(spark: SparkSession, folder: str) -> DataFrame:
     """All lines of an order fall on one side."""
-    lines = table(spark, folder, "lineitem").select(*LINE_KEY)
-    return _sides(hash_split(lines, "l_orderkey", 0.2, 0))
+    parts = hash_split(table(spark, folder, "lineitem").select(*LINE_KEY), "l_orderkey", 0.2, 0)
+    return combine.union_by_name([parts.test.withColumn("side", F.lit("test")), parts.train.withColumn("side", F.lit("train"))])
 
 
 # --- fitted preprocessing ---------------------------------------------------------------------
@@ -583,7 +580,7 @@ def frequency_encode(spark: SparkSession, folder: str) -> DataFrame:
 def frequency_encode_train_only(spark: SparkSession, folder: str) -> DataFrame:
     """Shares of customers among the training orders; customers only seen in test are NULL."""
     orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey")
-    model = encode.FrequencyEncode(inputCols=["o_custkey"]).fit(hash_split(orders, "o_orderkey").train)
+    model = encode.FrequencyEncode(inputCols=["o_custkey"], spreadBy=["o_orderkey"]).fit(hash_split(orders, "o_orderkey").train)
     return rounded(model.transform(orders), ["o_custkey"], 12)
 
 

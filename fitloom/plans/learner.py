@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
-from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexer
+from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import checked_ln, checked_log1p
 from ..operators.columns import drop_columns, quoted
-from ..operators.encode import FeatureVector
+from ..operators.encode import FeatureVector, sorted_categories
 from ..operators.split import Split, exact_split, hash_split
 from ..session import shared_dir
 from ..sources.csv_files import submission
@@ -184,7 +184,10 @@ class Learner:
 
 
 def _training_partitions(table: DataFrame) -> int:
-    """Small matrices in few partitions, large ones in pieces that fit a task's memory."""
+    """Small matrices in few partitions, large ones in pieces that fit a task's memory.
+
+    This counts the rows; a plan with ``partitions`` set saves that pass.
+    """
     rows = table.count()
     cores = table.sparkSession.sparkContext.defaultParallelism
     return max(1, min(cores, math.ceil(rows / 20_000)), math.ceil(rows / 2_000_000))
@@ -209,9 +212,8 @@ def _with_labels(table: DataFrame, plan: FeaturePlan) -> tuple[DataFrame, dict[s
     texts = {}
     for target, label in labels.items():
         if isinstance(table.schema[target].dataType, T.StringType):
-            index = StringIndexer(inputCol=target, outputCol=label, stringOrderType="alphabetAsc").fit(table)
-            texts[target] = list(index.labels)
-            table = index.transform(table)
+            texts[target] = sorted_categories(table, [target])[target]
+            table = StringIndexerModel.from_labels(texts[target], target, label).transform(table)
         elif plan.target_transform:
             forward = TARGET_TRANSFORMS[plan.target_transform][0]
             table = table.withColumn(label, forward(quoted(target).cast("double")))

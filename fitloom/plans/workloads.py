@@ -143,8 +143,8 @@ def categorical_target(
         target=target,
         model=model or boosted_classifier(),
         stages=[
-            OrdinalEncode(inputCols=list(ordinal), unknown="error"),
-            RoutedEncode(inputCols=list(nominal), output="vector"),
+            OrdinalEncode(inputCols=list(ordinal), unknown="error", spreadBy=[key]),
+            RoutedEncode(inputCols=list(nominal), output="vector", spreadBy=[key]),
             FillNumbers(exclude=[key, target, f"_label_{target}"]),
         ],
     )
