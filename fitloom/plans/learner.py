@@ -28,6 +28,7 @@ from ..operators.encode import FeatureVector, sorted_categories
 from ..operators.split import Split, exact_split, hash_split
 from ..session import shared_dir
 from ..sources.csv_files import submission
+from ..sources.preview import preview
 
 # Target transforms and the SQL name of their inverses.
 TARGET_TRANSFORMS: dict[str, tuple[Callable[[Column], Column], str]] = {
@@ -122,6 +123,10 @@ class FeaturePlan:
         """Fit and predict on one raw table: the same plan looked at with other input."""
         return self.make_learner().fit(raw=raw).predict(raw=raw)
 
+    def preview(self, raw: DataFrame, n: int = 100) -> DataFrame:
+        """The plan evaluated on the first ``n`` rows by key. ``fit`` never samples."""
+        return self.evaluate(preview(raw, self.keys, n))
+
 
 def _at_mark(prepare: Callable | None, raw: DataFrame | None, features: DataFrame | None) -> DataFrame:
     if (raw is None) == (features is None):
@@ -173,7 +178,7 @@ class Learner:
         binary = []
         try:
             for target, model in _fit_models(plan, labels, matrix).items():
-                stages += [model, _on_target_scale(target, plan.target_transform, texts.get(target))]
+                stages += [model, _on_target_scale(plan, target, table.schema[target].dataType, model, texts.get(target))]
                 if getattr(model, "numClasses", 0) == 2:
                     binary.append(target)
         finally:
@@ -233,12 +238,21 @@ def _wired(estimator: Estimator, target: str, label: str) -> Estimator:
     return estimator.copy({estimator.getParam(n): v for n, v in names.items() if estimator.hasParam(n)})
 
 
-def _on_target_scale(target: str, transform: str | None, texts: list[str] | None) -> Transformer:
-    """The model output in the target's own terms: class text or untransformed number."""
+def _on_target_scale(
+    plan: FeaturePlan, target: str, dtype: T.DataType, model: Model, texts: list[str] | None
+) -> Transformer:
+    """The model output in the target's own terms.
+
+    That is the class text, the class number in the type of the target, or the number
+    with the target transform undone.
+    """
     if texts:
         return IndexToString(inputCol=f"_output_{target}", outputCol=f"{target}_prediction", labels=texts)
-    inverse = TARGET_TRANSFORMS[transform][1] if transform else "double"
-    return SQLTransformer(statement=f"SELECT *, {inverse}(`_output_{target}`) AS `{target}_prediction` FROM __THIS__")
+    if plan.target_transform:
+        back = TARGET_TRANSFORMS[plan.target_transform][1]
+    else:
+        back = dtype.simpleString() if hasattr(model, "numClasses") else "double"
+    return SQLTransformer(statement=f"SELECT *, {back}(`_output_{target}`) AS `{target}_prediction` FROM __THIS__")
 
 
 @dataclass(frozen=True)

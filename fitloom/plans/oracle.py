@@ -240,15 +240,15 @@ ORACLE: dict[str, str] = {
     # learner surface
     "prior_baseline": f"""WITH t AS (SELECT avg(quality::DOUBLE) AS share FROM labels JOIN documents USING (doc_id)
             WHERE NOT {_test('doc_id')})
-        SELECT doc_id, (share > 0.5)::INTEGER::DOUBLE AS quality_prediction, round(share, 12) AS quality_probability
+        SELECT doc_id, (share > 0.5)::INTEGER AS quality_prediction, round(share, 12) AS quality_probability
         FROM labels JOIN documents USING (doc_id), t""",
     "raw_or_marked_input": """SELECT c_custkey, length(c_name || ' Test')::INTEGER AS raw_length,
             length(c_name)::INTEGER AS marked_length FROM customer""",
     "name_baseline": """WITH t AS (SELECT avg((c_acctbal > 2000)::INTEGER::DOUBLE) AS share FROM customer)
-        SELECT c_custkey, (share > 0.5)::INTEGER::DOUBLE AS label_prediction, round(share, 12) AS label_probability
+        SELECT c_custkey, (share > 0.5)::INTEGER AS label_prediction, round(share, 12) AS label_probability
         FROM customer, t""",
     "observe_tap": "SELECT count(*) AS n, sum(length(c_name))::BIGINT AS chars FROM customer",
     "eval_rebind": """WITH u AS (SELECT c_custkey AS id, (c_acctbal > 0)::INTEGER AS label, 'customer' AS input FROM customer
             UNION ALL SELECT s_suppkey, (s_acctbal > 5000)::INTEGER, 'supplier' FROM supplier)
-        SELECT id, label, (avg(label::DOUBLE) OVER (PARTITION BY input) > 0.5)::INTEGER::DOUBLE AS label_prediction, input FROM u""",
+        SELECT id, label, (avg(label::DOUBLE) OVER (PARTITION BY input) > 0.5)::INTEGER AS label_prediction, input FROM u""",
 }

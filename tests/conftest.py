@@ -16,7 +16,7 @@ TESTDATA = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     shared = str(tmp_path_factory.mktemp("shared"))
-    session = build_session("tests", 8, **{"spark.checkpoint.dir": shared})
+    session = build_session("tests", 8, **{"spark.checkpoint.dir": shared, "spark.sql.shuffle.partitions": "4"})
     yield session
     session.stop()
 

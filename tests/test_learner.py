@@ -50,6 +50,18 @@ def test_result_does_not_depend_on_layout_or_run(points):
     assert got[0] == got[1] == got[2]
 
 
+def test_preview_uses_the_first_rows_only(points):
+    shown = plan().preview(points, 40)
+    assert sorted(r["id"] for r in shown.collect()) == list(range(40))
+
+
+def test_class_numbers_keep_their_type_and_are_no_probabilities(points):
+    scored = plan().make_learner().fit(raw=points).predict(raw=points)
+    assert scored.schema["y_prediction"].dataType == points.schema["y"].dataType
+    with pytest.raises(TypeError, match="not a probability column"):
+        metrics.log_loss(scored, "y", "y_prediction")
+
+
 def test_outputs(points):
     fitted = plan(target="c", drop=["y"]).make_learner().fit(raw=points)
     scored = fitted.predict(raw=points, output="both")
