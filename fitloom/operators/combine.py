@@ -7,12 +7,15 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .columns import quoted
 from .stats import frequent_key_hashes, key_hash64
 
 # Pieces a hot key is cut into.
 SALTS = 64
+# A joined table up to this size, counted before the join, is broadcast.
+BROADCAST_BYTES = 32 << 20
 
 
 def _names(on: str | Sequence[str]) -> list[str]:
@@ -29,6 +32,19 @@ def _row_hash(df: DataFrame, spread_by: str | Sequence[str] | None) -> Column:
     return F.xxhash64(*[quoted(f.name) for f in df.schema if "map<" not in f.dataType.simpleString()])
 
 
+def counted_bytes(df: DataFrame) -> int | None:
+    """Bytes of the plain values of a table, from one aggregate; None with nested columns."""
+    size = F.lit(0)
+    for f in df.schema:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.octet_length(quoted(f.name)), F.lit(0)) + 16
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.UserDefinedType)):
+            return None
+        else:
+            size = size + 16
+    return df.agg(F.sum(size.cast("bigint"))).first()[0] or 0
+
+
 def inner_join(
     left: DataFrame,
     right: DataFrame,
@@ -39,15 +55,19 @@ def inner_join(
 ) -> DataFrame:
     """Many-to-one inner join; the key appears once.
 
-    With ``null_safe`` missing keys match each other. Left keys that hold over a
-    thousandth of the rows are spread over ``SALTS`` pieces, and only their few right rows are
-    repeated once per piece. Those keys are measured; pass ``hot=[]`` where the left key
-    is known to be unique. The optimizer stays free to broadcast the right side when
-    its size allows.
+    With ``null_safe`` missing keys match each other. A right side whose counted size is
+    small is broadcast, so the left rows stay where they are. Beyond that size, left keys
+    that hold over a thousandth of the rows are spread over ``SALTS`` pieces, and only
+    their few right rows are repeated once per piece. Those keys are measured; pass
+    ``hot=[]`` where the left key is known to be unique, and the optimizer decides alone.
     """
     keys = _names(on)
     if hot is None:
-        hot = frequent_key_hashes(left, keys)
+        size = counted_bytes(right)
+        if size is not None and size <= BROADCAST_BYTES:
+            hot, right = [], F.broadcast(right)
+        else:
+            hot = frequent_key_hashes(left, keys)
     pairs = list(keys)
     if hot:
         hot_left = key_hash64(left, keys).isin(list(hot))

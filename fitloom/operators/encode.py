@@ -11,7 +11,7 @@ from collections.abc import Callable, Sequence
 from importlib import import_module
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model, PipelineModel, Transformer
+from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import VectorUDT
@@ -43,7 +43,7 @@ SMALL_BYTES = 4 << 20
 HOT_SHARE = 0.0001
 HOT_LENGTH = 4096
 # Widest one-hot block written out as single expressions.
-MAX_CATEGORIES = 2_000
+MAX_CATEGORIES = 500
 
 
 class _Columns(Params):
@@ -368,8 +368,8 @@ class OneHotEncode(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWrit
     """One 0/1 column ``<column>=<value>`` per fitted category; unknown is all zeros.
 
     ``output="vector"`` puts the block of a column into one vector ``<column>_onehot``
-    for a model. A missing value is all zeros unless ``missingAsCategory``. The source
-    columns are dropped. For very wide blocks see ``sparse_one_hot``.
+    for a model; a column with very many categories gets a sparse one. A missing value is
+    all zeros unless ``missingAsCategory``. The source columns are dropped.
     """
 
     output = Param(Params._dummy(), "output", "columns or vector", TypeConverters.toString)
@@ -383,8 +383,20 @@ class OneHotEncode(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWrit
         self._setDefault(output="columns", missingAsCategory=False)
         self._set(**self._input_kwargs)
 
-    def _fit(self, dataset: DataFrame) -> OneHotModel:
-        return self.model(sorted_categories(dataset, self.columns()))
+    def _fit(self, dataset: DataFrame) -> Model:
+        sparse = self.getOrDefault(self.output) == "vector" and not self.getOrDefault(self.missingAsCategory)
+        listed: dict[str, list] = {}
+        wide: list[str] = []
+        for group in stats.by_type(dataset, self.columns()).values():
+            counts = materialise(stats.value_counts(dataset, group), "categories")
+            sizes = _sized(counts)
+            if sparse:
+                wide += [c for c in group if c in sizes and sizes[c][0] > MAX_CATEGORIES]
+            _read_categories(counts, [c for c in group if c not in wide], listed)
+        narrow = self.model({c: listed[c] for c in self.columns() if c in listed})
+        if not wide:
+            return narrow
+        return PipelineModel([narrow, *Pipeline(stages=sparse_one_hot(wide)).fit(dataset).stages])
 
     def model(self, listed: dict[str, list]) -> OneHotModel:
         state = {
@@ -392,7 +404,7 @@ class OneHotEncode(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWrit
             "output": self.getOrDefault(self.output),
             "missing": self.getOrDefault(self.missingAsCategory),
         }
-        return OneHotModel.of(self.columns(), state)
+        return OneHotModel.of(list(listed), state)
 
 
 def _read_categories(counts: DataFrame, names: Sequence[str], into: dict[str, list]) -> None:
@@ -402,7 +414,7 @@ def _read_categories(counts: DataFrame, names: Sequence[str], into: dict[str, li
     sizes = _sized(counts.where(F.col("column").isin(list(names))))
     for c in names:
         if c in sizes and sizes[c][0] > MAX_CATEGORIES:
-            raise ValueError(f"column {c} has {sizes[c][0]} categories; too many to list")
+            raise ValueError(f"column {c} has {sizes[c][0]} categories; too many for one column each")
     text = as_text(counts, "value").alias("text")
     found: dict[str, list] = {c: [] for c in names}
     for r in counts.where(F.col("column").isin(list(names))).select("column", "value", text).collect():

@@ -92,7 +92,8 @@ def exact_test_rows(df: DataFrame, key: str | Sequence[str], fraction: float = 0
     for k in reversed(keys):
         x = quoted(k)
         bound = F.lit(last[k])
-        low_key = (x < bound) | (x.eqNullSafe(bound) & low_key)
+        lower = F.when(x.isNull(), bound.isNotNull()).otherwise(F.coalesce(x < bound, F.lit(False)))
+        low_key = lower | (x.eqNullSafe(bound) & low_key)
     return (h < F.lit(last["h"])) | ((h == F.lit(last["h"])) & low_key)
 
 

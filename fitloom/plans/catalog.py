@@ -47,7 +47,7 @@ from ..sources import (
 )
 from . import workloads
 from .learner import FeaturePlan, FittedLearner, column_function, tap
-from .models import PriorClassifier, boosted_classifier, boosted_regressor, forest_classifier
+from .models import PriorClassifier, forest_classifier
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}

@@ -84,6 +84,29 @@ def test_salted_pieces_share_the_hot_key(spark):
     assert combine.inner_join(left, right, "k", hot=hot, spread_by="id").count() == 64_000
 
 
+def test_small_right_side_is_broadcast_and_large_one_measured(spark, monkeypatch):
+    left = spark.range(1000).select("id", (F.col("id") % 3 + 7).cast("int").alias("k"))
+    right = spark.createDataFrame([(7, "r", 1.5), (8, None, None)], "k int, r string, x double")
+    assert combine.counted_bytes(right) == 2 * (16 + 16 + 16) + 1
+    assert combine.counted_bytes(right.withColumn("a", F.array("k"))) is None
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = combine.inner_join(left, right, "k")
+        assert "BroadcastHashJoin" in plan(small)
+        monkeypatch.setattr(combine, "BROADCAST_BYTES", 0)
+        monkeypatch.setattr(combine, "frequent_key_hashes", lambda df, on: stats.frequent_key_hashes(df, on, least=10))
+        large = combine.inner_join(left, right, "k", spread_by="id")
+        assert "BroadcastHashJoin" not in plan(large) and "_salt" in plan(large)
+        assert bag(small) == bag(large)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_composite_keys_and_small_tables(spark):
     left = spark.createDataFrame([(1, "a", 1.0), (1, "b", 2.0)], "x int, y string, v double")
     right = spark.createDataFrame([(1, "a", 9.0)], "x int, y string, w double")

@@ -91,8 +91,19 @@ def test_one_hot_vectors_dense_and_sparse(spark):
 
 def test_too_many_categories_are_refused(spark, monkeypatch):
     monkeypatch.setattr(en, "MAX_CATEGORIES", 2)
+    df = frame(spark, ["a", "b", "c"])
     with pytest.raises(ValueError, match="3 categories"):
-        en.OneHotEncode(inputCols=["c"]).fit(frame(spark, ["a", "b", "c"]))
+        en.OneHotEncode(inputCols=["c"]).fit(df)
+
+
+def test_wide_blocks_become_sparse_vectors(spark, monkeypatch):
+    df = spark.createDataFrame([(0, "a", "x"), (1, "b", "y"), (2, "c", None)], "id int, c string, d string")
+    dense = en.OneHotEncode(inputCols=["c", "d"], output="vector").fit(df).transform(df)
+    monkeypatch.setattr(en, "MAX_CATEGORIES", 2)
+    mixed = en.OneHotEncode(inputCols=["c", "d"], output="vector").fit(df).transform(df)
+    assert set(mixed.columns) == {"id", "c_onehot", "d_onehot"}
+    rows = [m.orderBy("id").select(vector_to_array("c_onehot"), vector_to_array("d_onehot")).collect() for m in (dense, mixed)]
+    assert rows[0] == rows[1] and rows[0][2] == ([0.0, 0.0, 1.0], [0.0, 0.0])
 
 
 def test_frequency(spark):
