@@ -78,7 +78,7 @@ if __name__ == "__main__":
             if query_name in sqls:
                 found = difference(session, folder, query_name, fn, sqls[query_name]) or "ok"
             else:
-                found = f"rows {fn(session, folder).count()} (no SQL)"
+                found = f"rows {len(fn(session, folder).collect())} (no SQL)"
         except Exception as error:  # a report tool: show and go on
             found = f"ERROR {type(error).__name__}: {str(error)[:600]}"
         print(f"{query_name:32} {time.time() - start:6.1f}s  {found}", flush=True)
