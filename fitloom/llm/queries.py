@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fitloom.llm import simhash
+from fitloom.llm import language, secrets, simhash, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,7 +18,29 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 
 
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").withColumn("held_out", language.held_out("doc_id", 4, 2))
+    profiles = language.learn(docs.where("not held_out"))
+    return language.identify(docs.select("doc_id", "held_out", "text"), profiles).drop("text")
+
+
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    labels = _table(spark, folder, "labels").where(~language.held_out("doc_id", 3, 1))
+    scored = toxicity.score(docs, labels.select("doc_id", F.col("toxic").alias("y")))
+    return scored.select(
+        "doc_id", language.held_out("doc_id", 3, 1).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"), "evidence"
+    )
+
+
+def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.scan(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_language": op2_language,
+    "op5_toxicity": op5_toxicity,
+    "op10_secrets": op10_secrets,
 }
 ORACLE: dict[str, str] = {}
