@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fitloom.llm import language, secrets, simhash, toxicity
+from fitloom.llm import chunks, decontaminate, language, secrets, simhash, topk, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,6 +24,15 @@ def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(docs.select("doc_id", "held_out", "text"), profiles).drop("text")
 
 
+def op3_topk(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = _table(spark, folder, "embeddings").select(F.col("vec_id").cast("long").alias("vec_id"), topk.scaled(F.col("embedding")).alias("v"))
+    return topk.search(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     labels = _table(spark, folder, "labels").where(~language.held_out("doc_id", 3, 1))
@@ -33,6 +42,10 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_passages(spark: SparkSession, folder: str) -> DataFrame:
+    return chunks.repeated_passages(_table(spark, folder, "documents"))
+
+
 def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(_table(spark, folder, "documents"))
 
@@ -40,7 +53,25 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_language": op2_language,
+    "op3_topk": op3_topk,
+    "op4_decontaminate": op4_decontaminate,
     "op5_toxicity": op5_toxicity,
+    "op9_passages": op9_passages,
     "op10_secrets": op10_secrets,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op3_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id <> c.vec_id
+            WHERE q.vec_id % 100 = 0
+        )
+        SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
+        WHERE r <= 10
+    """,
+}
