@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fitloom.llm import chunks, decontaminate, language, secrets, simhash, topk, toxicity
+from fitloom.llm import chat, chunks, decontaminate, language, secrets, simhash, topk, toxicity, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -42,6 +42,18 @@ def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archived(_table(spark, folder, "pages"))
+
+
+def op8_chat(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    marked = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", marked), (-1, 1, "assistant", marked)], rows.schema)
+    rows = rows.union(own).withColumn("parts", chat.text_part(F.col("text")))
+    return chat.digests(chat.formatted_turns(rows))
+
+
 def op9_passages(spark: SparkSession, folder: str) -> DataFrame:
     return chunks.repeated_passages(_table(spark, folder, "documents"))
 
@@ -56,6 +68,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_topk": op3_topk,
     "op4_decontaminate": op4_decontaminate,
     "op5_toxicity": op5_toxicity,
+    "op6_warc": op6_warc,
+    "op8_chat": op8_chat,
     "op9_passages": op9_passages,
     "op10_secrets": op10_secrets,
 }
