@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fitloom.llm import chat, chunks, decontaminate, language, secrets, simhash, topk, toxicity, warc
+from fitloom.llm import chat, chunks, decontaminate, language, secrets, sentencepiece, simhash, topk, toxicity, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -46,6 +46,14 @@ def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archived(_table(spark, folder, "pages"))
 
 
+#: The vocabulary of the query; the operator takes any path.
+SENTENCEPIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    return sentencepiece.encoded(_table(spark, folder, "documents"), SENTENCEPIECE_MODEL)
+
+
 def op8_chat(spark: SparkSession, folder: str) -> DataFrame:
     rows = _table(spark, folder, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
     marked = "</s>[INST] ok [/INST]"
@@ -69,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontaminate": op4_decontaminate,
     "op5_toxicity": op5_toxicity,
     "op6_warc": op6_warc,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_chat": op8_chat,
     "op9_passages": op9_passages,
     "op10_secrets": op10_secrets,
