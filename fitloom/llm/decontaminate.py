@@ -270,10 +270,13 @@ def _matcher(index: Index):
 def decontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that contain no item of the benchmark."""
     for index in indexes(benchmark):
+        docs = docs.where(_clean(index)(F.col(text_col).cast("string")))
+    return docs
 
-        @F.arrow_udf("boolean")
-        def clean(texts: pa.Array, index: Index = index) -> pa.Array:
-            return pa.array([not match for match in index.matches(t.as_py() for t in texts)], pa.bool_())
 
-        docs = docs.where(clean(F.col(text_col).cast("string")))
-    return docs
+def _clean(index: Index):
+    @F.arrow_udf("boolean")
+    def clean(texts: pa.Array) -> pa.Array:
+        return pa.array([not match for match in index.matches(t.as_py() for t in texts)], pa.bool_())
+
+    return clean
