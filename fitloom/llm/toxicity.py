@@ -1,7 +1,6 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-Terms are runs of four and five letters, word ends included, chosen for their association
-with the label. Examples lie in an inverted index cut into blocks, each with the largest
+Terms are words and beginnings of words, chosen for their association with the label. Examples lie in an inverted index cut into blocks, each with the largest
 weight of every term in it: blocks are visited by falling upper bound and the search ends
 once no block can reach the k-th best cosine, so the neighbours are exact. Their
 distance-weighted votes, calibrated on the examples themselves, are the score.
@@ -18,19 +17,28 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fitloom.llm.simhash import shingle_hashes
 from fitloom.session import materialise
 
 #: Labelled rows of each class that the classifier is fitted on, least hash of the id first.
 EXAMPLES = 2500
 #: Terms kept, and the least chi-square (one degree of freedom) of a term.
-TERMS = 1024
+TERMS = 1536
 LEAST_CHI = 24.0
+#: Least ratio of a term's frequencies among examples of label 1 and of label 0.
+LEAST_LIFT = 4.0
 NEIGHBOURS = 25
 BLOCK = 64
+FIRST_BLOCKS = 4
 #: Cosine at which a neighbour's vote has half its weight.
 HALF_VOTE = 0.35
+#: Votes that the base rate has beside the neighbours.
+PULL = 0.2
+#: Least share of the examples of label 1, and least number of them, that have a chosen term.
+LEAST_SHARE, LEAST_EXAMPLES = 0.01, 4
 SLICE = 1 << 19
-SIZES = (4, 5)
+#: Letters of the shortest and the longest beginning of a word that is a term.
+SHORTEST, LONGEST = 3, 10
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -42,28 +50,26 @@ def _letters() -> np.ndarray:
 
 
 def term_codes(text: str | None) -> Iterator[np.ndarray]:
-    """64-bit codes of all terms of a whole text, repeats included, slice by slice.
-
-    A term is a window of 4 or 5 letters; its first and last place may also be a word's edge.
-    """
+    """64-bit codes of all terms of a whole text, repeats included, slice by slice."""
     table, last, text = _letters(), np.zeros(1, np.uint64), text or ""
     for at in range(0, len(text), SLICE):
         part = text[at : at + SLICE].lower().encode("utf-32-le", "surrogatepass")
-        edge = np.zeros(int(at + SLICE >= len(text)), np.uint64)
-        ids, fresh = np.concatenate((last, table[np.frombuffer(part, "<u4")], edge)), len(last)
-        letter = ids != 0
-        for size in SIZES:
-            n = len(ids) - size + 1
-            if n <= 0:
-                continue
-            h, inside = np.full(n, size, np.uint64), np.ones(n, bool)
-            for j in range(size):
-                h = (h ^ ids[j : j + n]) * _MIX
-                if 0 < j < size - 1:
-                    inside &= letter[j : j + n]
-            start = max(0, fresh - size + 1)
-            yield (h ^ (h >> np.uint64(32)))[start:][inside[start:]]
-        last = ids[-(max(SIZES) - 1) :]
+        final = at + SLICE >= len(text)
+        ids = np.concatenate((last, table[np.frombuffer(part, "<u4")], np.zeros(LONGEST + 1 if final else 0, np.uint64)))
+        # words that start before the stop are whole in this slice, or longer than any term
+        stop = max(len(ids) - LONGEST - 1, 0)
+        words = np.flatnonzero((ids[:stop] == 0) & (ids[1 : stop + 1] != 0)) if stop else np.empty(0, np.int64)
+        h = np.full(len(words), 1, np.uint64)
+        for j in range(1, LONGEST + 2):
+            h = (h ^ ids[words + j]) * _MIX
+            code = h ^ (h >> np.uint64(32))
+            ends = ids[words + j] == 0
+            if j > 1:
+                yield code[ends]  # the whole word
+            words, h = words[~ends], h[~ends]
+            if SHORTEST <= j <= LONGEST:
+                yield code[~ends]
+        last = ids[stop:]
 
 
 class Terms:
@@ -117,27 +123,41 @@ class Model:
 
     def nearest(self, at: np.ndarray, weights: np.ndarray, k: int = NEIGHBOURS) -> tuple[np.ndarray, np.ndarray]:
         """Positions and cosines of the k nearest examples with a positive cosine, ties to the
-        smaller position; blocks are skipped only when their bound is below the k-th best."""
-        bounds = self.peaks[:, at] @ weights
-        spot, cosines, floor = np.empty(0, np.int64), np.empty(0, np.float32), 0.0
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] * 1.00001 < floor or bounds[b] <= 0:
-                break
-            got = weights @ self.blocks[b][at]
-            hit = np.flatnonzero(got > 0)
-            spot, cosines = np.append(spot, b * BLOCK + hit), np.append(cosines, got[hit])
-            if len(spot) > k:
-                best = np.lexsort((spot, -cosines))[:k]
-                spot, cosines = spot[best], cosines[best]
-                floor = cosines[-1]
-        order = np.lexsort((spot, -cosines))
-        return spot[order], cosines[order]
+        smaller position.
+
+        The blocks of highest bound are searched first; their k-th best cosine is a floor, and
+        of the others only blocks whose bound reaches it are opened.
+        """
+        bounds = weights @ self.peaks[at]
+        order = np.argsort(-bounds, kind="stable")
+        order = order[bounds[order] > 0]
+        spot, cosines = self._search(order[:FIRST_BLOCKS], at, weights, k)
+        floor = cosines[-1] if len(cosines) == k else 0.0
+        rest = order[FIRST_BLOCKS:]
+        rest = rest[bounds[rest] * 1.00001 >= floor]
+        if len(rest):
+            more, found = self._search(rest, at, weights, k)
+            spot, cosines = np.concatenate((spot, more)), np.concatenate((cosines, found))
+            best = np.lexsort((spot, -cosines))[:k]
+            spot, cosines = spot[best], cosines[best]
+        return spot, cosines
+
+    def _search(self, blocks: np.ndarray, at: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        lists = self.blocks[at[:, None], blocks[None, :]]
+        cosines = weights @ lists.reshape(len(at), -1)
+        spot = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+        if len(cosines) > k:
+            enough = cosines >= max(np.partition(cosines, len(cosines) - k)[len(cosines) - k], 1e-9)
+            cosines, spot = cosines[enough], spot[enough]
+        else:
+            cosines, spot = cosines[cosines > 0], spot[cosines > 0]
+        best = np.lexsort((spot, -cosines))[:k]
+        return spot[best], cosines[best]
 
     def vote(self, spot: np.ndarray, cosines: np.ndarray) -> float:
         far = (1 - np.minimum(cosines.astype(np.float64), 1.0)) / (1 - HALF_VOTE)
         w = self.votes[spot] / (1 + far * far) * cosines
-        pull = 0.05
-        return float(((w * self.labels[spot]).sum() + pull * self.base) / (w.sum() + pull))
+        return float(((w * self.labels[spot]).sum() + PULL * self.base) / (w.sum() + PULL))
 
     def score(self, at: np.ndarray, n: np.ndarray) -> tuple[float, list[int | None]]:
         """Calibrated score and the ids of the nearest examples, nearest first."""
@@ -169,15 +189,15 @@ def fit(examples: list, idf: np.ndarray, shares: dict[int, float]) -> Model:
     base = (sum(shares[r.y] for r in empty if r.y) + 0.5) / (total + 1.0)
     rows = sorted((r for r in examples if len(r.at)), key=lambda r: (r.y, max(zip(r.n, r.at, strict=True))[1], r.doc_id or 0))
     size = -(-max(len(rows), 1) // BLOCK)
-    blocks = np.zeros((size, len(idf), BLOCK), np.float32)
+    blocks = np.zeros((len(idf), size, BLOCK), np.float32)
     ids, labels = np.array([r.doc_id for r in rows], object), np.array([r.y for r in rows], np.float64)
-    model = Model(idf, ids, labels, np.array([shares[r.y] for r in rows]), blocks, np.zeros((size, len(idf))), base, np.array([0.0, 1.0]), np.array([0.0, 1.0]))
+    model = Model(idf, ids, labels, np.array([shares[r.y] for r in rows]), blocks, np.zeros((len(idf), size), np.float32), base, np.array([0.0, 1.0]), np.array([0.0, 1.0]))
     if not rows:
         return model
     model.votes = model.votes / model.votes.min()
     vectors = [(np.array(r.at), model.vector(np.array(r.at), np.array(r.n))) for r in rows]
     for i, (at, w) in enumerate(vectors):
-        blocks[i // BLOCK, at, i % BLOCK] = w
+        blocks[at, i // BLOCK, i % BLOCK] = w
     model.peaks = blocks.max(axis=2)
     raw = np.empty(len(rows))
     for i, (at, w) in enumerate(vectors):  # each example by its neighbours without itself
@@ -188,8 +208,20 @@ def fit(examples: list, idf: np.ndarray, shares: dict[int, float]) -> Model:
     return model
 
 
-def _chosen_terms(sample: DataFrame, count: dict[int, int]) -> Terms:
-    """The terms most associated with label 1, from how many examples of each class have them."""
+def _chosen_terms(sample: DataFrame) -> Terms:
+    """The terms most associated with label 1, from how many examples of each class have them.
+
+    Near copies would make the words of one text look frequent: of examples with the same
+    least shingle hash, which most copies share, one is counted.
+    """
+
+    @F.arrow_udf("long")
+    def least_hash(texts: pa.Array) -> pa.Array:
+        hashes = [shingle_hashes(t.as_py(), 5) for t in texts]
+        return pa.array([int(h.min().view(np.int64)) if len(h) else 0 for h in hashes], pa.int64())
+
+    sample = materialise(sample.withColumn("key", least_hash("text")).dropDuplicates(["y", "key"]), "toxicity-distinct")
+    count = {r.y: r.n for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[np.ndarray]] = {0: [], 1: []}
@@ -207,7 +239,7 @@ def _chosen_terms(sample: DataFrame, count: dict[int, int]) -> Terms:
     n0, n1, a, b = float(count.get(0, 0)), float(count.get(1, 0)), F.col("n1"), F.col("n0")
     rest = (F.lit(n1) - a, F.lit(n0) - b)
     chi = (n0 + n1) * F.pow(a * rest[1] - b * rest[0], F.lit(2)) / ((a + b) * (rest[0] + rest[1] + 0.5) * max(n0, 0.5) * max(n1, 0.5))
-    best = seen.withColumn("chi", chi).where((a >= 3) & (a * n0 > b * n1) & (F.col("chi") >= LEAST_CHI))
+    best = seen.withColumn("chi", chi).where((a >= max(LEAST_EXAMPLES, LEAST_SHARE * n1)) & (a * n0 > LEAST_LIFT * (b + 0.5) * n1) & (F.col("chi") >= LEAST_CHI))
     rows = best.orderBy(F.desc("chi"), "code").limit(TERMS).select("code").collect()
     return Terms(np.array([r.code for r in rows], np.int64).view(np.uint64) if rows else np.empty(0, np.uint64))
 
@@ -254,7 +286,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
     uninformed 0.5. Rows that repeat come back as often.
     """
     sample, count = _sample(docs, labels)
-    terms = _chosen_terms(sample, count)
+    terms = _chosen_terms(sample)
     told = docs.select(F.col("doc_id").cast("long").alias("doc_id"), features(F.col("text"), terms).alias("f"))
     told = materialise(told.select("doc_id", "f.*"), "toxicity-terms")
     vote = _scored(_model(sample, count, terms, told))
@@ -264,7 +296,7 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``."""
     sample, count = _sample(docs, labels)
-    terms = _chosen_terms(sample, count)
+    terms = _chosen_terms(sample)
     told = features(F.col("text"), terms)
     frequencies = materialise(docs.select(told.alias("f")).select("f.at"), "toxicity-terms")
     vote = _scored(_model(sample, count, terms, frequencies))
