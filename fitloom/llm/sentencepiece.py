@@ -28,8 +28,10 @@ from fitloom.session import materialise
 
 #: Characters of a chunk; longer texts are encoded by several tasks.
 CHUNK = 1 << 16
+#: Characters of a stretch's beginning whose path is kept.
+HEAD = 8
 #: Stretches and pairs that a worker keeps; a memory bound.
-KEPT_STRETCHES, KEPT_PAIRS = 150_000, 500_000
+KEPT_STRETCHES, KEPT_PAIRS = 300_000, 500_000
 #: A chunk border is moved back up to so far to a position that no piece crosses.
 SEARCH = 512
 
@@ -94,17 +96,20 @@ class Model:
             for i, p in enumerate(self.pieces)
         ]
         self.longest = max(map(len, self.ids))
-        self.alphabet = set("".join(self.ids))
+        alphabet = set("".join(self.ids))
         if any(SPACE in p.lstrip(SPACE) for p in self.ids) or len(self.bytes) < 256:
             raise ValueError("pieces cross word starts, or bytes are missing")
-        own = "".join(c for c in "\n\r\t" if c not in self.alphabet)
+        own = "".join(c for c in "\n\r\t" if c not in alphabet)
         self._stretch = re.compile(f"{SPACE}*[^{SPACE}{own}]+|{SPACE}+" + (f"|[{own}]" if own else ""))
         tails: dict[str, set[int]] = {}
         for p in self.ids:
-            if len(p) > 1:
-                tails.setdefault(p[-2:], {1}).add(len(p))
-        #: Sizes of the pieces that end with two characters, longest first.
+            if len(p) > 2:
+                tails.setdefault(p[-3:], {1, 2} if p[-2:] in self.ids else {1}).add(len(p))
+        #: Sizes of the pieces that may end with three characters, longest first.
         self._tails = {k: tuple(sorted(v, reverse=True)) for k, v in tails.items()}
+        #: Neighbouring characters within pieces; no piece crosses between any others.
+        self._joined = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
+        self._heads: dict[str, list[str | None]] = {}
         self._kept: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
         self._pairs: dict[tuple[str, str], bool] = {}
@@ -137,25 +142,36 @@ class Model:
     def path(self, text: str, start: int, left: str, end: int) -> list[str | None]:
         """For every position of ``text[start:end]`` the last piece of the path that begins
         after ``left``, or None where no path ends."""
-        last: list[str | None] = [left] + [None] * (end - start)
-        pairs, tails = self._pairs, self._tails
-        for i in range(1, end - start + 1):
-            stop = start + i
-            for size in tails.get(text[stop - 2 : stop], _ONE) if i > 1 else _ONE:
-                if size > i:
-                    continue
-                before = last[i - size]
-                if before is None:
-                    continue
-                piece = text[stop - size : stop]
-                if size > 1 and piece not in self.ids:
-                    continue
-                fits = pairs.get((before, piece))
-                if fits or fits is None and self.fits(before, piece):
-                    last[i] = piece
-                    break
+        return self._onward(text, start, [left], end)
+
+    def _onward(self, text: str, start: int, known: list[str | None], end: int) -> list[str | None]:
+        """The same from a known beginning."""
+        pairs, tails, ids, last = self._pairs, self._tails, self.ids, list(known)
+        for i in range(len(known), end - start + 1):
+            stop, found = start + i, None
+            sizes = tails.get(text[stop - 3 : stop]) if i > 2 else None
+            for size in sizes or (_TWO if i > 1 and text[stop - 2 : stop] in ids else _ONE):
+                before = last[i - size] if size <= i else None
+                if before is not None:
+                    piece = text[stop - size : stop]
+                    fits = pairs.get((before, piece))
+                    if fits or fits is None and (size < 3 or piece in ids) and self.fits(before, piece):
+                        found = piece
+                        break
+            last.append(found)
         return last
 
+    def _last(self, stretch: str) -> list[str | None]:
+        """The last pieces of a stretch; those of its beginning are kept, as many share it."""
+        if len(stretch) <= HEAD:
+            return self._onward(stretch, 0, [""], len(stretch))
+        head = self._heads.get(stretch[:HEAD])
+        if head is None:
+            if len(self._heads) >= KEPT_STRETCHES:
+                self._heads.clear()
+            head = self._heads[stretch[:HEAD]] = self._onward(stretch, 0, [""], HEAD)
+        return self._onward(stretch, 0, head, len(stretch))
+
     def trace(self, last: list[str | None], at: int) -> list[str]:
         """The pieces of the path that ends ``at`` characters after its start."""
         pieces: list[str] = []
@@ -191,7 +207,12 @@ class Model:
         if found is None:
             found = self._older.get(stretch)
             if found is None:
-                found = self.numbers(self.trace(self.path(stretch, 0, "", len(stretch)), len(stretch)))
+                joined = self._joined
+                cuts = [i for i in range(1, len(stretch)) if stretch[i - 1 : i + 1] not in joined]
+                if cuts:
+                    found = b"".join([self.encode_stretch(stretch[a:b]) for a, b in zip([0, *cuts], [*cuts, len(stretch)], strict=True)])
+                else:
+                    found = self.numbers(self.trace(self._last(stretch), len(stretch)))
             if len(stretch) < 64:
                 if len(self._kept) >= KEPT_STRETCHES:
                     self._older, self._kept = self._kept, {}
@@ -212,10 +233,7 @@ class Model:
 
     def cut(self, text: str, at: int) -> bool:
         """Whether no piece can cross the position."""
-        if at <= 0 or at >= len(text):
-            return True
-        a, b = text[at - 1], text[at]
-        return (b == SPACE and a != SPACE) or a not in self.alphabet or b not in self.alphabet
+        return at <= 0 or at >= len(text) or text[at - 1 : at + 1] not in self._joined
 
     def border(self, text: str, at: int) -> int:
         """``at``, or the nearest position before it that no piece can cross."""
@@ -289,7 +307,7 @@ class Model:
 _OWN = "\udc81"
 
 #: One character stands for itself, with a piece or as bytes.
-_ONE = (1,)
+_ONE, _TWO = (1,), (2, 1)
 
 
 def max_plus(a: np.ndarray, b: np.ndarray) -> np.ndarray:
