@@ -35,6 +35,12 @@ DTYPE_NAMES = {
 }
 
 
+# Numbers as a file spells them; other texts that Spark could cast, such as 1d, stay text.
+WHOLE_NUMBER = r"^[+-]?[0-9]+$"
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$|^[+-]?(?i:inf|infinity)$"
+ROWS_PER_FILE = 1_000_000
+
+
 def spark_type(dtype: str) -> T.DataType:
     """Spark type of a declared dtype name."""
     try:
@@ -78,9 +84,9 @@ def _scan_text(spark: SparkSession, paths: list[str], header: list[str], multi_l
 
 def _field(name: str, dtype: T.DataType) -> Column:
     text = F.col(f"`{name}`")
+    if isinstance(dtype, T.StringType):  # text is taken as it stands, blanks included
+        return F.when(~(text.isNull() | text.isin(*MISSING_MARKERS)), text).alias(name)
     missing = text.isNull() | F.trim(text).isin(*MISSING_MARKERS)
-    if isinstance(dtype, T.StringType):
-        return F.when(~missing, text).alias(name)
     parsed = F.trim(text).try_cast(dtype)
     if isinstance(dtype, (T.FloatType, T.DoubleType)):
         parsed = F.when(~F.isnan(parsed), parsed)
@@ -89,12 +95,12 @@ def _field(name: str, dtype: T.DataType) -> Column:
 
 
 def _inference_counts(name: str) -> list[Column]:
-    text = F.trim(F.col(f"`{name}`"))
-    present = F.when(~text.isin(*MISSING_MARKERS), text)
+    text = F.col(f"`{name}`")
+    present = F.when(~text.isin(*MISSING_MARKERS), F.trim(text))
     return [
         F.count(present).alias(f"{name}\0n"),
-        F.count(present.try_cast("bigint")).alias(f"{name}\0long"),
-        F.count(present.try_cast("double")).alias(f"{name}\0double"),
+        F.count(F.when(present.rlike(WHOLE_NUMBER), present.try_cast("bigint"))).alias(f"{name}\0long"),
+        F.count(F.when(present.rlike(NUMBER), present.try_cast("double"))).alias(f"{name}\0double"),
         F.count(F.when(present.isin("True", "TRUE", "true", "False", "FALSE", "false"), 1)).alias(f"{name}\0bool"),
     ]
 
@@ -158,9 +164,13 @@ def read_csv(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write the table as a folder of CSV files with a header and no row index."""
-    writer = df.write.mode(mode).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", rows_per_file: int = ROWS_PER_FILE) -> None:
+    """Write the table as a folder of CSV files with a header and no row index.
+
+    A file has at most ``rows_per_file`` rows, so that one with line ends inside its fields,
+    which a single task must read, stays small.
+    """
+    writer = df.write.mode(mode).option("maxRecordsPerFile", rows_per_file).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
     writer.csv(path, header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
 
 

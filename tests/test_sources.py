@@ -125,3 +125,22 @@ def test_generated_values_depend_on_the_key_only(spark):
 def test_literal_table(spark):
     df = so.literal_table(spark, [("Mike", 0), ("Nathalie", 1)], "Names string, label int")
     assert df.agg(F.sum("label")).first()[0] == 1
+
+
+def test_blank_and_padded_texts_stay_and_hash_like_ids_are_text(spark, tmp_path):
+    path = str(tmp_path / "t.csv")
+    with open(path, "w") as out:
+        out.write('id,note,code,size,when\n1,"  ",1d,+1.5e3,2024-01-02\n2," NA ",2f,.5,2024-01-03\n3,NA,30d,-2.,2024-01-04\n4,,0x1,,\n')
+    df = so.read_csv(spark, path)
+    assert [(f.name, f.dataType.simpleString()) for f in df.schema] == [
+        ("id", "bigint"), ("note", "string"), ("code", "string"), ("size", "double"), ("when", "string")]
+    rows = sorted(df.collect(), key=lambda r: r.id)
+    assert [r.note for r in rows] == ["  ", " NA ", None, None]
+    assert [r.code for r in rows] == ["1d", "2f", "30d", "0x1"] and [r.size for r in rows] == [1500.0, 0.5, -2.0, None]
+
+
+def test_files_have_a_bounded_number_of_rows(spark, tmp_path):
+    path = str(tmp_path / "out")
+    so.write_csv(spark.range(95).coalesce(1), path, rows_per_file=20)
+    files = [p for p in (tmp_path / "out").iterdir() if p.name.startswith("part-")]
+    assert len(files) == 5 and so.read_csv(spark, path).count() == 95
