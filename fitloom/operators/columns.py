@@ -27,6 +27,12 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def present(df: DataFrame, name: str) -> Column:
+    """The value of a column, NULL where it is missing: missing means NULL or NaN."""
+    x = quoted(name)
+    return F.when(~F.isnan(x), x) if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType)) else x
+
+
 def _require(df: DataFrame, names: Sequence[str]) -> None:
     unknown = [n for n in names if n not in df.columns]
     if unknown:
@@ -96,18 +102,18 @@ def columns_by_cardinality(df: DataFrame, names: Sequence[str], threshold: int =
     names = list(names)
     if not names:
         return [], []
-    estimates = df.agg(*[F.approx_count_distinct(quoted(n), 0.02).alias(n) for n in names]).first()
+    estimates = df.agg(*[F.approx_count_distinct(present(df, n), 0.02).alias(n) for n in names]).first()
     unsure = [n for n in names if estimates[n] <= 2 * threshold]
     few: set[str] = set()
     if unsure:
-        exact = df.agg(*[F.count_distinct(quoted(n)).alias(n) for n in unsure]).first()
+        exact = df.agg(*[F.count_distinct(present(df, n)).alias(n) for n in unsure]).first()
         few = {n for n in unsure if exact[n] < threshold}
     return [n for n in names if n in few], [n for n in names if n not in few]
 
 
-def is_missing(name: str) -> Column:
-    """1 where the column is NULL, else 0."""
-    return quoted(name).isNull().cast("int")
+def is_missing(df: DataFrame, name: str) -> Column:
+    """1 where the column is NULL or NaN, else 0."""
+    return present(df, name).isNull().cast("int")
 
 
 def class_probability(column: str = "probability", which: int = 1) -> Column:

@@ -12,8 +12,9 @@ from pyspark.sql import types as T
 from .columns import quoted
 from .stats import frequent_key_hashes, key_hash64
 
-# Pieces a hot key is cut into.
-SALTS = 64
+# Rows of one piece of a hot key; keys with more rows are cut into more pieces.
+PIECE_ROWS = 1_000_000
+LEAST_PIECES = 8
 # A joined table up to this size, counted before the join, is broadcast.
 BROADCAST_BYTES = 32 << 20
 
@@ -50,15 +51,15 @@ def inner_join(
     right: DataFrame,
     on: str | Sequence[str],
     null_safe: bool = False,
-    hot: Sequence[int] | None = None,
+    hot: Mapping[int, int] | Sequence[int] | None = None,
     spread_by: str | Sequence[str] | None = None,
 ) -> DataFrame:
     """Many-to-one inner join; the key appears once.
 
     With ``null_safe`` missing keys match each other. A right side whose counted size is
     small is broadcast, so the left rows stay where they are. Beyond that size, left keys
-    that hold over a thousandth of the rows are spread over ``SALTS`` pieces, and only
-    their few right rows are repeated once per piece. Those keys are measured; pass
+    that hold over a ten-thousandth of the rows are cut into pieces of ``PIECE_ROWS``, and
+    only their few right rows are repeated once per piece. Those keys are measured; pass
     ``hot=[]`` where the left key is known to be unique, and the optimizer decides alone.
     """
     keys = _names(on)
@@ -72,8 +73,10 @@ def inner_join(
     if hot:
         hot_left = key_hash64(left, keys).isin(list(hot))
         hot_right = key_hash64(right, keys, like=left).isin(list(hot))
-        salt = F.when(hot_left, F.pmod(_row_hash(left, spread_by), F.lit(SALTS))).otherwise(F.lit(0)).cast("int")
-        copies = F.when(hot_right, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+        most = max(hot.values()) if isinstance(hot, Mapping) else 0
+        pieces = max(LEAST_PIECES, -(-most // PIECE_ROWS))
+        salt = F.when(hot_left, F.pmod(_row_hash(left, spread_by), F.lit(pieces))).otherwise(F.lit(0)).cast("int")
+        copies = F.when(hot_right, F.sequence(F.lit(0), F.lit(pieces - 1))).otherwise(F.array(F.lit(0)))
         left = left.withColumn("_salt", salt)
         right = right.withColumn("_salt", F.explode(copies))
         pairs.append("_salt")
@@ -97,8 +100,8 @@ def lookup(
 
     ``dictionary`` has unique string values in ``value``. ``small`` says that its size
     was checked, so it is broadcast. For a large one, ``hot`` lists the frequent values
-    (a bounded number): they are answered by a broadcast, and the rest is joined by
-    key. Rows already answered are spread by a hash, so they crowd no partition.
+    (a bounded number) by their digest in ``value``: they are answered by a broadcast,
+    however long they are, and the rest is joined by key. Rows already answered are spread by a hash, so they crowd no partition.
     """
     text = as_text(df, column)
     entries = dictionary.select(F.col("value").alias("_value"), F.col("code").alias("_code"))
@@ -109,7 +112,7 @@ def lookup(
     tagged = df.withColumns({"_text": text, "_spread": spread})
     if hot is not None:
         first = hot.select(F.col("value").alias("_hot_value"), F.col("code").alias("_hot_code"))
-        tagged = tagged.join(F.broadcast(first), F.col("_text") == F.col("_hot_value"), "left")
+        tagged = tagged.join(F.broadcast(first), digest("_text") == F.col("_hot_value"), "left")
     else:
         tagged = tagged.withColumns({"_hot_value": F.lit(None).cast("string"), "_hot_code": F.lit(None).cast("double")})
     open_ = F.col("_hot_value").isNull() & F.col("_text").isNotNull()
@@ -120,6 +123,11 @@ def lookup(
     return found.withColumn(out, F.coalesce("_hot_code", "_code")).drop(*helpers)
 
 
+def digest(text: str | Column) -> Column:
+    """128 bits that stand for a dictionary value in a list of frequent ones."""
+    return F.md5(F.col(text).cast("binary") if isinstance(text, str) else text.cast("binary"))
+
+
 def as_text(df: DataFrame, column: str) -> Column:
     """The form in which dictionaries store a value of this column."""
     x = quoted(column)
@@ -131,7 +139,8 @@ def as_text(df: DataFrame, column: str) -> Column:
 def concat_columns(left: DataFrame, right: DataFrame, key: str | Sequence[str], how: str = "outer") -> DataFrame:
     """Put two tables side by side, matching rows by a key that is unique in both.
 
-    Columns of one and the same table need no join: ``select`` them together.
+    Columns of one and the same table need no join: ``select`` them together. That the key
+    is unique and never NULL is the caller's duty: repeated keys would multiply rows.
     """
     return left.join(right, _names(key), how)
 

@@ -11,8 +11,8 @@ from collections.abc import Callable, Sequence
 from importlib import import_module
 
 from pyspark import keyword_only
-from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml import Estimator, Model, PipelineModel, Transformer
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -33,17 +33,17 @@ from pyspark.sql import types as T
 from ..session import materialise, write_table
 from . import stats
 from .columns import columns_of_type, is_missing, quoted
-from .combine import as_text, lookup
+from .combine import as_text, digest, lookup
 
 # A dictionary up to this size is kept inside the fitted stage and broadcast.
 SMALL_ENTRIES = 20_000
 SMALL_BYTES = 4 << 20
-# A value above this share counts as frequent. There are at most 1/share of them, and
-# with the length limit their list is at most 40 MB.
+# A value above this share counts as frequent. There are at most 1/share of them; they are
+# listed by digest, so a long one takes no more room than a short one.
 HOT_SHARE = 0.0001
-HOT_LENGTH = 4096
-# Widest one-hot block written out as single expressions.
-MAX_CATEGORIES = 500
+# Widest one-hot vector written out as single expressions. Wider ones go through a
+# dictionary; the slots are the same.
+INLINE_CATEGORIES = 500
 
 
 class _Columns(Params):
@@ -150,7 +150,7 @@ class MissingIndicator(Transformer, _Columns, DefaultParamsReadable, DefaultPara
         self._set(**self._input_kwargs)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return dataset.withColumns({f"{c}_missing": is_missing(c) for c in self.columns()})
+        return dataset.withColumns({f"{c}_missing": is_missing(dataset, c) for c in self.columns()})
 
 
 class FillNumbers(Estimator, DefaultParamsReadable, DefaultParamsWritable):
@@ -172,7 +172,7 @@ class FillNumbers(Estimator, DefaultParamsReadable, DefaultParamsWritable):
         names = [c for c in columns_of_type(dataset, include="number") if c not in excluded]
         gaps = []
         if names:
-            row = dataset.agg(*[F.count(F.when(quoted(c).isNull(), 1)).alias(c) for c in names]).first()
+            row = dataset.agg(*[F.sum(is_missing(dataset, c)).alias(c) for c in names]).first()
             gaps = [c for c in names if row[c]]
         fill: dict[str, object] = {c: 0 for c in names}
         if gaps:
@@ -213,7 +213,7 @@ def _large_dictionary(counts: DataFrame, kind: str, rows: int) -> dict:
         coded = counts.withColumn("code", F.col("n") / F.lit(float(rows)))
     path = write_table(coded.select(as_text(counts, "value").alias("value"), "code", "n"), "dictionary")
     table = counts.sparkSession.read.parquet(path)
-    hot = table.where((F.col("n") > HOT_SHARE * rows) & (F.octet_length("value") <= HOT_LENGTH)).collect()
+    hot = table.where(F.col("n") > HOT_SHARE * rows).select(digest("value").alias("value"), "code").collect()
     return {"table": path, "hot": {"values": [r["value"] for r in hot], "codes": [r["code"] for r in hot]}}
 
 
@@ -368,8 +368,8 @@ class OneHotEncode(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWrit
     """One 0/1 column ``<column>=<value>`` per fitted category; unknown is all zeros.
 
     ``output="vector"`` puts the block of a column into one vector ``<column>_onehot``
-    for a model; a column with very many categories gets a sparse one. A missing value is
-    all zeros unless ``missingAsCategory``. The source columns are dropped.
+    for a model; a column with many categories gets a sparse one with the same slots:
+    categories in order, numbers as numbers. A missing value, NULL or NaN, is all zeros unless ``missingAsCategory``. The source columns are dropped.
     """
 
     output = Param(Params._dummy(), "output", "columns or vector", TypeConverters.toString)
@@ -384,19 +384,20 @@ class OneHotEncode(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWrit
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> Model:
-        sparse = self.getOrDefault(self.output) == "vector" and not self.getOrDefault(self.missingAsCategory)
+        vector, missing = self.getOrDefault(self.output) == "vector", self.getOrDefault(self.missingAsCategory)
         listed: dict[str, list] = {}
-        wide: list[str] = []
+        wide: dict[str, tuple[dict, int]] = {}
         for group in stats.by_type(dataset, self.columns()).values():
             counts = materialise(stats.value_counts(dataset, group), "categories")
             sizes = _sized(counts)
-            if sparse:
-                wide += [c for c in group if c in sizes and sizes[c][0] > MAX_CATEGORIES]
+            many = [c for c in group if vector and c in sizes and sizes[c][0] > INLINE_CATEGORIES]
+            coded = _coded_counts(counts, many, "ordinal")
+            wide |= {c: (coded[c], sizes[c][0]) for c in many}
             _read_categories(counts, [c for c in group if c not in wide], listed)
         narrow = self.model({c: listed[c] for c in self.columns() if c in listed})
         if not wide:
             return narrow
-        return PipelineModel([narrow, *Pipeline(stages=sparse_one_hot(wide)).fit(dataset).stages])
+        return PipelineModel([narrow, *[s for c, (state, n) in wide.items() for s in _wide_one_hot(dataset, c, state, n, missing)]])
 
     def model(self, listed: dict[str, list]) -> OneHotModel:
         state = {
@@ -407,14 +408,30 @@ class OneHotEncode(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWrit
         return OneHotModel.of(list(listed), state)
 
 
+def _wide_one_hot(dataset: DataFrame, c: str, state: dict, n: int, missing: bool) -> list[Transformer]:
+    """Stages that turn one column into a sparse vector over its sorted categories.
+
+    The position comes from the dictionary; an unknown value gets a position beyond the
+    vector, and so no slot. A missing value does too, or takes the slot after the last.
+    """
+    width = n + missing
+    gone = f"`{c}` IS NULL" + (f" OR isnan(`{c}`)" if dataset.schema[c].dataType.simpleString() in ("float", "double") else "")
+    beside = f"coalesce(CAST(`{c}_code` AS DOUBLE), CASE WHEN {gone} THEN {n}D ELSE {width}D END) AS `{c}_slot`"
+    encoder = OneHotEncoder(inputCols=[f"{c}_slot"], outputCols=[f"{c}_onehot"], dropLast=True, handleInvalid="keep")
+    return [
+        SQLTransformer(statement=f"SELECT *, `{c}` AS `{c}_code` FROM __THIS__"),
+        DictionaryModel.of([f"{c}_code"], {"columns": {f"{c}_code": state}, "unknown": "null", "spread_by": []}),
+        SQLTransformer(statement=f"SELECT *, {beside} FROM __THIS__"),
+        encoder.fit(dataset.sparkSession.createDataFrame([(float(width - 1),)], f"`{c}_slot` double")),
+        DropColumns(inputCols=[c, f"{c}_code", f"{c}_slot"]),
+    ]
+
+
 def _read_categories(counts: DataFrame, names: Sequence[str], into: dict[str, list]) -> None:
-    """Sorted texts of the categories of each column, after their number was checked."""
+    """Sorted texts of the categories of each column: one name for each column or class that
+    the caller asked for, so as many as the plan or model holds anyway."""
     if not names:
         return
-    sizes = _sized(counts.where(F.col("column").isin(list(names))))
-    for c in names:
-        if c in sizes and sizes[c][0] > MAX_CATEGORIES:
-            raise ValueError(f"column {c} has {sizes[c][0]} categories; too many for one column each")
     text = as_text(counts, "value").alias("text")
     found: dict[str, list] = {c: [] for c in names}
     for r in counts.where(F.col("column").isin(list(names))).select("column", "value", text).collect():
@@ -424,7 +441,7 @@ def _read_categories(counts: DataFrame, names: Sequence[str], into: dict[str, li
 
 
 def sorted_categories(dataset: DataFrame, names: Sequence[str]) -> dict[str, list[str]]:
-    """The categories of several columns in order, read after their number was checked."""
+    """The categories of several columns in order."""
     listed: dict[str, list] = {c: [] for c in names}
     for group in stats.by_type(dataset, names).values():
         _read_categories(materialise(stats.value_counts(dataset, group), "categories"), group, listed)
@@ -495,11 +512,15 @@ class RoutedEncode(Estimator, _Columns, _Spread, DefaultParamsReadable, DefaultP
         limit = self.getOrDefault(self.threshold)
         few: dict[str, list] = {}
         many: dict[str, dict] = {}
+        wide: list[tuple[str, dict, int]] = []
         for group in stats.by_type(dataset, names).values():
             counts = materialise(stats.value_counts(dataset, group), "routed")
             sizes = _sized(counts)
             low = [c for c in group if sizes.get(c, (0, 0, 0))[0] < limit]
-            _read_categories(counts, low, few)
+            inline = [c for c in low if sizes.get(c, (0, 0, 0))[0] <= INLINE_CATEGORIES or self.getOrDefault(self.output) == "columns"]
+            _read_categories(counts, inline, few)
+            coded = _coded_counts(counts, [c for c in low if c not in inline], "ordinal")
+            wide += [(c, state, sizes[c][0]) for c, state in coded.items()]
             many |= _coded_counts(counts, [c for c in group if c not in low], "frequency")
         low = [c for c in names if c in few]
         high = [c for c in names if c in many]
@@ -507,6 +528,7 @@ class RoutedEncode(Estimator, _Columns, _Spread, DefaultParamsReadable, DefaultP
         if low:
             encoder = OneHotEncode(inputCols=low, output=self.getOrDefault(self.output))
             stages.append(encoder.model({c: few[c] for c in low}))
+        stages += [s for c, state, n in wide for s in _wide_one_hot(dataset, c, state, n, False)]
         if high:
             state = {
                 "columns": {c: many[c] for c in high},

@@ -59,6 +59,10 @@ def hash_split(df: DataFrame, key: str | Sequence[str], fraction: float = 0.2, s
 def exact_test_rows(df: DataFrame, key: str | Sequence[str], fraction: float = 0.2, seed: int = 42) -> Column:
     """A predicate that holds for exactly ceil(fraction * n) rows: those of lowest hash.
 
+    Rows of one key stay together, whatever their number: where the key repeats, the group
+    at the cut is taken whole, so the share is the smallest one of whole groups that reaches
+    the fraction.
+
     Rows are counted by the leading hash digits, 4096 counts at a time, and only the
     bucket that holds the cut is looked at again. Its last row to take is found by a
     bounded top-n, after which the split is a plain comparison with two literals.
@@ -84,7 +88,7 @@ def exact_test_rows(df: DataFrame, key: str | Sequence[str], fraction: float = 0
         if rows <= CUT_ROWS:
             break
         if len(prefix) >= 32:
-            raise ValueError("the key does not identify rows: too many share one hash")
+            return key_hash(keys, seed) <= F.lit(prefix)  # one key holds the whole bucket
     bucket = hashed.where(F.col("h").startswith(prefix)).orderBy("h", *[quoted(k) for k in keys])
     last = bucket.offset(need - skipped - 1).first()
     h = key_hash(keys, seed)
@@ -98,6 +102,6 @@ def exact_test_rows(df: DataFrame, key: str | Sequence[str], fraction: float = 0
 
 
 def exact_split(df: DataFrame, key: str | Sequence[str], fraction: float = 0.2, seed: int = 42) -> Split:
-    """Split with exact sizes; the key must identify rows."""
+    """Split with exact sizes, up to the last group where the key repeats."""
     test = exact_test_rows(df, key, fraction, seed)
     return Split(train=df.where(~test), test=df.where(test))

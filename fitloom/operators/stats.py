@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialise
-from .columns import quoted
+from .columns import present, quoted
 
 # A running total over at most this many rows may use one ordinary window.
 WINDOW_ROWS = 1_000_000
@@ -48,7 +48,7 @@ def value_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 def distinct_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """One row with the exact number of distinct non-missing values per column."""
-    return df.agg(*[F.count_distinct(quoted(n)).alias(n) for n in names])
+    return df.agg(*[F.count_distinct(present(df, n)).alias(n) for n in names])
 
 
 def relative_frequencies(df: DataFrame, name: str) -> DataFrame:
@@ -207,8 +207,8 @@ def key_hash64(df: DataFrame, on: Sequence[str], like: DataFrame | None = None)
     return F.xxhash64(*parts)
 
 
-def frequent_key_hashes(df: DataFrame, on: Sequence[str], share: float = 0.001, least: int = 100_000) -> list[int]:
-    """Hashes of every key with over ``share`` of the rows and at least ``least`` of them.
+def frequent_key_hashes(df: DataFrame, on: Sequence[str], share: float = 0.0001, least: int = 100_000) -> dict[int, int]:
+    """Rows of every key with over ``share`` of the rows and at least ``least`` of them, by hash.
 
     There are at most 1/share. A heavy-hitter sketch gives a superset in one pass that
     shuffles no keys; a second pass counts just those candidates.
@@ -216,7 +216,7 @@ def frequent_key_hashes(df: DataFrame, on: Sequence[str], share: float = 0.001,
     hashes = df.select(key_hash64(df, on).alias("h"))
     candidates = hashes.stat.freqItems(["h"], share).first()[0]
     if not candidates:
-        return []
+        return {}
     counted = hashes.groupBy(F.when(F.col("h").isin(candidates), F.col("h")).alias("h")).count().collect()
     rows = sum(r["count"] for r in counted)
-    return sorted(r["h"] for r in counted if r["h"] is not None and r["count"] >= max(least, share * rows))
+    return {r["h"]: r["count"] for r in counted if r["h"] is not None and r["count"] >= max(least, share * rows)}

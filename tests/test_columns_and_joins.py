@@ -74,12 +74,14 @@ def test_hot_keys_change_the_plan_but_not_the_rows(spark, null_safe):
     assert salted.count() == expected
 
 
-def test_salted_pieces_share_the_hot_key(spark):
+def test_salted_pieces_share_the_hot_key(spark, monkeypatch):
+    monkeypatch.setattr(combine, "PIECE_ROWS", 1000)
     left = spark.range(64_000).select("id", F.lit(7).alias("k"))
     right = spark.createDataFrame([(7, "r")], "k int, r string")
     hot = stats.frequent_key_hashes(left, ["k"], least=1000)
-    salt = F.pmod(F.xxhash64("id"), F.lit(combine.SALTS))
-    assert len(hot) == 1
+    assert list(hot.values()) == [64_000]
+    salt = F.pmod(F.xxhash64("id"), F.lit(64))  # as many pieces as a thousand rows each need
+    assert ", 63, None" in combine.inner_join(left, right, "k", hot=hot)._jdf.queryExecution().analyzed().toString()
     assert left.groupBy(salt).count().agg(F.max("count")).first()[0] < 2000
     assert combine.inner_join(left, right, "k", hot=hot, spread_by="id").count() == 64_000
 
@@ -111,15 +113,15 @@ def test_composite_keys_and_small_tables(spark):
     left = spark.createDataFrame([(1, "a", 1.0), (1, "b", 2.0)], "x int, y string, v double")
     right = spark.createDataFrame([(1, "a", 9.0)], "x int, y string, w double")
     assert bag(combine.inner_join(left, right, ["x", "y"])) == [(1, "a", 1.0, 9.0)]
-    assert stats.frequent_key_hashes(left, ["x"]) == []
-    assert stats.frequent_key_hashes(left.limit(0), ["x"]) == []
+    assert stats.frequent_key_hashes(left, ["x"]) == {}
+    assert stats.frequent_key_hashes(left.limit(0), ["x"]) == {}
 
 
 def test_lookup_paths_agree(spark):
     rows = [(i, "hot" if i % 2 else f"v{i % 50}" if i % 5 else None) for i in range(1000)]
     df = spark.createDataFrame(rows, "id bigint, v string")
     entries = spark.createDataFrame([("hot", 0.5)] + [(f"v{i}", float(i)) for i in range(0, 50, 4)], "value string, code double")
-    hot = entries.where("value = 'hot'")
+    hot = entries.where("value = 'hot'").withColumn("value", combine.digest("value"))
     small = combine.lookup(df, "v", entries, "c", small=True)
     large = combine.lookup(df, "v", entries, "c", hot=hot, spread_by="id")
     unknown_hot = combine.lookup(df, "v", entries, "c")
@@ -160,3 +162,12 @@ def test_stacked_predictions(spark):
 def test_column_function_runs_on_batches(people):
     shout = column_function(lambda s: s.str.upper(), "string")
     assert [r[0] for r in people.select(shout("name")).collect()] == ["A", None]
+
+
+def test_missing_is_null_or_nan_everywhere(spark):
+    df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,), (None,), (1.0,)], "x double")
+    assert [r[0] for r in df.select(cols.is_missing(df, "x")).collect()] == [0, 1, 0, 1, 0]
+    assert stats.distinct_counts(df, ["x"]).first().x == 2
+    assert cols.columns_by_cardinality(df, ["x"], 3) == (["x"], [])
+    text = spark.createDataFrame([("NaN",), (None,)], "x string")
+    assert [r[0] for r in text.select(cols.is_missing(text, "x")).collect()] == [0, 1]

@@ -89,21 +89,47 @@ def test_one_hot_vectors_dense_and_sparse(spark):
         assert [r["v"] for r in made.collect()] == [[0.0, 1.0], [0.0, 0.0], [0.0, 0.0]]
 
 
-def test_too_many_categories_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(en, "MAX_CATEGORIES", 2)
-    df = frame(spark, ["a", "b", "c"])
-    with pytest.raises(ValueError, match="3 categories"):
-        en.OneHotEncode(inputCols=["c"]).fit(df)
-
-
-def test_wide_blocks_become_sparse_vectors(spark, monkeypatch):
-    df = spark.createDataFrame([(0, "a", "x"), (1, "b", "y"), (2, "c", None)], "id int, c string, d string")
-    dense = en.OneHotEncode(inputCols=["c", "d"], output="vector").fit(df).transform(df)
-    monkeypatch.setattr(en, "MAX_CATEGORIES", 2)
-    mixed = en.OneHotEncode(inputCols=["c", "d"], output="vector").fit(df).transform(df)
-    assert set(mixed.columns) == {"id", "c_onehot", "d_onehot"}
-    rows = [m.orderBy("id").select(vector_to_array("c_onehot"), vector_to_array("d_onehot")).collect() for m in (dense, mixed)]
-    assert rows[0] == rows[1] and rows[0][2] == ([0.0, 0.0, 1.0], [0.0, 0.0])
+@pytest.mark.parametrize("missing", [False, True])
+def test_wide_blocks_have_the_slots_of_narrow_ones(spark, monkeypatch, missing):
+    nan = float("nan")
+    rows = [(0, "a", 10.0), (1, "b", 9.0), (2, "c", nan), (3, None, None), (4, "b", 100.0)]
+    df = spark.createDataFrame(rows, "id int, c string, x double")
+    other = spark.createDataFrame([(0, "z", 11.0), (1, None, nan), (2, "a", 9.0)], df.schema)
+
+    def made(model, table):
+        return model.transform(table).orderBy("id").select(vector_to_array("c_onehot"), vector_to_array("x_onehot")).collect()
+
+    encoder = en.OneHotEncode(inputCols=["c", "x"], output="vector", missingAsCategory=missing)
+    narrow = encoder.fit(df)
+    monkeypatch.setattr(en, "INLINE_CATEGORIES", 2)
+    wide = encoder.fit(df)
+    assert made(wide, df) == made(narrow, df) and made(wide, other) == made(narrow, other)
+    assert made(wide, df)[1][1][:3] == [1.0, 0.0, 0.0] and sum(made(wide, df)[2][1]) == missing
+    assert set(wide.transform(df).columns) == {"id", "c_onehot", "x_onehot"}
+
+
+def test_many_categories_are_columns_or_slots_as_asked(spark):
+    df = spark.range(1200).select("id", F.concat(F.lit("k"), F.lpad((F.col("id") % 600).cast("string"), 4, "0")).alias("c"))
+    assert len(en.OneHotEncode(inputCols=["c"]).fit(df).transform(df).columns) == 601
+    routed = en.RoutedEncode(inputCols=["c"], threshold=1000, output="vector").fit(df).transform(df)
+    row = routed.where("id = 607").select(vector_to_array("c_onehot").alias("v")).first()
+    assert len(row.v) == 600 and row.v.index(1.0) == 7
+
+
+def test_nan_gets_the_median_and_an_indicator(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, float("nan")), (3, 3.0), (4, 5.0)], "id int, x double")
+    rows = en.FillNumbers(exclude=["id"]).fit(df).transform(df).orderBy("id").collect()
+    assert [(r.x, r.x_missing) for r in rows] == [(1.0, 0), (3.0, 1), (3.0, 0), (5.0, 0)]
+
+
+def test_a_long_frequent_value_is_listed(spark, monkeypatch):
+    monkeypatch.setattr(en, "SMALL_ENTRIES", 3)
+    long = "x" * 10_000
+    df = spark.range(400).select("id", F.when(F.col("id") % 2 == 0, long).otherwise(F.concat(F.lit("v"), F.col("id").cast("string"))).alias("c"))
+    model = en.FrequencyEncode(inputCols=["c"], spreadBy=["id"]).fit(df)
+    hot = model.fitted()["columns"]["c"]["hot"]
+    assert max(map(len, hot["values"])) == 32 and 0.5 in hot["codes"]
+    assert model.transform(df).where("c = 0.5").count() == 200
 
 
 def test_frequency(spark):

@@ -99,9 +99,16 @@ def test_exact_split_has_exact_size(spark, monkeypatch, n, fraction, limit):
 
 def test_exact_split_of_nothing_and_of_duplicates(spark, monkeypatch):
     assert split.exact_split(spark.range(0), "id").test.count() == 0
+    rows = spark.range(100).select(F.floor(F.col("id") / 10).alias("g"), "id").union(spark.range(30).select(F.lit(77).alias("g"), "id"))
+    sides = []
+    for limit in (100_000, 3):  # the same groups, whatever the size
+        monkeypatch.setattr(split, "CUT_ROWS", limit)
+        parts = split.exact_split(rows, "g", 0.2)
+        sides.append({(r.g, r.n) for r in parts.test.groupBy("g").agg(F.count("*").alias("n")).collect()})
+        assert parts.test.count() >= 26 and parts.test.count() + parts.train.count() == 130
+    assert sides[0] == sides[1] and all(n == (30 if g == 77 else 10) for g, n in sides[0])
     monkeypatch.setattr(split, "CUT_ROWS", 3)
-    with pytest.raises(ValueError, match="does not identify rows"):
-        split.exact_split(spark.range(9).select(F.lit(1).alias("id")), "id")
+    assert split.exact_split(spark.range(9).select(F.lit(1).alias("id")), "id").test.count() == 9
 
 
 def test_exact_split_with_composite_key(spark):
@@ -121,3 +128,36 @@ def test_share_must_be_a_share(spark):
     for cut in (split.hash_split, split.exact_split):
         with pytest.raises(ValueError):
             cut(spark.range(3), "id", 1.0)
+
+
+NAN = float("nan")
+
+
+@pytest.mark.parametrize("gap", [(None, 0.5), (1, None), (1, NAN)])
+@pytest.mark.parametrize("metric", ["accuracy", "log_loss", "roc_auc", "rmse", "msle", "rmsle"])
+def test_a_missing_value_fails_a_metric_or_is_counted(spark, metric, gap):
+    whole = [(0, 0.25), (1, 0.75), (1, 0.5)]
+    fn = getattr(metrics, metric)
+    df = spark.createDataFrame([*whole, gap], "y int, p double")
+    with pytest.raises(Exception, match="missing label or prediction"):
+        fn(df, "y", "p").collect()
+    kept = fn(df, "y", "p", missing="skip").first()
+    assert kept.n == 3 and kept[0] == fn(spark.createDataFrame(whole, df.schema), "y", "p").first()[0]
+    with pytest.raises(ValueError, match="unknown handling"):
+        fn(df, "y", "p", missing="guess")
+
+
+def test_missing_values_of_several_targets(spark):
+    df = spark.createDataFrame([(0, 1, 0.25, 0.5), (1, None, 0.75, 0.5)], "a int, b int, pa double, pb double")
+    pairs = {"a": "pa", "b": "pb"}
+    for fn in (metrics.log_loss_targets, metrics.exact_match):
+        with pytest.raises(Exception, match="missing label or prediction"):
+            fn(df, pairs).collect()
+        assert fn(df, pairs, missing="skip").first().n == 1
+
+
+def test_labels_other_than_zero_and_one_are_refused(spark):
+    df = spark.createDataFrame([(2, 0.5)], "y int, p double")
+    for fn in (metrics.log_loss, metrics.roc_auc):
+        with pytest.raises(Exception, match="not a 0/1 label"):
+            fn(df, "y", "p").collect()
