@@ -7,6 +7,7 @@ from floating-point sums are rounded so that engines can be compared.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -238,9 +239,11 @@ def features_and_target(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def customer_with_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers with missing values; half of the missing balances are NaN."""
     return table(spark, folder, "customer").select(
         "c_custkey",
-        F.when(F.col("c_custkey") % 7 != 0, F.col("c_acctbal")).alias("c_acctbal"),
+        F.when(F.col("c_custkey") % 7 != 0, F.col("c_acctbal"))
+        .when(F.col("c_custkey") % 2 == 0, F.lit("NaN").cast("double")).alias("c_acctbal"),
         F.when(F.col("c_custkey") % 5 != 0, F.col("c_mktsegment")).alias("c_mktsegment"),
         F.when(F.col("c_custkey") % 3 != 0, F.col("c_nationkey")).alias("c_nationkey"),
     )
@@ -249,7 +252,7 @@ def customer_with_gaps(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def null_indicator(spark: SparkSession, folder: str) -> DataFrame:
     gaps = customer_with_gaps(spark, folder)
-    return gaps.select("c_custkey", cols.is_missing("c_acctbal").alias("no_balance"), cols.is_missing("c_mktsegment").alias("no_segment"))
+    return gaps.select("c_custkey", cols.is_missing(gaps, "c_acctbal").alias("no_balance"), cols.is_missing(gaps, "c_mktsegment").alias("no_segment"))
 
 
 def label_scores(spark: SparkSession, folder: str) -> DataFrame:
@@ -801,10 +804,23 @@ def with_suffix(df: DataFrame) -> DataFrame:
 @query
 def raw_or_marked_input(spark: SparkSession, folder: str) -> DataFrame:
     """Raw input passes the upstream step, a table given at the mark does not."""
-    names = table(spark, folder, "customer").select("c_custkey", F.col("c_name").alias("Names"))
-    from_raw = workloads.name_length_features(with_suffix(names)).withColumnRenamed("Names", "raw_length")
-    at_mark = workloads.name_length_features(names).withColumnRenamed("Names", "marked_length")
-    return combine.concat_columns(from_raw, at_mark, "c_custkey")
+    names = table(spark, folder, "customer").select("c_custkey", F.col("c_name").alias("Names"), F.lit(0).alias("label"))
+    plan = workloads.name_baseline("c_custkey", with_suffix)
+    both = plan.at_mark(names.withColumn("as_given", F.col("Names")))
+    return both.select("c_custkey", text_length("Names").alias("raw_length"), text_length("as_given").alias("marked_length"))
+
+
+@query
+def model_sees_the_marked_table(spark: SparkSession, folder: str) -> DataFrame:
+    """A class set by the length of a name: right for raw input and for a table at the mark only
+    if the upstream step ran once for the one and not at all for the other."""
+    names = table(spark, folder, "part").select("p_partkey", F.col("p_name").alias("Names"))
+    raw = names.withColumn("label", (F.char_length("Names") + 5 > 15).cast("int"))
+    plan = replace(workloads.name_baseline("p_partkey", with_suffix), model=exact_forest(maxBins=64))
+    learner = plan.make_learner().fit(raw=raw.where(~unlabelled("p_partkey")))
+    test = names.where(unlabelled("p_partkey"))
+    sides = [learner.predict(raw=test).withColumn("input", F.lit("raw")), learner.predict(features=with_suffix(test)).withColumn("input", F.lit("marked"))]
+    return combine.union_by_name(sides)
 
 
 @query
@@ -841,38 +857,58 @@ def eval_rebind(spark: SparkSession, folder: str) -> DataFrame:
     return combine.union_by_name(sides)
 
 
+def unlabelled(key: str) -> Column:
+    """A fifth of the keys, whose label the models have to predict."""
+    return F.pmod(F.col(key), F.lit(5)) == 0
+
+
+def exact_forest(**options):
+    """Every tree may look at every column, so a rule over one column is found by each."""
+    return forest_classifier(featureSubsetStrategy="all", **options)
+
+
 def surface_outcome(spark: SparkSession, folder: str, **options) -> workloads.Outcome:
+    """Lines as measurements of orders; the class of an order is set by one of its columns."""
     measurements = table(spark, folder, "lineitem").drop("l_returnflag", "l_linestatus", "l_shipdate")
     measurements = measurements.withColumnRenamed("l_orderkey", "o_orderkey")
-    labels = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
-    key = ["o_orderkey", *LINE_KEY[1:]]
+    measurements = measurements.withColumn("band", F.pmod("o_orderkey", F.lit(7)))
+    named = F.when(F.col("o_orderkey") % 7 < 2, "tiles").when(F.col("o_orderkey") % 7 < 5, "carpet").otherwise("wood")
+    labels = table(spark, folder, "orders").select("o_orderkey", named.alias("surface")).where(~unlabelled("o_orderkey"))
     return workloads.robot_surface(
-        measurements, labels, key=key, on="o_orderkey", target="o_orderstatus", drop=[], by="o_orderkey", **options
+        measurements, labels, measurements.where(unlabelled("o_orderkey")), model=exact_forest(),
+        key=["o_orderkey", *LINE_KEY[1:]], on="o_orderkey", drop=[], by="o_orderkey", **options,
     )
 
 
 @query
 def fit_predict_forest(spark: SparkSession, folder: str) -> DataFrame:
-    """Three text classes by a forest; the split keeps the lines of an order together."""
-    return surface_outcome(spark, folder).scored
+    """Three text classes by a forest: the submission for the lines of unlabelled orders."""
+    return surface_outcome(spark, folder).submission
 
 
 @query
 def fit_predict_forest_score(spark: SparkSession, folder: str) -> DataFrame:
-    return surface_outcome(spark, folder, model=forest_classifier(trees=20), fit_scope="all").score
+    return surface_outcome(spark, folder, fit_scope="all").score
 
 
 @query
 def fit_predict_regression(spark: SparkSession, folder: str) -> DataFrame:
-    """Calendar features, a log1p target and boosted trees."""
+    """Calendar features, a log1p target and boosted trees: the submission for unlabelled events."""
     events = event_features(spark, folder).withColumnRenamed("ts", "datetime")
-    return workloads.bike_demand(events, key="event_id", target="value").scored
+    demand = F.when(F.col("workingday") == 1, 120.0).otherwise(35.0) + F.when(F.hour("datetime") < 12, 0.0).otherwise(400.0)
+    train = events.where(~unlabelled("event_id")).withColumn("value", demand)
+    made = workloads.bike_demand(train, events.where(unlabelled("event_id")).drop("value"), key="event_id", target="value")
+    return rounded(made.submission, ["value"], 3)
 
 
 def document_features(spark: SparkSession, folder: str) -> DataFrame:
-    """Labelled documents with features of their whole text."""
-    documents = table(spark, folder, "documents").select(
+    """Labelled documents with features of their whole text; only those texts are looked at."""
+    labels = table(spark, folder, "labels")
+    documents = combine.inner_join(table(spark, folder, "documents"), labels, "doc_id")
+    return documents.select(
         "doc_id",
+        "quality",
+        "toxic",
         "lang",
         "source",
         "n_chars",
@@ -881,16 +917,22 @@ def document_features(spark: SparkSession, folder: str) -> DataFrame:
         F.regexp_count("text", F.lit("[0-9]")).alias("digits"),
         F.regexp_count("text", F.lit("[A-Z]")).alias("capitals"),
     )
-    return combine.inner_join(table(spark, folder, "labels"), documents, "doc_id", hot=[])
+
+
+def language_labels(docs: DataFrame) -> DataFrame:
+    """Two labels that the language of a document decides."""
+    return docs.withColumns({"quality": (F.col("lang") == "en").cast("int"), "toxic": F.col("lang").isin("de", "fr").cast("int")})
 
 
 @query
 def fit_predict_gbt(spark: SparkSession, folder: str) -> DataFrame:
-    """Routed categorical encoding and boosted trees, probability of class 1."""
-    train = document_features(spark, folder).drop("toxic")
-    return workloads.categorical_target(
-        train, key="doc_id", target="quality", ordinal=["lang"], nominal=["source"]
-    ).scored
+    """Routed categorical encoding and boosted trees: the likelier class of unlabelled documents."""
+    docs = language_labels(document_features(spark, folder)).drop("toxic")
+    made = workloads.categorical_target(
+        docs.where(~unlabelled("doc_id")), docs.where(unlabelled("doc_id")).drop("quality"),
+        key="doc_id", target="quality", ordinal=["lang"], nominal=["source"],
+    )
+    return rounded(made.submission, ["quality"], 0)
 
 
 @query
@@ -900,16 +942,22 @@ def fit_predict_boosted_regression(spark: SparkSession, folder: str) -> DataFram
     gaps = part.select(
         "p_partkey",
         "p_type",
-        F.when(F.col("p_partkey") % 5 != 0, F.col("p_brand")).alias("p_brand"),
-        F.when(F.col("p_partkey") % 7 != 0, F.col("p_size")).alias("p_size"),
-        "p_retailprice",
+        F.when(F.col("p_partkey") % 5 != 2, F.col("p_brand")).alias("p_brand"),
+        F.when(F.col("p_partkey") % 7 != 0, F.col("p_retailprice")).alias("list_price"),
+        (F.col("p_size") % 4).alias("grade"),
+    )
+    price = F.when(F.col("p_type") == "ECONOMY", 100.0).otherwise(250.0) * (1 + F.col("grade"))
+    made = workloads.house_prices(
+        gaps.where(~unlabelled("p_partkey")).withColumn("price", price), gaps.where(unlabelled("p_partkey")), key="p_partkey", target="price"
     )
-    return workloads.house_prices(gaps, key="p_partkey", target="p_retailprice").scored
+    return rounded(made.submission, ["price"], 0)
 
 
 def two_target_outcome(spark: SparkSession, folder: str, **options) -> workloads.Outcome:
+    docs = language_labels(document_features(spark, folder))
     return workloads.game_events(
-        document_features(spark, folder),
+        docs.where(~unlabelled("doc_id")),
+        docs.where(unlabelled("doc_id")).drop("quality", "toxic"),
         key="doc_id",
         targets=["quality", "toxic"],
         drop=[],
@@ -920,29 +968,81 @@ def two_target_outcome(spark: SparkSession, folder: str, **options) -> workloads
 
 @query
 def two_target_learner(spark: SparkSession, folder: str) -> DataFrame:
-    """Two boosted classifiers over one feature matrix, predictions beside the key."""
-    return two_target_outcome(spark, folder).scored
+    """Two boosted classifiers over one feature matrix: the likelier class of both targets."""
+    return rounded(two_target_outcome(spark, folder).submission, ["quality", "toxic"], 0)
+
+
+def generated_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Generated features; the labels are rules over a column with few values."""
+    made = synthetic_table(spark, folder).withColumn("feat3", F.col("feat3") % 10)
+    return made.withColumns({"label1": (F.col("feat3") >= 4).cast("int"), "label2": (F.col("feat3") < 7).cast("int")})
 
 
 @query
 def two_target_forest(spark: SparkSession, folder: str) -> DataFrame:
     """Two forests on generated features, one row per order; both labels must be right."""
-    made = synthetic_table(spark, folder).select("id", "feat1", "feat2", F.col("label").alias("label1"))
-    made = made.withColumn("label2", hashed_integers("id", "label2", 42, 0, 2))
-    return workloads.two_targets(made).scored
+    made = generated_rows(spark, folder).select("id", "feat2", "feat3", "label1", "label2")
+    test = made.where(unlabelled("id")).drop("label1", "label2")
+    return workloads.two_targets(made.where(~unlabelled("id")), test, model=exact_forest()).submission
 
 
 @query
 def one_target_forest(spark: SparkSession, folder: str) -> DataFrame:
-    made = synthetic_table(spark, folder).withColumn("feat5", hashed_normal("id", "feat5", 42))
-    return workloads.one_target(made).scored
+    """An interaction and scaled columns; the label is a rule over one of them."""
+    made = generated_rows(spark, folder).withColumns({"feat5": F.col("feat3").cast("double"), "label": F.col("label1")}).drop("label1", "label2")
+    return workloads.one_target(made.where(~unlabelled("id")), made.where(unlabelled("id")).drop("label"), model=exact_forest()).submission
 
 
 @query
 def learner_reload(spark: SparkSession, folder: str) -> DataFrame:
     """Predictions of a learner that was saved and loaded."""
-    outcome = two_target_outcome(spark, folder, model=forest_classifier(trees=20))
+    outcome = two_target_outcome(spark, folder, model=exact_forest())
     path = scratch_path(spark, "learner")
     outcome.learner.save(path)
-    return FittedLearner.load(path).predict(features=document_features(spark, folder), output="both")
+    scored = FittedLearner.load(path).predict(features=language_labels(document_features(spark, folder)), output="both")
+    return rounded(scored, ["quality_probability", "toxic_probability"], 0)
 
+
+@query
+def many_text_classes(spark: SparkSession, folder: str) -> DataFrame:
+    """A text target with six hundred classes."""
+    kind = F.concat(F.lit("kind-"), F.lpad((F.col("o_orderkey") % 600).cast("string"), 3, "0"))
+    named = table(spark, folder, "orders").select("o_orderkey", "o_totalprice", kind.alias("kind"))
+    plan = FeaturePlan(key="o_orderkey", target="kind", model=PriorClassifier())
+    return plan.make_learner().fit(raw=named).predict(raw=named.drop("kind"))
+
+
+@query
+def prior_of_any_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    """Negative and fractional classes keep their values and their shares."""
+    rows = table(spark, folder, "orders").select("o_orderkey", ((F.col("o_orderkey") % 5) * 0.75 - 1.5).alias("label"))
+    learner = FeaturePlan(key="o_orderkey", target="label", model=PriorClassifier(labelCol="label"), stages=[]).make_learner()
+    scored = learner.fit(raw=rows.withColumn("x", F.lit(1.0))).predict(raw=rows.withColumn("x", F.lit(1.0)), output="both")
+    classes = F.transform("label_probability", lambda p: F.round(p, 9))
+    return scored.select("o_orderkey", F.col("label_prediction").cast("double").alias("label_prediction"), F.size(classes).alias("classes"), F.round(F.aggregate(classes, F.lit(0.0), lambda a, p: a + p), 6).alias("total"))
+
+
+@query
+def one_hot_wide(spark: SparkSession, folder: str) -> DataFrame:
+    """Hundreds of numbers as one sparse vector: slots in numeric order, missing ones without."""
+    rows = table(spark, folder, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 11 != 0, (F.col("o_orderkey") % 700) * 1.5).otherwise(F.lit("NaN").cast("double")).alias("x"))
+    made = encode.OneHotEncode(inputCols=["x"], output="vector").fit(rows).transform(rows)
+    ones = F.filter(F.transform(vector_to_array("x_onehot"), lambda v, i: F.when(v == 1.0, i)), lambda i: i.isNotNull())
+    return made.select("o_orderkey", F.coalesce(F.get(ones, F.lit(0)), F.lit(-1)).cast("int").alias("slot"), F.size(ones).alias("n_ones"))
+
+
+@query
+def split_exact_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole orders, of lowest hash, until a fifth of the lines is reached."""
+    lines = table(spark, folder, "lineitem").select(*LINE_KEY)
+    return with_side(lines, exact_test_rows(lines, "l_orderkey", 0.2, 42))
+
+
+@query
+def metric_skip_missing(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows without a label or with NaN as prediction left out, and the number of those used."""
+    gaps = table(spark, folder, "orders").select(
+        F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderkey") % 2).alias("y"),
+        F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderkey") % 4 / 2.0 % 2).otherwise(F.lit("NaN").cast("double")).alias("p"),
+    )
+    return metrics.accuracy(gaps, "y", "p", missing="skip")

@@ -36,6 +36,7 @@ TARGET_TRANSFORMS: dict[str, tuple[Callable[[Column], Column], str]] = {
     "log": (checked_ln, "exp"),
 }
 SPLIT_SEED = 42
+MODELS_AT_ONCE = 4
 
 
 def _names(value: str | Sequence[str]) -> tuple[str, ...]:
@@ -170,7 +171,7 @@ class Learner:
         keys = [quoted(k) for k in plan.keys]
         matrix = preparation.transform(table).select(*keys, *[quoted(c) for c in labels.values()], "features")
         partitions = plan.partitions or _training_partitions(table)
-        row_hash = F.xxhash64(*keys, "features")
+        row_hash = F.xxhash64(*keys)
         matrix = matrix.repartition(partitions, row_hash).sortWithinPartitions(*keys, row_hash)
         shared_dir(table.sparkSession)
         matrix = matrix.persist(StorageLevel.MEMORY_AND_DISK)
@@ -191,11 +192,12 @@ class Learner:
 def _training_partitions(table: DataFrame) -> int:
     """Small matrices in few partitions, large ones in pieces that fit a task's memory.
 
-    This counts the rows; a plan with ``partitions`` set saves that pass.
+    The rows alone decide, as forests draw their bags by partition: the same table gives
+    the same model on any cluster. This counts the rows; a plan with ``partitions`` set
+    saves that pass.
     """
     rows = table.count()
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return max(1, min(cores, math.ceil(rows / 20_000)), math.ceil(rows / 2_000_000))
+    return max(1, min(8, math.ceil(rows / 20_000)), math.ceil(rows / 2_000_000))
 
 
 def _fit_models(plan: FeaturePlan, labels: dict[str, str], matrix: DataFrame) -> dict[str, Model]:
@@ -206,7 +208,8 @@ def _fit_models(plan: FeaturePlan, labels: dict[str, str], matrix: DataFrame) ->
     holds on to its training summary and with it to the session.
     """
     inherit = inheritable_thread_target(matrix.sparkSession)
-    with ThreadPoolExecutor(len(plan.models)) as pool:
+    matrix.count()  # stored once, before several models ask for it
+    with ThreadPoolExecutor(min(len(plan.models), MODELS_AT_ONCE)) as pool:
         running = {t: pool.submit(inherit(_wired(m, t, labels[t]).fit), matrix) for t, m in plan.models.items()}
         return {t: future.result().copy() for t, future in running.items()}
 
@@ -292,11 +295,20 @@ class FittedLearner:
                 columns.append(chosen.alias(f"{t}_probability"))
         return scored.select(*columns)
 
-    def submission(self, scored: DataFrame, output: str = "prediction", names: Mapping[str, str] | None = None) -> DataFrame:
-        """Key columns and one output column per target, named after the target."""
+    def submission(
+        self,
+        scored: DataFrame,
+        output: str = "prediction",
+        names: Mapping[str, str] | None = None,
+        key: str | Sequence[str] | None = None,
+    ) -> DataFrame:
+        """Key columns and one output column per target, named after the target.
+
+        ``key`` may name kept columns instead of the row key.
+        """
         named = names or {t: t for t in self.targets}
         return submission(
-            scored, self.keys, {named[t]: quoted(f"{t}_{output}") for t in self.targets}
+            scored, _names(key) if key else self.keys, {named[t]: quoted(f"{t}_{output}") for t in self.targets}
         )
 
     def save(self, path: str) -> None:

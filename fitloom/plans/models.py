@@ -16,6 +16,8 @@ from ..operators.stats import value_counts
 
 # Model settings.
 FOREST_TREES = 100
+# Megabytes for the statistics of one pass over the rows: more of a tree level fits a pass.
+LEVEL_MEMORY = 1024
 BOOSTING_ROUNDS = 100
 BOOSTING_RATE = 0.1
 SEED = 42
@@ -23,19 +25,19 @@ SEED = 42
 
 def forest_classifier(trees: int = FOREST_TREES, seed: int = SEED, **options) -> RandomForestClassifier:
     """Random forest for two or more classes."""
-    settings = {"maxDepth": 10, "featuresCol": "features"} | options
+    settings = {"maxDepth": 10, "featuresCol": "features", "maxMemoryInMB": LEVEL_MEMORY} | options
     return RandomForestClassifier(numTrees=trees, seed=seed, **settings)
 
 
 def boosted_classifier(rounds: int = BOOSTING_ROUNDS, rate: float = BOOSTING_RATE, seed: int = SEED, **options) -> GBTClassifier:
     """Gradient-boosted trees for a 0/1 target; five levels hold about 31 leaves."""
-    settings = {"maxDepth": 5, "featuresCol": "features"} | options
+    settings = {"maxDepth": 5, "featuresCol": "features", "maxMemoryInMB": LEVEL_MEMORY} | options
     return GBTClassifier(maxIter=rounds, stepSize=rate, seed=seed, **settings)
 
 
 def boosted_regressor(rounds: int = BOOSTING_ROUNDS, rate: float = BOOSTING_RATE, seed: int = SEED, **options) -> GBTRegressor:
     """Gradient-boosted regression trees with squared error."""
-    settings = {"maxDepth": 5, "featuresCol": "features"} | options
+    settings = {"maxDepth": 5, "featuresCol": "features", "maxMemoryInMB": LEVEL_MEMORY} | options
     return GBTRegressor(maxIter=rounds, stepSize=rate, seed=seed, **settings)
 
 
@@ -48,7 +50,8 @@ class _PriorParams(Params):
 class PriorClassifier(Estimator, _PriorParams, DefaultParamsReadable, DefaultParamsWritable):
     """Baseline: predicts the largest class and the class shares; lowest class on a tie.
 
-    Classes are the numbers 0..k-1, as for the tree models.
+    Classes are the distinct label numbers in order, whatever they are; a label of zeros
+    and ones always has both.
     """
 
     @keyword_only
@@ -70,17 +73,17 @@ class PriorClassifier(Estimator, _PriorParams, DefaultParamsReadable, DefaultPar
 
     def _fit(self, dataset: DataFrame) -> PriorModel:
         label = self.getOrDefault(self.labelCol)
-        counts = value_counts(dataset.select(F.col(label).cast("int").alias(label)), [label])
-        top = counts.agg(F.max("value")).first()[0]
-        if top is None:
-            raise ValueError("no labelled rows")
-        if top > 10_000:
-            raise ValueError("the label looks like a number, not a class")
+        counts = value_counts(dataset.select(F.col(label).cast("double").alias(label)), [label])
         found = {r["value"]: r["n"] for r in counts.collect()}
-        total = sum(found.values())
-        shares = [found.get(k, 0) / total for k in range(max(top, 1) + 1)]
+        if not found:
+            raise ValueError("no labelled rows")
+        if set(found) <= {0.0, 1.0}:
+            found = {0.0: 0, 1.0: 0} | found
+        classes, total = sorted(found), sum(found.values())
+        shares = [found[k] / total for k in classes]
         model = PriorModel()
         model._set(
+            classes=classes,
             shares=shares,
             predictionCol=self.getOrDefault(self.predictionCol),
             probabilityCol=self.getOrDefault(self.probabilityCol),
@@ -89,6 +92,7 @@ class PriorClassifier(Estimator, _PriorParams, DefaultParamsReadable, DefaultPar
 
 
 class PriorModel(Model, _PriorParams, DefaultParamsReadable, DefaultParamsWritable):
+    classes = Param(Params._dummy(), "classes", "the classes in order", TypeConverters.toListFloat)
     shares = Param(Params._dummy(), "shares", "share of each class", TypeConverters.toListFloat)
 
     @property
@@ -96,10 +100,10 @@ class PriorModel(Model, _PriorParams, DefaultParamsReadable, DefaultParamsWritab
         return len(self.getOrDefault(self.shares))
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        shares = self.getOrDefault(self.shares)
+        shares, classes = self.getOrDefault(self.shares), self.getOrDefault(self.classes)
         return dataset.withColumns(
             {
-                self.getOrDefault(self.predictionCol): F.lit(float(shares.index(max(shares)))),
+                self.getOrDefault(self.predictionCol): F.lit(classes[shares.index(max(shares))]),
                 self.getOrDefault(self.probabilityCol): array_to_vector(F.array(*[F.lit(s) for s in shares])),
             }
         )

@@ -251,4 +251,44 @@ ORACLE: dict[str, str] = {
     "eval_rebind": """WITH u AS (SELECT c_custkey AS id, (c_acctbal > 0)::INTEGER AS label, 'customer' AS input FROM customer
             UNION ALL SELECT s_suppkey, (s_acctbal > 5000)::INTEGER, 'supplier' FROM supplier)
         SELECT id, label, (avg(label::DOUBLE) OVER (PARTITION BY input) > 0.5)::INTEGER AS label_prediction, input FROM u""",
+    # models: the right prediction of every unlabelled row
+    "fit_predict_forest": """SELECT l_orderkey AS o_orderkey, l_linenumber, l_partkey, l_suppkey,
+            CASE WHEN l_orderkey % 7 < 2 THEN 'tiles' WHEN l_orderkey % 7 < 5 THEN 'carpet' ELSE 'wood' END AS surface
+        FROM lineitem WHERE l_orderkey % 5 = 0""",
+    "fit_predict_forest_score": "SELECT 1::DOUBLE AS accuracy",
+    "fit_predict_regression": """SELECT event_id, (CASE WHEN isodow(ts) < 6 THEN 120 ELSE 35 END
+            + CASE WHEN hour(ts) < 12 THEN 0 ELSE 400 END)::DOUBLE AS value FROM events WHERE event_id % 5 = 0""",
+    "fit_predict_gbt": """SELECT doc_id, (lang = 'en')::INTEGER::DOUBLE AS quality
+        FROM labels JOIN documents USING (doc_id) WHERE doc_id % 5 = 0""",
+    "fit_predict_boosted_regression": """SELECT p_partkey,
+            (CASE WHEN p_type = 'ECONOMY' THEN 100 ELSE 250 END * (1 + p_size % 4))::DOUBLE AS price
+        FROM part WHERE p_partkey % 5 = 0""",
+    "two_target_learner": """SELECT doc_id, (lang = 'en')::INTEGER::DOUBLE AS quality, (lang IN ('de', 'fr'))::INTEGER::DOUBLE AS toxic
+        FROM labels JOIN documents USING (doc_id) WHERE doc_id % 5 = 0""",
+    "two_target_forest": f"""WITH t AS (SELECT o_orderkey AS id, floor({_uniform('o_orderkey', 'feat3', '100')})::BIGINT % 10 AS f FROM orders)
+        SELECT id, (f >= 4)::INTEGER AS label1, (f < 7)::INTEGER AS label2 FROM t WHERE id % 5 = 0""",
+    "one_target_forest": f"""WITH t AS (SELECT o_orderkey AS id, floor({_uniform('o_orderkey', 'feat3', '100')})::BIGINT % 10 AS f FROM orders)
+        SELECT id, (f >= 4)::INTEGER AS label FROM t WHERE id % 5 = 0""",
+    "learner_reload": """WITH t AS (SELECT doc_id, (lang = 'en')::INTEGER AS q, (lang IN ('de', 'fr'))::INTEGER AS t
+            FROM labels JOIN documents USING (doc_id))
+        SELECT doc_id, q AS quality, t AS toxic, q AS quality_prediction, q::DOUBLE AS quality_probability,
+            t AS toxic_prediction, t::DOUBLE AS toxic_probability FROM t""",
+    "model_sees_the_marked_table": """SELECT p_partkey, (length(p_name) + 5 > 15)::INTEGER AS label_prediction, input
+        FROM part, (VALUES ('raw'), ('marked')) AS i(input) WHERE p_partkey % 5 = 0""",
+    "many_text_classes": """WITH t AS (SELECT 'kind-' || lpad((o_orderkey % 600)::VARCHAR, 3, '0') AS kind FROM orders),
+            best AS (SELECT kind FROM t GROUP BY kind ORDER BY count(*) DESC, kind LIMIT 1)
+        SELECT o_orderkey, best.kind AS kind_prediction FROM orders, best""",
+    "prior_of_any_numbers": """WITH t AS (SELECT (o_orderkey % 5) * 0.75::DOUBLE - 1.5::DOUBLE AS label FROM orders),
+            best AS (SELECT label FROM t GROUP BY label ORDER BY count(*) DESC, label LIMIT 1)
+        SELECT o_orderkey, best.label AS label_prediction, 5 AS classes, 1::DOUBLE AS total FROM orders, best""",
+    "one_hot_wide": """WITH t AS (SELECT DISTINCT o_orderkey % 700 AS v FROM orders WHERE o_orderkey % 11 <> 0),
+            r AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS slot FROM t)
+        SELECT o_orderkey, CASE WHEN o_orderkey % 11 <> 0 THEN slot ELSE -1 END::INTEGER AS slot,
+            (o_orderkey % 11 <> 0)::INTEGER AS n_ones FROM orders LEFT JOIN r ON v = o_orderkey % 700""",
+    "split_exact_groups": f"""WITH h AS (SELECT {LINE_KEY}, md5(l_orderkey::VARCHAR || '_42') AS h FROM lineitem),
+            r AS (SELECT h, row_number() OVER (ORDER BY h) AS r, count(*) OVER () AS n FROM h),
+            cut AS (SELECT min(h) AS c FROM r WHERE r >= ceil(0.2::DOUBLE * n))
+        SELECT {LINE_KEY}, CASE WHEN h <= c THEN 'test' ELSE 'train' END AS side FROM h, cut""",
+    "metric_skip_missing": """SELECT avg((o_orderkey % 2 = (o_orderkey % 4) / 2.0 % 2)::INTEGER::DOUBLE) AS accuracy, count(*) AS n
+        FROM orders WHERE o_orderkey % 3 <> 0 AND o_orderkey % 7 <> 0""",
 }

@@ -52,6 +52,7 @@ def run(
     by: str | Sequence[str] | None = None,
     exact: bool = False,
     fit_scope: str = "train",
+    submission_key: str | Sequence[str] | None = None,
 ) -> Outcome:
     """Split, fit on the training part, score the rest, and predict ``test``.
 
@@ -66,7 +67,7 @@ def run(
     scored = learner.predict(features=parts.test, output="both" if output == "probability" else output)
     submission = None
     if test is not None:
-        submission = learner.submission(learner.predict(raw=test, output=output), output)
+        submission = learner.submission(learner.predict(raw=test, output=output), output, key=submission_key)
     return Outcome(learner, scored, metric(scored), submission)
 
 
@@ -132,7 +133,11 @@ def categorical_target(
     train: DataFrame, test: DataFrame | None = None, model: Estimator | None = None, key: str = "id",
     target: str = "target", ordinal: Sequence[str] | None = None, nominal: Sequence[str] | None = None, **options,
 ) -> Outcome:
-    """Ordinal codes for binary and ordered columns, routed encoding for nominal ones, AUC."""
+    """Ordinal codes for binary and ordered columns, routed encoding for nominal ones, AUC.
+
+    The encoders are fitted on all labelled rows, so a category that only validation rows
+    have is known.
+    """
     features = drop_columns(train, [key, target])
     if ordinal is None:
         ordinal = columns_containing(features, "bin") + columns_containing(features, "ord")
@@ -148,7 +153,8 @@ def categorical_target(
             FillNumbers(exclude=[key, target, f"_label_{target}"]),
         ],
     )
-    return run(plan, train, test, lambda s: metrics.roc_auc(s, target, f"{target}_probability"), output="probability", **({"seed": 0, "exact": True} | options))
+    settings = {"seed": 0, "exact": True, "fit_scope": "all", "output": "probability"} | options
+    return run(plan, train, test, lambda s: metrics.roc_auc(s, target, f"{target}_probability"), **settings)
 
 
 def house_prices(
@@ -165,7 +171,7 @@ def house_prices(
     plan = FeaturePlan(
         key=key,
         target=target,
-        model=model or boosted_regressor(),
+        model=model or boosted_regressor(maxDepth=HOUSE_DEPTH),
         stages=column_groups([g for g in groups if g[2]], keep=[key, target, f"_label_{target}"]),
         target_transform="log",
     )
@@ -177,6 +183,9 @@ def house_prices(
     return run(plan, train, test, rmse_of_logs, **({"seed": 0, "exact": True} | options))
 
 
+# Fixed value: tree depth of the house price model.
+HOUSE_DEPTH = 3
+
 # Columns of the game table that are no features.
 GAME_COLUMNS = ("game_num", "event_id", "event_time", "player_scoring_next", "team_scoring_next")
 GAME_TARGETS = ("team_A_scoring_within_10sec", "team_B_scoring_within_10sec")

@@ -178,3 +178,35 @@ def test_scoring_is_narrow(points):
     fitted = plan().make_learner().fit(raw=points)
     text = fitted.predict(raw=points)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in text.split("InMemoryRelation")[0]
+
+
+def test_rows_alone_decide_the_training_layout(spark, monkeypatch):
+    from fitloom.plans import learner
+
+    sizes = {1: 1, 20_000: 1, 20_001: 2, 160_000: 8, 16_000_000: 8, 20_000_000: 10}
+    for rows, parts in sizes.items():
+        table = type("Table", (), {"count": lambda self, rows=rows: rows})()
+        assert learner._training_partitions(table) == parts
+
+
+def test_a_submission_may_have_kept_columns_as_key(spark):
+    rows = spark.createDataFrame([(i, i // 2, float(i % 2), i % 2) for i in range(40)], "row_id int, series_id int, x double, y int")
+    plan = FeaturePlan(key="row_id", target="y", model=forest_classifier(trees=5, featureSubsetStrategy="all"), keep=["series_id"])
+    learner = plan.make_learner().fit(raw=rows)
+    made = learner.submission(learner.predict(raw=rows.drop("y")), key="series_id")
+    assert made.columns == ["series_id", "y"] and made.count() == 40
+
+
+def test_prior_keeps_any_class(spark):
+    rows = spark.createDataFrame([(-1.0,), (0.4,), (0.4,), (1.9,)], "label double")
+    scored = PriorClassifier().fit(rows).transform(rows).first()
+    assert scored.prediction == 0.4 and scored.probability.toArray().tolist() == [0.25, 0.5, 0.25]
+    ones = spark.createDataFrame([(1.0,)], "label double")
+    assert PriorClassifier().fit(ones).transform(ones).first().probability.toArray().tolist() == [0.0, 1.0]
+
+
+def test_a_category_of_validation_rows_only_is_known(spark):
+    rows = [(i, f"o{i % 5}" if i else "rare", "n", i % 2) for i in range(60)]
+    df = spark.createDataFrame(rows, "id int, ord_1 string, nom_1 string, target int")
+    made = workloads.categorical_target(df, model=forest_classifier(trees=3), fraction=0.5)
+    assert made.scored.count() == 30 and made.score.first()[0] is not None
