@@ -26,7 +26,7 @@ from ..functions.scalars import checked_ln, checked_log1p
 from ..operators.columns import drop_columns, quoted
 from ..operators.encode import FeatureVector, sorted_categories
 from ..operators.split import Split, exact_split, hash_split
-from ..session import shared_dir
+from ..session import materialise, shared_dir
 from ..sources.csv_files import submission
 from ..sources.preview import preview
 
@@ -154,6 +154,9 @@ class Learner:
         ``stage_rows`` lets the stages, but not the models, see other rows than the
         training ones; leave it out to keep every statistic inside the training rows.
 
+        The table at the mark is written once: the class list, the statistics, the row count
+        and the matrix all read it, so a join before the mark runs once.
+
         The model matrix is spread over a fixed number of partitions by row hash and
         sorted within them, so the result does not depend on the layout of the input
         and a key held by many rows crowds no partition. It is stored once and shared
@@ -164,7 +167,7 @@ class Learner:
         absent = [n for n in (*plan.keys, *plan.targets) if n not in table.columns]
         if absent:
             raise KeyError(f"no such column: {absent}")
-        table, labels, texts = _with_labels(table, plan)
+        table, labels, texts = _with_labels(materialise(table, "training"), plan)
         exclude = [*plan.keys, *plan.targets, *plan.keep, *labels.values()]
         seen = table if stage_rows is None else drop_columns(stage_rows, plan.drop, missing_ok=True)
         preparation = Pipeline(stages=[*plan.stages, FeatureVector(exclude=exclude)]).fit(seen)

@@ -69,5 +69,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(write_table(df, name))
 
 
+def clean_up(spark: SparkSession) -> None:
+    """Delete all intermediate tables below the shared folder.
+
+    For the end of a job: tables that are still to be computed from them would fail.
+    """
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/fitloom")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def available_cores(default: int = 8) -> int:
     return int(os.environ.get("BENCH_CPUS", default))

@@ -144,3 +144,14 @@ def test_files_have_a_bounded_number_of_rows(spark, tmp_path):
     so.write_csv(spark.range(95).coalesce(1), path, rows_per_file=20)
     files = [p for p in (tmp_path / "out").iterdir() if p.name.startswith("part-")]
     assert len(files) == 5 and so.read_csv(spark, path).count() == 95
+
+
+def test_clean_up_deletes_intermediate_tables_only(tmp_path, spark, monkeypatch):
+    from fitloom import session
+
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    (tmp_path / "other").mkdir()
+    session.materialise(spark.range(3), "t")
+    assert (tmp_path / "fitloom").exists()
+    session.clean_up(spark)
+    assert not (tmp_path / "fitloom").exists() and (tmp_path / "other").exists()
