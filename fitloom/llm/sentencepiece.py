@@ -30,8 +30,9 @@ from fitloom.session import materialise
 CHUNK = 1 << 16
 #: Characters of a stretch's beginning whose path is kept.
 HEAD = 8
-#: Stretches and pairs that a worker keeps; a memory bound.
-KEPT_STRETCHES, KEPT_PAIRS = 300_000, 500_000
+#: Stretches, pairs and beginnings that a worker keeps; a memory bound, as workers live on
+#: when their task is done.
+KEPT_STRETCHES, KEPT_PAIRS, KEPT_HEADS = 200_000, 200_000, 150_000
 #: A chunk border is moved back up to so far to a position that no piece crosses.
 SEARCH = 512
 
@@ -109,6 +110,8 @@ class Model:
         self._tails = {k: tuple(sorted(v, reverse=True)) for k, v in tails.items()}
         #: Neighbouring characters within pieces; no piece crosses between any others.
         self._joined = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
+        #: One object for each piece, so that what is kept shares them.
+        self._same = {p: p for p in self.ids}
         self._heads: dict[str, list[str | None]] = {}
         self._kept: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
@@ -136,7 +139,7 @@ class Model:
             if len(self._pairs) >= KEPT_PAIRS:
                 self._pairs.clear()
             known = (not left or self.fits("", right)) and self.merged(left + right) == ([left, right] if left else [right])
-            self._pairs[left, right] = known
+            self._pairs[self._same.get(left, left), self._same.get(right, right)] = known
         return known
 
     def path(self, text: str, start: int, left: str, end: int) -> list[str | None]:
@@ -167,9 +170,10 @@ class Model:
             return self._onward(stretch, 0, [""], len(stretch))
         head = self._heads.get(stretch[:HEAD])
         if head is None:
-            if len(self._heads) >= KEPT_STRETCHES:
+            if len(self._heads) >= KEPT_HEADS:
                 self._heads.clear()
-            head = self._heads[stretch[:HEAD]] = self._onward(stretch, 0, [""], HEAD)
+            head = [p and self._same.get(p, p) for p in self._onward(stretch, 0, [""], HEAD)]
+            self._heads[stretch[:HEAD]] = head
         return self._onward(stretch, 0, head, len(stretch))
 
     def trace(self, last: list[str | None], at: int) -> list[str]:

@@ -297,8 +297,11 @@ def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) ->
     """The rows of ``docs`` that score below ``threshold``."""
     sample, count = _sample(docs, labels)
     terms = _chosen_terms(sample)
-    told = features(F.col("text"), terms)
-    frequencies = materialise(docs.select(told.alias("f")).select("f.at"), "toxicity-terms")
-    vote = _scored(_model(sample, count, terms, frequencies))
-    scored = docs.withColumn("_f", told).withColumn("_s", vote("_f.at", "_f.n"))
-    return scored.where(F.col("_s.score") < threshold).select(docs.columns)
+    frequencies = materialise(docs.select(features(F.col("text"), terms).alias("f")).select("f.at"), "toxicity-terms")
+    model = _model(sample, count, terms, frequencies)
+
+    @F.arrow_udf("boolean")
+    def clean(texts: pa.Array) -> pa.Array:
+        return pa.array([model.score(*terms.count(t.as_py()))[0] < threshold for t in texts], pa.bool_())
+
+    return docs.where(clean(F.col("text").cast("string")))
