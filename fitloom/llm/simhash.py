@@ -61,9 +61,14 @@ def _remixed(hashes: np.ndarray, round_: int) -> np.ndarray:
     return z ^ (z >> np.uint64(31))
 
 
-def fingerprint(text: str | None, size: int = 3, words: int = 1) -> bytes:
-    """``words`` times 64 bits, big-endian; a bit is 1 if set in over half of the hashes."""
+def fingerprint(text: str | None, size: int = 3, words: int = 1, repeats: bool = True) -> bytes:
+    """``words`` times 64 bits, big-endian; a bit is 1 if set in over half of the hashes.
+
+    Without ``repeats`` a shingle counts once, as in a Jaccard similarity.
+    """
     hashes, out = shingle_hashes(text, size), b""
+    if not repeats:
+        hashes = np.unique(hashes)
     for k in range(words):
         parts = _remixed(hashes, k).astype("<u8").view(np.uint8).reshape(-1, 8)
         ones = np.concatenate([np.bincount(parts[:, i], minlength=256) @ _BITS for i in range(8)])
@@ -72,12 +77,14 @@ def fingerprint(text: str | None, size: int = 3, words: int = 1) -> bytes:
     return out
 
 
-def fingerprints(docs: DataFrame, size: int = 3, words: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(
+    docs: DataFrame, size: int = 3, words: int = 1, repeats: bool = True, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """``(doc_id, fp)`` for every row; a null text has the all-zero fingerprint."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps = [fingerprint(t.as_py(), size, words) for t in batch.column(1)]
+            fps = [fingerprint(t.as_py(), size, words, repeats) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.binary())], ["doc_id", "fp"])
 
     narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -98,7 +105,7 @@ def pigeonhole_shards(radius: int, blocks: int) -> Callable[[np.ndarray], np.nda
     return keys
 
 
-def band_shards(bits: int = 16) -> Callable[[np.ndarray], np.ndarray]:
+def band_shards(bits: int = 14) -> Callable[[np.ndarray], np.ndarray]:
     """One shard for each band of ``bits`` equal bits, for fingerprints of several words."""
 
     def keys(fps: np.ndarray) -> np.ndarray:
@@ -250,6 +257,7 @@ def near_duplicates(
     words: int = 1,
     radius: int = 3,
     shards: Callable[[np.ndarray], np.ndarray] | None = None,
+    repeats: bool = True,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -260,7 +268,7 @@ def near_duplicates(
     empty texts share the zero fingerprint and are linked like any other; rows with a null id
     are linked too but never name a component. An empty table gives an empty table.
     """
-    known = materialise(fingerprints(docs, size, words, id_col, text_col), "simhash")
+    known = materialise(fingerprints(docs, size, words, repeats, id_col, text_col), "simhash")
     nodes = materialise(known.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-nodes")
     links = linked(nodes, shards or pigeonhole_shards(radius, radius + 2), radius)
     roots = connected_components(links, "simhash-links")
@@ -272,17 +280,20 @@ def near_duplicates(
     return out.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
 
 
-def keep_one_of_each(docs: DataFrame, size: int = 5, words: int = 6, radius: int = 63, bits: int = 16) -> DataFrame:
+def keep_one_of_each(docs: DataFrame, size: int = 5, words: int = 6, radius: int = 66, bits: int = 14) -> DataFrame:
     """The rows of ``docs`` without near copies: of each group, the smallest ``doc_id`` stays.
 
-    Fingerprints of ``words`` times 64 bits over shingles of ``size`` words measure the angle
-    between shingle counts; a Jaccard similarity of 0.8 is an angle of 0.151 pi, so 58 of 384
+    Fingerprints of ``words`` times 64 bits over the set of shingles of ``size`` words measure
+    the angle between sets; a Jaccard similarity of 0.8 is an angle of 0.151 pi, so 58 of 384
     bits, and ``radius`` adds one deviation. Rows of one id count as one document, of which
     one row stays; rows without an id stay.
     """
-    grouped = near_duplicates(docs, size, words, radius, band_shards(bits))
-    gone = grouped.where("component_id != doc_id").select("doc_id").distinct()
+    grouped = near_duplicates(docs, size, words, radius, band_shards(bits), repeats=False)
+    gone = materialise(grouped.where("component_id != doc_id").select("doc_id").distinct(), "simhash-gone")
     rest = docs.join(gone, "doc_id", "left_anti")
-    twice = rest.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    twice = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
+    twice = materialise(twice, "simhash-twice")
+    if twice.isEmpty():
+        return rest.select(docs.columns)
     once = rest.join(twice, "doc_id", "left_anti")
     return once.unionByName(rest.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(docs.columns)
