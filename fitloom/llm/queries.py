@@ -97,4 +97,27 @@ ORACLE: dict[str, str] = {
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM scored)
         WHERE r <= 10
     """,
+    "op6_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+            f AS (SELECT h, min(page_id) AS first FROM p WHERE strlen(h) >= 100 GROUP BY h)
+        SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha256(h) AS payload_digest,
+            CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+            CASE WHEN first < page_id THEN first END AS refers_to, true AS intact
+        FROM p LEFT JOIN f USING (h)
+    """,
+    "op8_chat": r"""
+        WITH r AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, t, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(t, r)
+        ), c AS (
+            SELECT *, len(regexp_extract_all(text, '[<\[]\\*(\||/?s>|/?INST\]|</?SYS>>)')) AS escapes FROM r
+        )
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+            coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            sum(length('<|turn|><|body|><|end|>') + length(role) + length(text) + escapes)::BIGINT AS formatted_chars,
+            0::BIGINT AS attachment_tokens
+        FROM c GROUP BY conv_id
+    """,
 }
