@@ -38,6 +38,8 @@ from .combine import as_text, digest, lookup
 # A dictionary up to this size is kept inside the fitted stage and broadcast.
 SMALL_ENTRIES = 20_000
 SMALL_BYTES = 4 << 20
+# All dictionaries of one fit that are kept so, smallest first; the others stay tables.
+SMALL_TOTAL_BYTES = 64 << 20
 # A value above this share counts as frequent. There are at most 1/share of them; they are
 # listed by digest, so a long one takes no more room than a short one.
 HOT_SHARE = 0.0001
@@ -193,8 +195,14 @@ def _sized(counts: DataFrame) -> dict[str, tuple[int, int, int]]:
     return {r["column"]: (r["entries"], r["bytes"], r["rows"]) for r in rows.collect()}
 
 
-def _is_small(size: tuple[int, int, int]) -> bool:
-    return size[0] <= SMALL_ENTRIES and size[1] <= SMALL_BYTES
+def _small_columns(sizes: dict[str, tuple[int, int, int]]) -> list[str]:
+    """Columns whose dictionaries are read back: each small, and all of them within the limit."""
+    small, total = [], 0
+    for c, (entries, size, _) in sorted(sizes.items(), key=lambda item: item[1][1]):
+        total += size + 16 * entries
+        if entries <= SMALL_ENTRIES and size <= SMALL_BYTES and total <= SMALL_TOTAL_BYTES:
+            small.append(c)
+    return small
 
 
 def _inline(rows: list, code) -> dict:
@@ -226,7 +234,7 @@ def _coded_counts(counts: DataFrame, names: Sequence[str], kind: str) -> dict[st
         return {}
     counts = counts.where(F.col("column").isin(list(names)))
     sizes = _sized(counts)
-    small = [c for c in names if c in sizes and _is_small(sizes[c])]
+    small = _small_columns(sizes)
     rows: dict[str, list] = {c: [] for c in names}
     if small:
         text = as_text(counts, "value").alias("text")

@@ -211,3 +211,13 @@ def test_fitted_stages_apply_to_a_stream(spark, tmp_path):
     running.stop()
     got = spark.table("scored").select("id", "c", "x").orderBy("id").collect()
     assert got == model.transform(df).select("id", "c", "x").orderBy("id").collect()
+
+
+def test_small_dictionaries_have_a_common_limit(spark, monkeypatch):
+    df = spark.range(30).select("id", *[(F.col("id") % n).cast("string").alias(f"c{n}") for n in (3, 5, 7)])
+    names = ["c3", "c5", "c7"]
+    inline = en.OrdinalEncode(inputCols=names).fit(df)
+    monkeypatch.setattr(en, "SMALL_TOTAL_BYTES", 3 * 17 + 5 * 17)
+    mixed = en.OrdinalEncode(inputCols=names).fit(df)
+    assert ["table" in mixed.fitted()["columns"][c] for c in names] == [False, False, True]
+    assert sorted(mixed.transform(df).collect()) == sorted(inline.transform(df).collect())
