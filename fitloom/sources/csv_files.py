@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -67,6 +69,18 @@ def _header(spark: SparkSession, path: str) -> list[str]:
     return spark.read.csv(path, header=True).columns
 
 
+def _files_by_header(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """All files below the paths, grouped by their first line, from one job over all of them.
+
+    Only the first block of a file is looked at, and one line of each is kept.
+    """
+    lines = spark.read.text(paths).select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("n"))
+    first = lines.where("file_block_start = 0").groupBy("file_path").agg(F.min_by("value", "n").alias("header"))
+    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("file_path")).alias("files"))
+    found = {tuple(next(csv.reader([r.header]))): [unquote(f) for f in r.files] for r in groups.collect()}
+    return dict(sorted(found.items(), key=lambda group: group[1][0]))  # columns in the order of the first file by name
+
+
 def _scan_text(spark: SparkSession, paths: list[str], header: list[str], multi_line: bool) -> DataFrame:
     strings = T.StructType([T.StructField(name, T.StringType()) for name in header])
     return spark.read.csv(
@@ -146,8 +160,7 @@ def read_csv(
         raise ValueError("no files given")
     by_header: dict[tuple[str, ...], list[str]] = {}
     if mixed_headers:
-        for path in files:
-            by_header.setdefault(tuple(_header(spark, path)), []).append(path)
+        by_header = _files_by_header(spark, files)
     else:
         by_header[tuple(_header(spark, files[0]))] = files
 

@@ -155,3 +155,14 @@ def test_clean_up_deletes_intermediate_tables_only(tmp_path, spark, monkeypatch)
     assert (tmp_path / "fitloom").exists()
     session.clean_up(spark)
     assert not (tmp_path / "fitloom").exists() and (tmp_path / "other").exists()
+
+
+def test_headers_of_many_files_in_odd_places(spark, tmp_path):
+    folder = tmp_path / "with space & 50%"
+    folder.mkdir()
+    for i in range(6):
+        names = ["a", "b c"] if i % 2 else ["b c", "a"]
+        values = {"a": i, "b c": f"t{i}"}
+        (folder / f"f {i}.csv").write_text(",".join(f'"{n}"' for n in names) + "\n" + ",".join(str(values[n]) for n in names) + "\n")
+    df = so.read_csv(spark, [str(folder / f"f {i}.csv") for i in range(6)], mixed_headers=True)
+    assert sorted((r["a"], r["b c"]) for r in df.collect()) == [(i, f"t{i}") for i in range(6)]
