@@ -666,9 +666,10 @@ def readable(lines: DataFrame) -> DataFrame:
 @query
 def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "orders")
-    orders = table(spark, folder, "orders").drop("o_orderdate")
+    orders = table(spark, folder, "orders")
     write_csv(orders, path)
-    return read_csv(spark, path, orders.schema)
+    back = read_csv(spark, path, orders.schema)
+    return back.withColumn("o_orderdate", stamp("o_orderdate"))
 
 
 @query

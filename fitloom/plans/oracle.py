@@ -107,7 +107,8 @@ ORACLE: dict[str, str] = {
     "select_by_exclusion": "SELECT p_partkey, p_name, p_size, p_retailprice FROM part",
     "select_by_position": "SELECT doc_id, toxic FROM labels",
     "drop_strict": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
-    "drop_lenient": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
+    "drop_lenient": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,
+            strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate FROM orders""",
     "derive_columns": f"""SELECT {LINE_KEY}, l_quantity, l_extendedprice, l_discount,
             round(l_quantity * l_discount, 6) AS new_feat, round(l_extendedprice / 24, 6) AS unit FROM lineitem""",
     "overwrite_block": f"""SELECT {LINE_KEY}, round(l_discount * 100, 6) AS l_discount, round(l_tax * 100, 6) AS l_tax
@@ -216,7 +217,8 @@ ORACLE: dict[str, str] = {
         FROM (SELECT *, l_quantity * l_discount AS new_feat FROM lineitem)""",
     "feature_vector": """SELECT p_partkey, 2::INTEGER AS width, p_size::DOUBLE AS first, p_retailprice AS second FROM part""",
     # sources and sinks
-    "csv_roundtrip": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
+    "csv_roundtrip": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,
+            strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate FROM orders""",
     "csv_inferred": """SELECT p_partkey, p_name, p_brand, p_type, p_size::BIGINT AS p_size, p_retailprice,
             'p_partkey:bigint,p_name:string,p_brand:string,p_type:string,p_size:bigint,p_retailprice:double' AS types
         FROM part""",
