@@ -274,7 +274,8 @@ def near_duplicates(
     roots = connected_components(links, "simhash-links")
     named = nodes.join(roots, nodes.fp == roots.node, "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     named = materialise(named, "simhash-roots")
-    lowest = named.groupBy("root").agg(F.min("first").alias("component_id"))
+    # written, so that the join with the many members of one root stands alone and can be split
+    lowest = materialise(named.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-lowest")
     component = named.join(lowest, "root").select("fp", "component_id")
     out = known.join(component, "fp")
     return out.select("doc_id", F.lower(F.hex("fp")).alias("fingerprint"), "component_id")
