@@ -18,6 +18,7 @@ import struct
 from array import array
 from collections.abc import Iterator
 from functools import cache
+from operator import concat
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,9 @@ CHUNK = 1 << 16
 HEAD = 8
 #: Stretches, pairs and beginnings that a worker keeps; a memory bound, as workers live on
 #: when their task is done.
-KEPT_STRETCHES, KEPT_PAIRS, KEPT_HEADS = 200_000, 200_000, 150_000
+KEPT_STRETCHES, KEPT_PAIRS, KEPT_HEADS = 160_000, 400_000, 100_000
+#: Rows whose ids are handed on together.
+ROWS = 500
 #: A chunk border is moved back up to so far to a position that no piece crosses.
 SEARCH = 512
 
@@ -102,11 +105,15 @@ class Model:
             raise ValueError("pieces cross word starts, or bytes are missing")
         own = "".join(c for c in "\n\r\t" if c not in alphabet)
         self._stretch = re.compile(f"{SPACE}*[^{SPACE}{own}]+|{SPACE}+" + (f"|[{own}]" if own else ""))
-        tails: dict[str, set[int]] = {}
+        def short(tail: str) -> set[int]:
+            return {1} | {n for n in (2, 3) if tail[-n:] in self.ids and n <= len(tail)}
+
+        tails: dict[str, set[int]] = {p[-3:]: short(p[-3:]) for p in self.ids if len(p) > 2}
         for p in self.ids:
-            if len(p) > 2:
-                tails.setdefault(p[-3:], {1, 2} if p[-2:] in self.ids else {1}).add(len(p))
-        #: Sizes of the pieces that may end with three characters, longest first.
+            if len(p) > 3:
+                tails.setdefault(p[-4:], short(p[-4:])).add(len(p))
+        #: Sizes of the pieces that may end with four characters, or up to three with three,
+        #: longest first.
         self._tails = {k: tuple(sorted(v, reverse=True)) for k, v in tails.items()}
         #: Neighbouring characters within pieces; no piece crosses between any others.
         self._joined = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
@@ -152,13 +159,13 @@ class Model:
         pairs, tails, ids, last = self._pairs, self._tails, self.ids, list(known)
         for i in range(len(known), end - start + 1):
             stop, found = start + i, None
-            sizes = tails.get(text[stop - 3 : stop]) if i > 2 else None
+            sizes = (tails.get(text[stop - 4 : stop]) if i > 3 else None) or (tails.get(text[stop - 3 : stop]) if i > 2 else None)
             for size in sizes or (_TWO if i > 1 and text[stop - 2 : stop] in ids else _ONE):
                 before = last[i - size] if size <= i else None
                 if before is not None:
                     piece = text[stop - size : stop]
                     fits = pairs.get((before, piece))
-                    if fits or fits is None and (size < 3 or piece in ids) and self.fits(before, piece):
+                    if fits or fits is None and (size < 4 or piece in ids) and self.fits(before, piece):
                         found = piece
                         break
             last.append(found)
@@ -212,8 +219,8 @@ class Model:
             found = self._older.get(stretch)
             if found is None:
                 joined = self._joined
-                cuts = [i for i in range(1, len(stretch)) if stretch[i - 1 : i + 1] not in joined]
-                if cuts:
+                if not joined.issuperset(map(concat, stretch, stretch[1:])):
+                    cuts = [i for i in range(1, len(stretch)) if stretch[i - 1 : i + 1] not in joined]
                     found = b"".join([self.encode_stretch(stretch[a:b]) for a, b in zip([0, *cuts], [*cuts, len(stretch)], strict=True)])
                 else:
                     found = self.numbers(self.trace(self._last(stretch), len(stretch)))
@@ -343,16 +350,19 @@ def _lists(values: list[np.ndarray]) -> pa.ListArray:
 
 
 def _whole(path: str):
-    @F.arrow_udf("struct<ids:array<int>,exact:boolean>")
-    def encoded(texts: pa.Array) -> pa.Array:
-        model, values, exact = load(path), [], []
-        for value in texts:
-            text = value.as_py() or ""
-            values.append(model.encode(text))
-            exact.append(model.decode(values[-1]) == text)
-        return pa.StructArray.from_arrays([_lists(values), pa.array(exact)], ["ids", "exact"])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = load(path)
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                values, exact = [], []
+                for value in part.column(1):
+                    text = value.as_py() or ""
+                    values.append(model.encode(text))
+                    exact.append(model.decode(values[-1]) == text)
+                yield pa.RecordBatch.from_arrays([part.column(0), _lists(values), pa.array(exact)], ["doc_id", "ids", "exact"])
 
-    return encoded
+    return run
 
 
 def decoded(ids: Column, path: str) -> Column:
@@ -443,7 +453,7 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     giant = F.coalesce(F.char_length("text") > CHUNK, F.lit(False))
-    whole = rows.where(~giant).select("doc_id", _whole(path)("text").alias("e")).select("doc_id", "e.*")
+    whole = rows.where(~giant).mapInArrow(_whole(path), "doc_id long, ids array<int>, exact boolean")
 
     large = rows.where(giant).select(F.monotonically_increasing_id().alias("row"), "doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("digest"), "text")
     chunks = materialise(large.mapInArrow(_split(path), _CHUNK), "sentencepiece-chunks").repartition("row", "chunk")
