@@ -106,3 +106,25 @@ def test_one_of_each_group_stays(spark):
     kept = simhash.keep_one_of_each(frame(spark, rows))
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert sorted((r.doc_id for r in kept.collect()), key=str) == [2, 9, None]
+
+
+@pytest.mark.parametrize("pieces", [3, 256])
+def test_only_sets_that_are_similar_enough_are_near_copies(spark, monkeypatch, pieces):
+    monkeypatch.setattr(simhash, "PIECE_SETS", pieces)
+    rng, rows = random.Random(12), []
+    for k in range(60):  # changed words cost five shingles each: similarities from 0.6 to 0.95
+        n = rng.choice([7, 12, 40, 150, 400])
+        base = [f"w{rng.randrange(9000)}" for _ in range(n)]
+        for i in range(4):
+            near = list(base)
+            for at in rng.sample(range(n), rng.randint(0, max(1, n // 25))):
+                near[at] = f"x{rng.randrange(9000)}"
+            rows.append((10 * k + i, " ".join(near[rng.randint(0, 1) :])))
+    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for _, t in rows]
+    roots = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 5 * len(a & sets[j]) >= 4 * len(a | sets[j]):
+                roots = [min(roots[i], roots[j]) if r in (roots[i], roots[j]) else r for r in roots]
+    kept = {r.doc_id for r in simhash.keep_one_of_each(frame(spark, rows)).collect()}
+    assert kept == {rows[r][0] for r in roots} and 60 < len(kept) < 220
