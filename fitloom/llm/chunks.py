@@ -104,24 +104,28 @@ def _chunks(batch: pa.RecordBatch, rows: list, starts: list, sizes: list, words:
 
 
 def repeated_passages(docs: DataFrame, least_words: int = LEAST_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, start, end, words, first_doc_id, keep)``, one row for each passage of a
-    document that also stands in another one.
-
-    Offsets are bytes of the text's UTF-8. ``first_doc_id`` is the smallest id that has the
-    passage's first chunk; ``keep`` marks a passage whose chunks all stand in its own document
-    first, so that dropping the others leaves one copy. Null and empty texts have no passages.
-    Rows of one id are one document, and so are rows without an id; they come last.
+    """``(doc_id, start, end, words, first_doc_id, keep)``: the ranges of passages of
+    ``least_words`` or more words that also stand in other documents.
+
+    Offsets are bytes of the text's UTF-8. A passage is cut where ``keep`` changes, so a range
+    may have fewer words: ``keep`` marks chunks that stand in their own document first, so
+    that dropping the others leaves the first copy of every chunk. ``first_doc_id`` is the
+    smallest id that has the range's first chunk. Null and empty texts have no passages. Rows
+    of one id are one document, and so are rows without an id; they come last.
     """
     key = F.coalesce("doc_id", F.lit((1 << 63) - 1))
     chunks = chunk_table(docs, id_col, text_col)
     shared = chunks.groupBy("d1", "d2").agg(F.min(key).alias("first"), F.max(key).alias("last"))
     shared = shared.where("last > first").drop("last")
-    held = chunks.join(shared, ["d1", "d2"]).select("doc_id", "row", "start", "size", "words", "first")
+    held = chunks.join(shared, ["d1", "d2"]).select("doc_id", "row", "start", "size", "words", "first", (key == F.col("first")).alias("keep"))
     in_order = W.partitionBy("row").orderBy("start")
     gap = F.coalesce(F.lag(F.col("start") + F.col("size")).over(in_order) != F.col("start"), F.lit(True))
-    runs = held.withColumn("gap", gap.cast("int")).withColumn("run", F.sum("gap").over(in_order))
-    passages = runs.groupBy("row", "run").agg(
+    turn = gap | (F.lag("keep").over(in_order) != F.col("keep"))
+    runs = held.withColumn("gap", gap.cast("int")).withColumn("turn", turn.cast("int"))
+    runs = runs.withColumn("run", F.sum("gap").over(in_order)).withColumn("part", F.sum("turn").over(in_order))
+    ranges = runs.groupBy("row", "run", "part").agg(
         F.first("doc_id").alias("doc_id"), F.min("start").alias("start"), F.max(F.col("start") + F.col("size")).alias("end"),
-        F.sum("words").alias("words"), F.min_by("first", "start").alias("first_doc_id"), F.bool_and(key == F.col("first")).alias("keep"),
+        F.sum("words").alias("words"), F.min_by("first", "start").alias("first_doc_id"), F.first("keep").alias("keep"),
     )
-    return passages.where(F.col("words") >= least_words).select("doc_id", "start", "end", "words", "first_doc_id", "keep")
+    whole = F.sum("words").over(W.partitionBy("row", "run"))
+    return ranges.withColumn("whole", whole).where(F.col("whole") >= least_words).select("doc_id", "start", "end", "words", "first_doc_id", "keep")

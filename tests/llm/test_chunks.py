@@ -76,3 +76,22 @@ def test_odd_rows(spark):
     want = [(3, 3, True, 60, n), (4, 3, False, 60, n), (4, 3, False, 60, n), (5, 5, True, 20_000, m), (6, 5, False, 20_000, m), (None, 3, False, 60, n)]
     assert got == sorted(want, key=str)
     assert chunks.repeated_passages(df.where("false")).collect() == []
+
+
+def test_every_chunk_of_overlapping_passages_is_kept_once(spark):
+    rng = random.Random(7)
+    x, y = words(rng, 120), words(rng, 120)
+    texts = {1: x, 2: f"{x} {y}", 3: y}
+    got = chunks.repeated_passages(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    kept, dropped = ({texts[r.doc_id].encode()[r.start : r.end] for r in got if r.keep == k and r.doc_id in (2, 3)} for k in (True, False))
+    assert any(len(part) > len(y) // 2 and part.decode().strip() in y for part in kept)
+    assert {(r.doc_id, r.keep) for r in got} == {(1, True), (2, False), (2, True), (3, False)}
+    left = b"".join(texts[i].encode()[a:b] for i in texts for a, b in stays(texts[i], [r for r in got if r.doc_id == i and not r.keep]))
+    cut = texts[2].encode()
+    for a, b in zip([0, *chunks.borders(cut)], chunks.borders(cut), strict=False):
+        assert left.count(cut[a:b]) >= 1
+
+
+def stays(text, gone):
+    ends = [0, *[e for r in sorted(gone, key=lambda r: r.start) for e in (r.start, r.end)], len(text.encode())]
+    return list(zip(ends[::2], ends[1::2], strict=True))
