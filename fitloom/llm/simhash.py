@@ -288,8 +288,8 @@ def near_duplicates(
 
 
 def _sets(docs: DataFrame, size: int, words: int) -> DataFrame:
-    """``(doc_id, fp, set, n, least)`` for every row: the fingerprint and a digest of the set
-    of shingles, its size and its ``LEAST`` least hashes."""
+    """``(doc_id, text_hash, fp, set, n, least)`` for every row: the fingerprint and a digest of
+    the set of shingles, its size and its ``LEAST`` least hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -300,11 +300,11 @@ def _sets(docs: DataFrame, size: int, words: int) -> DataFrame:
                 digests.append(_digest(hashes))
                 sizes.append(len(hashes))
                 least.append(hashes[:LEAST].view(np.int64))
-            columns = [batch.column(0), pa.array(fps, pa.binary()), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(least, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "fp", "set", "n", "least"])
+            columns = [batch.column(0), batch.column(2), pa.array(fps, pa.binary()), pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(least, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "fp", "set", "n", "least"])
 
-    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return narrow.mapInArrow(run, "doc_id long, fp binary, set binary, n long, least array<long>")
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("text_hash"))
+    return narrow.mapInArrow(run, "doc_id long, text_hash long, fp binary, set binary, n long, least array<long>")
 
 
 def _digest(hashes: np.ndarray) -> bytes:
@@ -393,8 +393,9 @@ def keep_one_of_each(docs: DataFrame, size: int = 5, words: int = 6, radius: int
     similarity of 0.8 or more, compared exactly. Candidates share one of the 16 least hashes
     (such a pair doesn't with a chance below 0.2 to the 16th) and differ in at most ``radius``
     of ``words`` times 64 bits: the worst such pair, sets of 4 and 5, in 72 with a deviation
-    of 7.7, so ``radius`` adds six. Rows of one id count as one document, of which one row
-    stays; rows without an id stay.
+    of 7.7, so ``radius`` adds six. Rows go by their own text: of the rows of one id in a group
+    that it names, the one of least text hash, then of least columns, stays. Rows without an
+    id stay.
     """
     known = materialise(_sets(docs, size, words), "simhash")
     nodes = known.groupBy("set").agg(F.min("doc_id").alias("first"), *[F.first(c).alias(c) for c in ("fp", "n", "least")])
@@ -403,13 +404,18 @@ def keep_one_of_each(docs: DataFrame, size: int = 5, words: int = 6, radius: int
     named = nodes.join(roots, nodes.set == roots.node, "left").select("set", "first", F.coalesce("root", "set").alias("root"))
     named = materialise(named, "simhash-roots")
     lowest = materialise(named.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-lowest")
-    component = named.join(lowest, "root").select("set", "component_id")
-    grouped = known.select("doc_id", "set").join(component, "set")
-    gone = materialise(grouped.where("component_id != doc_id").select("doc_id").distinct(), "simhash-gone")
-    rest = docs.join(gone, "doc_id", "left_anti")
-    twice = docs.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id")
-    twice = materialise(twice, "simhash-twice")
-    if twice.isEmpty():
-        return rest.select(docs.columns)
-    once = rest.join(twice, "doc_id", "left_anti")
-    return once.unionByName(rest.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(docs.columns)
+    component = named.join(lowest, "root").select("set", "root", "component_id")
+    rows = known.where("doc_id is not null").select("doc_id", "text_hash", "set").join(component, "set")
+    rows = rows.groupBy("doc_id", "root", "component_id", "text_hash").agg(F.count(F.lit(1)).alias("n"))
+    rows = materialise(rows, "simhash-rows")
+    least = rows.where("component_id = doc_id").groupBy("doc_id", "root").agg(F.min(F.struct("text_hash", "n")).alias("stays"))
+    stay = materialise(least.select("doc_id", "stays.*"), "simhash-stay")
+    gone = materialise(rows.join(stay, ["doc_id", "text_hash"], "left_anti").select("doc_id", "text_hash"), "simhash-gone")
+    named = docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"))
+    rest = named.join(gone, ["doc_id", "text_hash"], "left_anti")
+    twice = materialise(stay.where("n > 1").select("doc_id", "text_hash"), "simhash-twice")
+    if not twice.isEmpty():
+        again = rest.join(twice, ["doc_id", "text_hash"], "left_semi").groupBy("doc_id", "text_hash").agg(F.min("doc").alias("doc"))
+        once = rest.join(twice, ["doc_id", "text_hash"], "left_anti")
+        rest = once.select("doc").union(again.select("doc"))
+    return rest.select("doc.*")

@@ -128,3 +128,12 @@ def test_only_sets_that_are_similar_enough_are_near_copies(spark, monkeypatch, p
                 roots = [min(roots[i], roots[j]) if r in (roots[i], roots[j]) else r for r in roots]
     kept = {r.doc_id for r in simhash.keep_one_of_each(frame(spark, rows)).collect()}
     assert kept == {rows[r][0] for r in roots} and 60 < len(kept) < 220
+
+
+def test_a_unique_text_under_a_repeated_id_stays(spark):
+    rng = random.Random(13)
+    a, b, c = (" ".join(f"w{rng.randrange(5000)}" for _ in range(100)) for _ in range(3))
+    rows = [(1, a), (2, a + " end"), (2, b), (3, b), (4, c), (4, c + " end"), (4, a)]
+    kept = sorted((r.doc_id, r.text) for r in simhash.keep_one_of_each(frame(spark, rows)).collect())
+    assert [r[0] for r in kept] == [1, 2, 4] and kept[:2] == [(1, a), (2, b)] and kept[2][1].startswith(c)
+    assert sorted((r.doc_id, r.text) for r in simhash.keep_one_of_each(frame(spark, rows[::-1])).collect()) == kept
