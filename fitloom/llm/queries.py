@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fitloom.llm import chat, chunks, decontaminate, language, secrets, sentencepiece, simhash, topk, toxicity, warc
+from fitloom.llm import bytebpe, chat, chunks, decontaminate, language, secrets, sentencepiece, simhash, topk, toxicity, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -70,6 +71,10 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(_table(spark, folder, "documents"))
 
 
+def op13_bytebpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bytebpe.round_trip(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_language": op2_language,
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_passages": op9_passages,
     "op10_secrets": op10_secrets,
+    "op13_bytebpe": op13_bytebpe,
 }
 ORACLE: dict[str, str] = {
     "op3_topk": """
