@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fitloom.llm import bytebpe, chat, chunks, decontaminate, language, secrets, sentencepiece, simhash, topk, toxicity, warc
+from fitloom.llm import bytebpe, chat, chunks, decontaminate, language, secrets, sentencepiece, simhash, spelling, topk, toxicity, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -71,6 +71,10 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(_table(spark, folder, "documents"))
 
 
+def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(spelling.words(_table(spark, folder, "documents")))
+
+
 def op13_bytebpe(spark: SparkSession, folder: str) -> DataFrame:
     return bytebpe.round_trip(_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
@@ -86,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_passages": op9_passages,
     "op10_secrets": op10_secrets,
+    "op12_spelling": op12_spelling,
     "op13_bytebpe": op13_bytebpe,
 }
 ORACLE: dict[str, str] = {
@@ -126,4 +131,41 @@ ORACLE: dict[str, str] = {
             0::BIGINT AS attachment_tokens
         FROM c GROUP BY conv_id
     """,
+    "op12_spelling": r"""
+        WITH RECURSIVE codes AS (
+            SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t FROM range(256) AS r(i)
+        ), found AS (
+            SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents
+        ), seen AS (
+            SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n FROM found GROUP BY ALL
+        ), hashed AS (
+            SELECT run, n, xor(4294967295, list_reduce(
+                list_transform(regexp_extract_all(hex(encode(doc_id || ':' || run)), '..'), lambda b: CAST('0x' || b AS BIGINT)),
+                lambda c, b: xor(c >> 8, t[CAST(xor(c & 255, b) AS BIGINT) + 1]), 4294967295)) AS h
+            FROM seen, codes
+        ), lost AS (
+            SELECT n, CASE WHEN h % 199 = 0 THEN left(run, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word
+            FROM hashed
+        ), words AS (
+            SELECT word, CAST(sum(n) AS BIGINT) AS n FROM lost WHERE length(word) >= 6 GROUP BY word HAVING sum(lost.n) >= 5
+        ), cut AS (
+            SELECT word, n, i, left(word, i - 1) AS a, substr(word, i + 1) AS b FROM words, LATERAL (SELECT unnest(range(1, length(word) + 1)) AS i)
+        ), near AS (
+            SELECT x.word, x.n, y.word AS near, y.n AS near_n FROM cut x JOIN cut y ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+            UNION SELECT x.word, x.n, y.word, y.n FROM cut x JOIN words y ON x.a || x.b = y.word
+            UNION SELECT y.word, y.n, x.word, x.n FROM cut x JOIN words y ON x.a || x.b = y.word
+        ), best AS (
+            SELECT word, count(*) AS n_near, min({'least': -near_n, 'near': near}) AS best FROM near GROUP BY word
+        ), formed AS (
+            SELECT word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN -best.least >= 5 * n THEN best.near END AS form,
+                CASE WHEN -best.least >= 5 * n THEN -best.least END AS form_n
+            FROM words LEFT JOIN best USING (word)
+        ), followed AS (
+            SELECT word, word AS root FROM formed
+            UNION ALL SELECT f.word, g.form FROM followed f JOIN formed g ON f.root = g.word WHERE g.form IS NOT NULL
+        ), roots AS (
+            SELECT f.word, f.root FROM followed f JOIN formed g ON f.root = g.word WHERE g.form IS NULL
+        )
+        SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)
+    """,
 }
