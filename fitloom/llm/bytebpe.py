@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from hashlib import sha256
 from itertools import islice
 
@@ -181,26 +181,46 @@ class Coder:
             renew(before[i])
         return np.array([x for x in ids if x >= 0], np.int32)
 
-    def encode(self, text: str | None) -> Iterator[bytes]:
-        """Ids of a whole text as little-endian unsigned 32-bit integers, part by part."""
-        found = (m.group() for m in self.pattern.finditer(text or ""))
-        while matches := list(islice(found, MATCHES)):
-            fresh = {m: m.encode("utf-8", "surrogatepass") for m in dict.fromkeys(matches) if m not in self.known}
-            own: dict[str, bytes] = {}
-            rows = []
-            for match, raw in fresh.items():
-                whole = self.ranks.get(raw)
-                if whole is None:
-                    rows.append((match, raw))
-                else:
-                    own[match] = whole.to_bytes(4, "little")
-            for (match, _), ids in zip(rows, self.merged([raw for _, raw in rows]), strict=True):
-                own[match] = ids.astype("<u4").tobytes()
-            known = self.known
-            yield b"".join([own[m] if m in own else known[m] for m in matches])
-            if len(known) + len(own) > KEPT:
-                known.clear()
-            known.update((m, x) for m, x in own.items() if len(fresh[m]) <= KEPT_BYTES)
+    def encode(self, texts: Sequence[str | None]) -> Iterator[tuple[int, bytes]]:
+        """Ids of whole texts as little-endian unsigned 32-bit integers: part by part, each with
+        its text's place. A text without matches has no part."""
+        held, size = [], 0
+        for i, text in enumerate(texts):
+            if text and len(text) < MATCHES:
+                held.append((i, self.pattern.findall(text)))
+                size += len(held[-1][1])
+            elif text:
+                found = (m.group() for m in self.pattern.finditer(text))
+                while matches := list(islice(found, MATCHES)):
+                    held.append((i, matches))
+                    if (size := size + len(matches)) >= MATCHES:
+                        yield from self._parts(held)
+                        held, size = [], 0
+            if size >= MATCHES:
+                yield from self._parts(held)
+                held, size = [], 0
+        yield from self._parts(held)
+
+    def _parts(self, held: list[tuple[int, list[str]]]) -> Iterator[tuple[int, bytes]]:
+        known = self.known
+        if len(known) > KEPT:
+            known.clear()
+        fresh = {m: m.encode("utf-8", "surrogatepass") for m in set().union(*(matches for _, matches in held)).difference(known)}
+        rows = []
+        for match, raw in fresh.items():
+            whole = self.ranks.get(raw)
+            if whole is None:
+                rows.append(match)
+            else:
+                known[match] = whole.to_bytes(4, "little")
+        for match, ids in zip(rows, self.merged([fresh[m] for m in rows]), strict=True):
+            known[match] = ids.astype("<u4").tobytes()
+        get = known.__getitem__
+        for i, matches in held:
+            yield i, b"".join(map(get, matches))
+        for match in rows:
+            if len(fresh[match]) > KEPT_BYTES:
+                del known[match]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
@@ -234,7 +254,10 @@ def encoded(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
         for batch in batches:
             for at in range(0, batch.num_rows, 200):
                 part = batch.slice(at, 200)
-                ids = [np.frombuffer(b"".join(own.encode(t.as_py())), "<u4").astype(np.int64) for t in part.column(1)]
+                parts: list[list[bytes]] = [[] for _ in range(part.num_rows)]
+                for i, ids in own.encode(part.column(1).to_pylist()):
+                    parts[i].append(ids)
+                ids = [np.frombuffer(b"".join(x), "<u4").astype(np.int64) for x in parts]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int64()))], ["doc_id", "ids"])
 
     return _narrow(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids array<long>")
@@ -264,18 +287,16 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(path, pattern)
         for batch in batches:
-            counts, digests, back = [], [], []
-            for t in batch.column(1):
-                n, ids_hash, text_hash = 0, sha256(), sha256()
-                for ids in own.encode(t.as_py()):
-                    n += len(ids) // 4
-                    ids_hash.update(ids)
-                    text_hash.update(own.decode(ids))
-                counts.append(n)
-                digests.append(ids_hash.hexdigest())
-                back.append(text_hash.hexdigest())
-            columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(digests, pa.string()), pa.array(back, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                counts = [0] * part.num_rows
+                ids_hash, text_hash = [sha256() for _ in counts], [sha256() for _ in counts]
+                for i, ids in own.encode(part.column(1).to_pylist()):
+                    counts[i] += len(ids) // 4
+                    ids_hash[i].update(ids)
+                    text_hash[i].update(own.decode(ids))
+                columns = [part.column(0), pa.array(counts, pa.int64()), *[pa.array([h.hexdigest() for h in x], pa.string()) for x in (ids_hash, text_hash)]]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
     return _narrow(docs, id_col, text_col).mapInArrow(run, schema)

@@ -23,7 +23,7 @@ def digests(library, text):
 
 
 def ids(coder, text):
-    return [int.from_bytes(x[i : i + 4], "little") for x in coder.encode(text) for i in range(0, len(x), 4)]
+    return [int.from_bytes(x[i : i + 4], "little") for _, x in coder.encode([text]) for i in range(0, len(x), 4)]
 
 
 def test_query_equals_library(spark, library):
