@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fitloom.llm import bytebpe, chat, chunks, decontaminate, language, secrets, sentencepiece, simhash, spelling, topk, toxicity, warc
+from fitloom.llm import bytebpe, chat, chunks, decontaminate, hardnegatives, language, secrets, sentencepiece, simhash, spelling, topk, toxicity, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -71,6 +71,12 @@ def op10_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.scan(_table(spark, folder, "documents"))
 
 
+def op11_hardnegatives(spark: SparkSession, folder: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    vectors = _table(spark, folder, "embeddings").select("vec_id", moved.alias("label"), hardnegatives.scaled(F.col("embedding")).alias("v"))
+    return hardnegatives.mine(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
 def op12_spelling(spark: SparkSession, folder: str) -> DataFrame:
     return spelling.variants(spelling.words(_table(spark, folder, "documents")))
 
@@ -90,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_chat": op8_chat,
     "op9_passages": op9_passages,
     "op10_secrets": op10_secrets,
+    "op11_hardnegatives": op11_hardnegatives,
     "op12_spelling": op12_spelling,
     "op13_bytebpe": op13_bytebpe,
 }
@@ -131,6 +138,25 @@ ORACLE: dict[str, str] = {
             0::BIGINT AS attachment_tokens
         FROM c GROUP BY conv_id
     """,
+    "op11_hardnegatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+            FROM v a JOIN v c ON a.vec_id <> c.vec_id
+            WHERE a.vec_id % 100 = 0
+        ), positives AS (
+            SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+            s.vec_id AS negative_id, positive_score, s.score AS negative_score
+        FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same AND 80 * positive_score <= 100 * s.score AND s.score <= positive_score
+        QUALIFY rank <= 5
+    """,
     "op12_spelling": r"""
         WITH RECURSIVE codes AS (
             SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t FROM range(256) AS r(i)
