@@ -77,28 +77,30 @@ def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def trie(items: DataFrame) -> DataFrame:
-    """``(level, node, first, label, size, child, target, target_n)``: the edges of the tries of
-    ``items(id, item, back, n)``; ``target`` is the item that ends at the child, if any."""
+    """``(level, node, first, label, size, child, ahead, target, target_n)``: the edges of the tries
+    of ``items(id, item, back, n)``; ``ahead`` are the letters that go on from the child, and
+    ``target`` is the item that ends at it, if any."""
     paths = materialise(items.select("id", "item", "back").mapInArrow(_prefixes, "id long, depth int, node binary, next string"), "spelling-paths")
     # the empty string behind an item marks its end: a node stays if it ends an item or branches
-    kept = paths.groupBy("node").agg(F.min("next").alias("low"), F.max("next").alias("high"))
-    kept = materialise(kept.where("low != high or low = ''").select("node"), "spelling-nodes")
-    stops = paths.join(kept, "node").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("depth", "node"))).alias("stops"))
+    kept = paths.groupBy("node").agg(F.collect_set("next").alias("next"))
+    kept = kept.where("size(next) > 1 or next[0] = ''").select("node", F.array_join(F.array_sort("next"), "").alias("ahead"))
+    kept = materialise(kept, "spelling-nodes")
+    stops = paths.join(kept, "node").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("depth", "node", "ahead"))).alias("stops"))
     start = F.when(F.col("back"), F.lit(_root(True))).otherwise(F.lit(_root(False)))
     along = items.join(stops, "id").select(
-        "item", "n", F.concat(F.array(F.struct(F.lit(0).alias("depth"), start.alias("node"))), "stops").alias("stops"), F.size("stops").alias("last")
+        "item", "n", F.concat(F.array(F.struct(F.lit(0).alias("depth"), start.alias("node"), F.lit("").alias("ahead"))), "stops").alias("stops"), F.size("stops").alias("last")
     )
     steps = along.select("item", "n", "stops", "last", F.explode(F.sequence(F.lit(1), "last")).alias("level"))
     here, there = F.get("stops", F.col("level") - 1), F.get("stops", F.col("level"))
     size = there["depth"] - here["depth"]
     own = F.col("level") == F.col("last")
     edges = steps.select(
-        "level", here["node"].alias("node"), there["node"].alias("child"), F.substring("item", here["depth"] + 1, size).alias("label"),
+        "level", here["node"].alias("node"), there["node"].alias("child"), there["ahead"].alias("ahead"), F.substring("item", here["depth"] + 1, size).alias("label"),
         F.when(own, F.struct(F.col("item").alias("target"), F.col("n").alias("target_n"))).alias("end"),
     )
     # several items share an edge; the one that ends at its child says so
-    edges = edges.groupBy("level", "node", "child").agg(F.min("label").alias("label"), F.max("end").alias("end"))
-    return edges.select("level", "node", F.substring("label", 1, 1).alias("first"), "label", F.char_length("label").alias("size"), "child", "end.*")
+    edges = edges.groupBy("level", "node", "child", "ahead").agg(F.min("label").alias("label"), F.max("end").alias("end"))
+    return edges.select("level", "node", F.substring("label", 1, 1).alias("first"), "label", F.char_length("label").alias("size"), "child", "ahead", "end.*")
 
 
 def _shared() -> Column:
@@ -133,8 +135,10 @@ def _step(states: DataFrame, edges: DataFrame) -> DataFrame:
     on_path = on_path.withColumn("to", F.explode(go_on)).withColumn("edits", F.when(F.col("straight"), F.col("edits")).otherwise(1))
     aside = states.where("edits = 0").where(F.col("at") >= late).join(edges, "node").where(F.col("first") != letter)
     aside = aside.withColumn("to", F.explode(_edited(F.lit(0)))).withColumn("edits", F.lit(1))
+    # an edited state must end here, or find its next letter behind the child
+    open_ = "edits = 0 or (to = length and target is not null) or (to < length and instr(ahead, substring(item, to + 1, 1)) > 0)"
     columns = ["item", "back", "n", "length", F.col("to").cast("int").alias("at"), F.col("child").alias("node"), "edits", "target", "target_n"]
-    return on_path.select(*columns).union(aside.select(*columns))
+    return on_path.where(open_).select(*columns).union(aside.where(open_).select(*columns))
 
 
 def neighbours(known: DataFrame) -> DataFrame:
@@ -149,7 +153,7 @@ def neighbours(known: DataFrame) -> DataFrame:
     both = both.select(F.when(F.col("back"), F.reverse("word")).otherwise(F.col("word")).alias("item"), "back", "n")
     items = materialise(both.withColumn("id", F.monotonically_increasing_id()), "spelling-items")
     edges = materialise(trie(items), "spelling-edges")
-    weight = F.octet_length("label") + F.coalesce(F.octet_length("target"), F.lit(0)) + 64
+    weight = F.octet_length("label") + F.octet_length("ahead") + F.coalesce(F.octet_length("target"), F.lit(0)) + 64
     levels = {r.level: r.bytes for r in edges.groupBy("level").agg(F.sum(weight).alias("bytes")).collect()}
     start = F.when(F.col("back"), F.lit(_root(True))).otherwise(F.lit(_root(False)))
     states = items.select("item", "back", "n", F.char_length("item").alias("length"), F.lit(0).alias("at"), start.alias("node"), F.lit(0).alias("edits"))
@@ -157,9 +161,8 @@ def neighbours(known: DataFrame) -> DataFrame:
     for level in sorted(levels):
         mine = edges.where(F.col("level") == level).drop("level")
         reached = _step(states, F.broadcast(mine) if levels[level] <= BROADCAST_BYTES else mine)
-        # a lost last letter is an edit behind the last edge
-        reached = reached.where("edits = 0 or at < length or target is not null")
         reached = materialise(reached, "spelling-states")
+        # a lost last letter is an edit behind the last edge
         met.append(reached.where("target is not null and (edits = 1 and at = length or edits = 0 and at = length - 1)"))
         states = reached.where("edits = 0 or at < length").drop("target", "target_n")
     spelled = lambda c: F.when(F.col("back"), F.reverse(c)).otherwise(F.col(c))
