@@ -139,10 +139,42 @@ def as_text(df: DataFrame, column: str) -> Column:
 def concat_columns(left: DataFrame, right: DataFrame, key: str | Sequence[str], how: str = "outer") -> DataFrame:
     """Put two tables side by side, matching rows by a key that is unique in both.
 
-    Columns of one and the same table need no join: ``select`` them together. That the key
-    is unique and never NULL is the caller's duty: repeated keys would multiply rows.
+    Columns of one and the same table need no join: ``select`` them together. ``how`` says
+    which keys may stand on one side only: ``"exact"`` none, ``"left"`` and ``"right"`` those
+    of that side, ``"outer"`` any; ``"inner"`` leaves them out. A key that is NULL or repeats
+    on a side fails with its value, as does one that ``how`` doesn't allow.
+
+    Rows of both sides are brought together by one aggregate over the key, which counts them
+    as it goes: repeated keys are found in the pass that aligns the rows, and never multiply them.
     """
-    return left.join(right, _names(key), how)
+    keys = _names(key)
+    if how not in ("exact", "inner", "left", "right", "outer"):
+        raise ValueError(f"unknown kind of alignment: {how}")
+    sides = {"left": left, "right": right}
+    columns = {n: [c for c in t.columns if c not in keys] for n, t in sides.items()}
+    twice = set(columns["left"]) & set(columns["right"])
+    if twice:
+        raise ValueError(f"columns of both sides: {sorted(twice)}")
+    packed = []
+    for name, table in sides.items():
+        row = F.struct(F.lit(1).alias("_"), *[quoted(c) for c in columns[name]]).alias(f"_{name}")
+        packed.append(table.select(*[quoted(k) for k in keys], row))
+    rows = packed[0].unionByName(packed[1], allowMissingColumns=True).groupBy(*[quoted(k) for k in keys])
+    aligned = rows.agg(*[f(f"_{n}").alias(f"_{a}{n}") for n in sides for f, a in ((F.count, "n"), (lambda c: F.first(c, ignorenulls=True), "x"))])
+    shown = F.to_json(F.struct(*[quoted(k) for k in keys]), {"ignoreNullFields": "false"})
+    n, m = F.col("_nleft"), F.col("_nright")
+    wrong = F.when(reduce(lambda a, b: a | b, [quoted(k).isNull() for k in keys]), "a key is NULL: ")
+    wrong = wrong.when(n > 1, "a key repeats on the left: ").when(m > 1, "a key repeats on the right: ")
+    if how in ("exact", "left"):
+        wrong = wrong.when(n == 0, "a key is missing on the left: ")
+    if how in ("exact", "right"):
+        wrong = wrong.when(m == 0, "a key is missing on the right: ")
+    # the test stands in the filter, so no optimizer can prune it with the columns
+    aligned = aligned.where(F.when(wrong.isNotNull(), F.raise_error(F.concat(wrong, shown)).cast("boolean")).otherwise(F.lit(True)))
+    if how == "inner":
+        aligned = aligned.where((n == 1) & (m == 1))
+    out = [F.col(f"_x{name}")[c].alias(c) for name in sides for c in columns[name]]
+    return aligned.select(*[quoted(k) for k in keys], *out)
 
 
 def stack_columns(df: DataFrame, key: str | Sequence[str], columns: Mapping[str, str | Column]) -> DataFrame:

@@ -47,6 +47,7 @@ from ..sources import (
     write_csv,
 )
 from . import workloads
+from .inputs import PathsInput, SchemaInput, TableInput, read_files
 from .learner import FeaturePlan, FittedLearner, tap
 from .models import PriorClassifier, forest_classifier
 
@@ -1003,6 +1004,118 @@ def learner_reload(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(scored, ["quality_probability", "toxic_probability"], 0)
 
 
+@query
+def learner_reload_raw(spark: SparkSession, folder: str) -> DataFrame:
+    """A learner saved and loaded with its upstream step, applied to raw input."""
+    names = table(spark, folder, "part").select("p_partkey", F.col("p_name").alias("Names"))
+    raw = names.withColumn("label", (F.char_length("Names") + 5 > 15).cast("int"))
+    plan = replace(workloads.name_baseline("p_partkey", with_suffix), model=exact_forest(maxBins=64))
+    path = scratch_path(spark, "learner")
+    plan.make_learner().fit(raw=raw.where(~unlabelled("p_partkey"))).save(path)
+    return FittedLearner.load(path).predict(raw=names.where(unlabelled("p_partkey")))
+
+
+def with_nation(measurements: DataFrame, series: DataFrame) -> DataFrame:
+    return combine.inner_join(measurements, series, "custkey", spread_by="o_orderkey")
+
+
+def with_surface(with_nation: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Labels of the series, where there are any: none are bound to predict."""
+    return with_nation if labels is None else combine.inner_join(with_nation, labels, "custkey", spread_by="o_orderkey")
+
+
+def series_plan() -> FeaturePlan:
+    return FeaturePlan(
+        key="o_orderkey",
+        target="surface",
+        model=exact_forest(),
+        inputs=[
+            TableInput("measurements", {"o_orderkey": "bigint", "custkey": "bigint"}, preview_key="o_orderkey"),
+            TableInput("series", {"custkey": "bigint", "nation": "int"}),
+            TableInput("labels", ["custkey", "surface"], fit_only=True),
+        ],
+        prepare={"with_nation": with_nation, "train_data": with_surface},
+        drop=["custkey"],
+    )
+
+
+@query
+def named_inputs_join(spark: SparkSession, folder: str) -> DataFrame:
+    """Three sources joined inside the plan: fitted on one binding, predicting on another.
+
+    The class of a customer is set by its nation, which only the join brings in.
+    """
+    orders = table(spark, folder, "orders").select("o_orderkey", F.col("o_custkey").alias("custkey"), "o_totalprice")
+    customer = table(spark, folder, "customer").select(F.col("c_custkey").alias("custkey"), F.col("c_nationkey").cast("int").alias("nation"))
+    surface = F.when(F.col("nation") < 8, "tiles").when(F.col("nation") < 16, "carpet").otherwise("wood")
+    labels = customer.select("custkey", surface.alias("surface"))
+    new = unlabelled("o_orderkey")
+    learner = series_plan().make_learner().fit(raw={"measurements": orders.where(~new), "series": customer, "labels": labels})
+    return learner.predict(raw={"measurements": orders.where(new), "series": customer})
+
+
+def order_features(rows: DataFrame) -> DataFrame:
+    return cols.derive(rows, {"band": F.pmod("o_orderkey", F.lit(7))})
+
+
+def order_files(spark: SparkSession, folder: str) -> tuple[list[str], str, list[str], str]:
+    """Orders as files of four groups of keys, labelled, and those to predict, with their schemas."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice", (F.col("o_orderkey") % 7 < 3).cast("int").alias("early"))
+    base = scratch_path(spark, "orders")
+    train = [f"{base}/train_{i}" for i in range(4)]
+    for i, path in enumerate(train):
+        write_csv(orders.where(~unlabelled("o_orderkey") & (F.col("o_orderkey") % 4 == i)), path)
+    write_csv(orders.where(unlabelled("o_orderkey")).select("o_totalprice", "o_orderkey"), f"{base}/test")
+    types = {"o_orderkey": "int64", "o_totalprice": "float64"}
+    return train, write_schema_table(spark, types | {"early": "int8"}), [f"{base}/test"], write_schema_table(spark, types)
+
+
+def files_plan(model=None) -> FeaturePlan:
+    return FeaturePlan(
+        key="o_orderkey",
+        target="early",
+        model=model or exact_forest(),
+        inputs=[PathsInput("file_names"), SchemaInput("schema")],
+        prepare={"rows": read_files, "features": order_features},
+    )
+
+
+@query
+def named_inputs_files(spark: SparkSession, folder: str) -> DataFrame:
+    """A list of files and a schema as inputs of the plan: each run binds its own."""
+    train, types, test, test_types = order_files(spark, folder)
+    learner = files_plan().make_learner().fit(raw={"file_names": train, "schema": types})
+    return learner.predict(raw={"file_names": test, "schema": test_types}).withColumn("early_prediction", F.col("early_prediction").cast("int"))
+
+
+@query
+def named_inputs_preview(spark: SparkSession, folder: str) -> DataFrame:
+    """The plan on a sample: of four files the first three by name, of their rows the first by key."""
+    train, types, _, _ = order_files(spark, folder)
+    shown = files_plan(PriorClassifier()).preview({"file_names": train[::-1], "schema": types}, n=50)
+    return shown.select("o_orderkey", F.col("early").cast("int").alias("early"), F.col("early_prediction").cast("int").alias("early_prediction"))
+
+
+@query
+def target_of_its_own(spark: SparkSession, folder: str) -> DataFrame:
+    """Features and targets in two tables, rows in different orders, met by key."""
+    part = table(spark, folder, "part")
+    features = part.select("p_partkey", "p_size", "p_retailprice")
+    grade = (F.col("p_size") % 10 < 4).cast("int").alias("grade")
+    plan = FeaturePlan(key="p_partkey", target="grade", model=exact_forest(maxBins=64))
+    old = ~unlabelled("p_partkey")
+    target = part.where(old).select(grade, "p_partkey").orderBy(F.desc("p_partkey"))
+    learner = plan.make_learner().fit(features=features.where(old), target=target)
+    return learner.predict(features=features.where(~old))
+
+
+@query
+def column_concat_exact(spark: SparkSession, folder: str) -> DataFrame:
+    """Two tables of the same keys side by side, checked one to one."""
+    lines = table(spark, folder, "lineitem").select(*LINE_KEY, "l_quantity", "l_tax").dropDuplicates(LINE_KEY)
+    return combine.concat_columns(lines.drop("l_tax"), lines.drop("l_quantity").repartition("l_tax"), LINE_KEY, "exact")
+
+
 @query
 def many_text_classes(spark: SparkSession, folder: str) -> DataFrame:
     """A text target with six hundred classes."""

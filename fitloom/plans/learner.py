@@ -1,7 +1,9 @@
 """A whole table-to-prediction job as one learner.
 
 ``FeaturePlan`` states, once, how a raw table becomes features and what is predicted.
-``prepare`` runs before the feature mark: it is repeated for raw input only. ``stages``
+``prepare`` runs before the feature mark: it is repeated for raw input only. Raw input is one
+table, or a binding of the plan's named ``inputs``: the joins and reads that make one table of
+several sources are then steps of the plan, replayed by every fit and predict. ``stages``
 come after the mark: they are fitted on training rows and replayed on every table.
 The plan is a thin layer over ``pyspark.ml.Pipeline``; all tables stay lazy DataFrames.
 """
@@ -24,11 +26,15 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import checked_ln, checked_log1p
 from ..operators.columns import drop_columns, quoted
+from ..operators.combine import concat_columns
 from ..operators.encode import FeatureVector, sorted_categories
 from ..operators.split import Split, exact_split, hash_split
 from ..session import materialise, shared_dir
 from ..sources.csv_files import submission
 from ..sources.preview import preview
+from .inputs import Input, Steps, check_inputs, described, previewed_binding, restored, table_at_mark
+
+Raw = DataFrame | Mapping[str, object]
 
 # Target transforms and the SQL name of their inverses.
 TARGET_TRANSFORMS: dict[str, tuple[Callable[[Column], Column], str]] = {
@@ -64,19 +70,24 @@ class FeaturePlan:
     ``drop`` lists columns that are no features and may be absent from new tables;
     ``keep`` lists columns that are no features but stay beside the predictions. Every
     other numeric or vector column that the stages leave becomes a feature.
+
+    ``inputs`` names several sources; ``prepare`` is then a function of them by name, or an
+    ordered mapping of such functions, each of which may also take earlier ones' results.
     """
 
     key: str | Sequence[str]
     target: str | Sequence[str]
     model: Estimator | Mapping[str, Estimator]
-    prepare: Callable[[DataFrame], DataFrame] | None = None
+    prepare: Steps | None = None
     stages: Sequence[Estimator | Transformer] = ()
     drop: Sequence[str] = ()
     keep: Sequence[str] = ()
     target_transform: str | None = None
     partitions: int | None = None
+    inputs: Sequence[Input] = ()
 
     def __post_init__(self):
+        check_inputs(self.inputs, self.prepare)
         for stage in [*self.stages, *self.models.values()]:
             if not isinstance(stage, (Estimator, Transformer)):
                 raise TypeError(f"not an estimator or transformer: {stage!r}")
@@ -101,13 +112,13 @@ class FeaturePlan:
             return dict(self.model)
         return {t: self.model for t in self.targets}
 
-    def at_mark(self, raw: DataFrame) -> DataFrame:
+    def at_mark(self, raw: Raw) -> DataFrame:
         """Raw input after ``prepare``: the table the feature mark sees, targets included."""
-        return self.prepare(raw) if self.prepare else raw
+        return _at_mark(self.prepare, raw, None, self.inputs)
 
     def split(
         self,
-        raw: DataFrame,
+        raw: Raw,
         fraction: float = 0.2,
         seed: int = SPLIT_SEED,
         by: str | Sequence[str] | None = None,
@@ -120,20 +131,35 @@ class FeaturePlan:
     def make_learner(self) -> Learner:
         return Learner(self)
 
-    def evaluate(self, raw: DataFrame) -> DataFrame:
+    def evaluate(self, raw: Raw) -> DataFrame:
         """Fit and predict on one raw table: the same plan looked at with other input."""
         return self.make_learner().fit(raw=raw).predict(raw=raw)
 
-    def preview(self, raw: DataFrame, n: int = 100) -> DataFrame:
-        """The plan evaluated on the first ``n`` rows by key. ``fit`` never samples."""
-        return self.evaluate(preview(raw, self.keys, n))
+    def preview(self, raw: Raw, n: int = 100, files: int = 3) -> DataFrame:
+        """The plan evaluated on the first ``n`` rows by key. ``fit`` never samples.
+
+        Of named inputs, path lists are cut to their first ``files`` by name and tables with a
+        preview key to ``n`` rows, before the steps; what these make is cut to ``n`` rows again.
+        """
+        if not self.inputs:
+            return self.evaluate(preview(raw, self.keys, n))
+        table = preview(self.at_mark(previewed_binding(self.inputs, raw, n, files)), self.keys, n)
+        return self.make_learner().fit(features=table).predict(features=table)
 
 
-def _at_mark(prepare: Callable | None, raw: DataFrame | None, features: DataFrame | None) -> DataFrame:
+def _at_mark(
+    prepare: Steps | None, raw: Raw | None, features: DataFrame | None, inputs: Sequence[Input] = (), fitting: bool = True
+) -> DataFrame:
     if (raw is None) == (features is None):
         raise ValueError("give either raw input or a table at the feature mark")
     if features is not None:
         return features
+    if inputs:
+        if isinstance(raw, DataFrame):
+            raise ValueError(f"raw input of this plan is a binding of {[i.name for i in inputs]}")
+        return table_at_mark(inputs, prepare, raw, fitting)
+    if not isinstance(raw, DataFrame):
+        raise ValueError("this plan has no named inputs: raw input is one table")
     return prepare(raw) if prepare else raw
 
 
@@ -145,12 +171,16 @@ class Learner:
 
     def fit(
         self,
-        raw: DataFrame | None = None,
+        raw: Raw | None = None,
         features: DataFrame | None = None,
         stage_rows: DataFrame | None = None,
+        target: DataFrame | None = None,
     ) -> FittedLearner:
         """Fit all stages and models on the given rows.
 
+        ``target`` gives the targets of ``features`` as a table of their own, in any order: both
+        need the plan's key, once for every row. A key that is NULL, repeats, or stands on one side only fails.
+
         ``stage_rows`` lets the stages, but not the models, see other rows than the
         training ones; leave it out to keep every statistic inside the training rows.
 
@@ -163,7 +193,9 @@ class Learner:
         by the models of all targets.
         """
         plan = self.plan
-        table = drop_columns(_at_mark(plan.prepare, raw, features), plan.drop, missing_ok=True)
+        if target is not None:
+            features = _with_target(plan, features, target)
+        table = drop_columns(_at_mark(plan.prepare, raw, features, plan.inputs), plan.drop, missing_ok=True)
         absent = [n for n in (*plan.keys, *plan.targets) if n not in table.columns]
         if absent:
             raise KeyError(f"no such column: {absent}")
@@ -188,8 +220,27 @@ class Learner:
         finally:
             matrix.unpersist()
         return FittedLearner(
-            PipelineModel(stages), plan.keys, plan.targets, tuple(plan.drop), tuple(plan.keep), tuple(binary), plan.prepare
-        )
+            PipelineModel(stages), plan.keys, plan.targets, tuple(plan.drop), tuple(plan.keep), tuple(binary), plan.prepare,
+            tuple(plan.inputs), _types(raw),
+        )
+
+
+def _types(raw: Raw | None) -> dict[str, str]:
+    """Column types of a raw table: what later raw tables have to agree with."""
+    return {f.name: f.dataType.simpleString() for f in raw.schema} if isinstance(raw, DataFrame) else {}
+
+
+def _with_target(plan: FeaturePlan, features: DataFrame | None, target: DataFrame) -> DataFrame:
+    if features is None:
+        raise ValueError("targets of their own belong to a table at the feature mark")
+    absent = [n for n in (*plan.keys, *plan.targets) if n not in target.columns]
+    if absent:
+        raise KeyError(f"no such column in the targets: {absent}")
+    both = [t for t in plan.targets if t in features.columns]
+    if both:
+        raise ValueError(f"targets stand in both tables: {both}")
+    names = [quoted(n) for n in (*plan.keys, *plan.targets)]
+    return concat_columns(features, target.select(*names), plan.keys, "exact")
 
 
 def _training_partitions(table: DataFrame) -> int:
@@ -271,10 +322,12 @@ class FittedLearner:
     drop: tuple[str, ...] = ()
     keep: tuple[str, ...] = ()
     binary: tuple[str, ...] = ()
-    prepare: Callable[[DataFrame], DataFrame] | None = None
+    prepare: Steps | None = None
+    inputs: tuple[Input, ...] = ()
+    raw_types: Mapping[str, str] = field(default_factory=dict)
 
     def predict(
-        self, raw: DataFrame | None = None, features: DataFrame | None = None, output: str = "prediction"
+        self, raw: Raw | None = None, features: DataFrame | None = None, output: str = "prediction"
     ) -> DataFrame:
         """Key, targets if present, kept columns, and ``<target>_prediction``.
 
@@ -283,7 +336,10 @@ class FittedLearner:
         """
         if output not in ("prediction", "probability", "both"):
             raise ValueError(f"unknown output: {output}")
-        table = drop_columns(_at_mark(self.prepare, raw, features), self.drop, missing_ok=True)
+        changed = {n: t for n, t in _types(raw).items() if self.raw_types.get(n, t) != t}
+        if changed:
+            raise TypeError(f"columns with other types than at the fit: {changed}")
+        table = drop_columns(_at_mark(self.prepare, raw, features, self.inputs, fitting=False), self.drop, missing_ok=True)
         beside = [n for n in (*self.keys, *self.targets, *self.keep) if n in table.columns]
         scored = self.model.transform(table)
         columns = [quoted(n) for n in beside]
@@ -315,14 +371,30 @@ class FittedLearner:
         )
 
     def save(self, path: str) -> None:
-        """Store the fitted stages and the input contract; ``prepare`` is code and is not stored."""
+        """Store the fitted stages and the input contract.
+
+        Upstream steps are code: stored are their import path and a hash of their source, the
+        named inputs, and the column types of a raw table. A step without an import path, such
+        as a lambda, has to be handed in at load.
+        """
         spark = SparkSession.active()
         self.model.write().overwrite().save(f"{path}/stages")
         contract = {n: list(getattr(self, n)) for n in ("keys", "targets", "drop", "keep", "binary")}
+        contract |= {"upstream": described(self.prepare, self.inputs), "raw_types": dict(self.raw_types)}
         spark.createDataFrame([(json.dumps(contract),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/contract")
 
     @classmethod
-    def load(cls, path: str, prepare: Callable[[DataFrame], DataFrame] | None = None) -> FittedLearner:
+    def load(cls, path: str, prepare: Steps | None = None, changed: str = "fail") -> FittedLearner:
+        """A stored learner, upstream steps included.
+
+        A step whose source has changed since fails; ``changed="accept"`` takes it as it is now.
+        """
+        if changed not in ("fail", "accept"):
+            raise ValueError(f"unknown treatment of changed steps: {changed}")
         contract = json.loads(SparkSession.active().read.text(f"{path}/contract").first()[0])
+        upstream = contract.pop("upstream", {"steps": [], "several": False, "inputs": []})
+        raw_types = contract.pop("raw_types", {})
+        steps, inputs = restored(upstream, prepare, changed)
+        check_inputs(inputs, steps)
         model = PipelineModel.load(f"{path}/stages")
-        return cls(model, **{n: tuple(v) for n, v in contract.items()}, prepare=prepare)
+        return cls(model, **{n: tuple(v) for n, v in contract.items()}, prepare=steps, inputs=inputs, raw_types=raw_types)

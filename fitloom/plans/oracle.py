@@ -107,8 +107,7 @@ ORACLE: dict[str, str] = {
     "select_by_exclusion": "SELECT p_partkey, p_name, p_size, p_retailprice FROM part",
     "select_by_position": "SELECT doc_id, toxic FROM labels",
     "drop_strict": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
-    "drop_lenient": """SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority,
-            strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate FROM orders""",
+    "drop_lenient": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders",
     "derive_columns": f"""SELECT {LINE_KEY}, l_quantity, l_extendedprice, l_discount,
             round(l_quantity * l_discount, 6) AS new_feat, round(l_extendedprice / 24, 6) AS unit FROM lineitem""",
     "overwrite_block": f"""SELECT {LINE_KEY}, round(l_discount * 100, 6) AS l_discount, round(l_tax * 100, 6) AS l_tax
@@ -277,6 +276,16 @@ ORACLE: dict[str, str] = {
             t AS toxic_prediction, t::DOUBLE AS toxic_probability FROM t""",
     "model_sees_the_marked_table": """SELECT p_partkey, (length(p_name) + 5 > 15)::INTEGER AS label_prediction, input
         FROM part, (VALUES ('raw'), ('marked')) AS i(input) WHERE p_partkey % 5 = 0""",
+    "learner_reload_raw": """SELECT p_partkey, (length(p_name) + 5 > 15)::INTEGER AS label_prediction
+        FROM part WHERE p_partkey % 5 = 0""",
+    "named_inputs_join": """SELECT o_orderkey, CASE WHEN c_nationkey < 8 THEN 'tiles' WHEN c_nationkey < 16 THEN 'carpet' ELSE 'wood' END AS surface_prediction
+        FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 5 = 0""",
+    "named_inputs_files": "SELECT o_orderkey, (o_orderkey % 7 < 3)::INTEGER AS early_prediction FROM orders WHERE o_orderkey % 5 = 0",
+    "named_inputs_preview": """WITH t AS (SELECT o_orderkey, (o_orderkey % 7 < 3)::INTEGER AS early FROM orders
+            WHERE o_orderkey % 5 <> 0 AND o_orderkey % 4 < 3 ORDER BY o_orderkey LIMIT 50)
+        SELECT o_orderkey, early, (SELECT (avg(early) > 0.5)::INTEGER FROM t) AS early_prediction FROM t""",
+    "target_of_its_own": "SELECT p_partkey, (p_size % 10 < 4)::INTEGER AS grade_prediction FROM part WHERE p_partkey % 5 = 0",
+    "column_concat_exact": f"SELECT {LINE_KEY}, max(l_quantity) AS l_quantity, max(l_tax) AS l_tax FROM lineitem GROUP BY ALL",
     "many_text_classes": """WITH t AS (SELECT 'kind-' || lpad((o_orderkey % 600)::VARCHAR, 3, '0') AS kind FROM orders),
             best AS (SELECT kind FROM t GROUP BY kind ORDER BY count(*) DESC, kind LIMIT 1)
         SELECT o_orderkey, best.kind AS kind_prediction FROM orders, best""",

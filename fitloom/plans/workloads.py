@@ -29,7 +29,8 @@ from ..operators.encode import (
     StandardScale,
     column_groups,
 )
-from .learner import FeaturePlan, FittedLearner
+from .inputs import PathsInput, SchemaInput, TableInput, read_files
+from .learner import FeaturePlan, FittedLearner, Raw
 from .models import PriorClassifier, boosted_classifier, boosted_regressor, forest_classifier
 
 
@@ -43,8 +44,8 @@ class Outcome:
 
 def run(
     plan: FeaturePlan,
-    train: DataFrame,
-    test: DataFrame | None,
+    train: Raw,
+    test: Raw | None,
     metric: Callable[[DataFrame], DataFrame],
     output: str = "prediction",
     seed: int = 42,
@@ -75,6 +76,17 @@ def numeric_features(df: DataFrame, but: Sequence[str]) -> list[str]:
     return [c for c in columns_of_type(df, include="number") if c not in set(but)]
 
 
+@dataclass(frozen=True)
+class JoinLabels:
+    """Measurements with the label of their series; as they are where no labels are bound."""
+
+    on: str
+    spread_by: Sequence[str]
+
+    def __call__(self, measurements: DataFrame, labels: DataFrame | None) -> DataFrame:
+        return measurements if labels is None else inner_join(measurements, labels, self.on, spread_by=self.spread_by)
+
+
 def robot_surface(
     measurements: DataFrame,
     labels: DataFrame,
@@ -88,11 +100,11 @@ def robot_surface(
 ) -> Outcome:
     """Join sensor rows with the label of their series, scale, and classify with a forest.
 
-    Predictions stay one per measurement, beside the row key and the series.
+    Both tables are inputs of the plan and the join is its first step; only measurements are
+    bound to predict. Predictions stay one per measurement, beside the row key and the series.
     """
-    joined = inner_join(measurements, labels, on, spread_by=key)
     keys = [key] if isinstance(key, str) else list(key)
-    numbers = numeric_features(joined, [*keys, on, target, *drop])
+    numbers = [c for t in (measurements, labels) for c in numeric_features(t, [*keys, on, target, *drop])]
     plan = FeaturePlan(
         key=key,
         target=target,
@@ -100,8 +112,12 @@ def robot_surface(
         drop=drop,
         keep=[] if on in keys else [on],
         stages=[StandardScale(inputCols=numbers)],
+        inputs=[TableInput("measurements", [*keys, on]), TableInput("labels", [on, target], fit_only=True)],
+        prepare=JoinLabels(on, tuple(keys)),
     )
-    return run(plan, joined, test, lambda s: metrics.accuracy(s, target, f"{target}_prediction"), **options)
+    train = {"measurements": measurements, "labels": labels}
+    test = None if test is None else {"measurements": test}
+    return run(plan, train, test, lambda s: metrics.accuracy(s, target, f"{target}_prediction"), **options)
 
 
 def bike_features(df: DataFrame, ts: str = "datetime") -> DataFrame:
@@ -113,6 +129,14 @@ def bike_features(df: DataFrame, ts: str = "datetime") -> DataFrame:
     return drop_columns(with_calendar(df, "_ts"), ["_ts", "casual", "registered"], missing_ok=True)
 
 
+@dataclass(frozen=True)
+class BikeFeatures:
+    ts: str
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        return bike_features(df, self.ts)
+
+
 def bike_demand(
     train: DataFrame, test: DataFrame | None = None, model: Estimator | None = None, key: str = "datetime",
     ts: str = "datetime", target: str = "count", **options,
@@ -122,7 +146,7 @@ def bike_demand(
         key=key,
         target=target,
         model=model or boosted_regressor(rounds=100, rate=0.05),
-        prepare=lambda df: bike_features(df, ts),
+        prepare=BikeFeatures(ts),
         keep=[] if ts == key else [ts],
         target_transform="log1p",
     )
@@ -192,14 +216,17 @@ GAME_TARGETS = ("team_A_scoring_within_10sec", "team_B_scoring_within_10sec")
 
 
 def game_events(
-    train: DataFrame, test: DataFrame | None = None, model: Estimator | None = None,
+    train: Raw, test: Raw | None = None, model: Estimator | None = None,
     key: str | Sequence[str] = "id", targets: Sequence[str] = GAME_TARGETS, drop: Sequence[str] = GAME_COLUMNS,
     stages: Sequence[Estimator | Transformer] = (), mode: str = "per_target", **options,
 ) -> Outcome:
     """Two boosted classifiers over one shared feature matrix, scored by log loss.
 
-    ``stages`` come before the completion of missing numbers, for columns that are text.
+    ``train`` and ``test`` are tables, or bindings of ``file_names`` and ``schema``: the files
+    are then read within the plan. ``stages`` come before the completion of missing numbers,
+    for columns that are text.
     """
+    files = not isinstance(train, DataFrame)
     keys = [key] if isinstance(key, str) else list(key)
     fill = FillNumbers(exclude=[*keys, *targets, *[f"_label_{t}" for t in targets]])
     plan = FeaturePlan(
@@ -208,6 +235,8 @@ def game_events(
         model=model or boosted_classifier(),
         stages=[*stages, fill],
         drop=[d for d in drop if d not in keys],
+        inputs=[PathsInput("file_names"), SchemaInput("schema")] if files else [],
+        prepare=read_files if files else None,
     )
     pairs = {t: f"{t}_probability" for t in targets}
     return run(

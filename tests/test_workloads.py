@@ -133,3 +133,22 @@ def test_game_events(spark, tmp_path):
     assert finished(spark, outcome, tmp_path / "out", ["id", *targets], 150) < 0.3
     vectors = [s for s in outcome.learner.model.stages if hasattr(s, "getInputCols")]
     assert set(vectors[-1].getInputCols()) == {"ball_pos_x", "boost0", "boost0_missing"}
+
+
+def test_game_events_from_lists_of_files(spark, tmp_path):
+    rows = numbered_rows(spark, 400).select(
+        "id", (F.col("id") % 10).alias("ball"), (F.col("id") % 10 < 4).cast("int").alias("team_A_scoring_within_10sec"),
+        (F.col("id") % 10 > 6).cast("int").alias("team_B_scoring_within_10sec"), F.lit("A").alias("team_scoring_next"),
+    )
+    files = [str(tmp_path / f"train_{i}") for i in range(3)]
+    for i, path in enumerate(files):
+        write_csv(rows.where(F.col("id") % 3 == i), path)
+    write_csv(rows.select("id", "ball"), str(tmp_path / "test"))
+    types = {"id": "int64", "ball": "float16", w.GAME_TARGETS[0]: "int8", w.GAME_TARGETS[1]: "int8", "team_scoring_next": "object"}
+    for name, own in (("train_types", types), ("test_types", {k: types[k] for k in ("id", "ball")})):
+        write_csv(spark.createDataFrame(list(own.items()), "column string, dtype string"), str(tmp_path / name))
+    outcome = w.game_events(
+        {"file_names": files, "schema": str(tmp_path / "train_types")},
+        {"file_names": str(tmp_path / "test"), "schema": str(tmp_path / "test_types")}, model=boosted_classifier(rounds=5, rate=0.3),
+    )
+    assert finished(spark, outcome, tmp_path / "out", ["id", *w.GAME_TARGETS], 400) < 0.3
