@@ -15,6 +15,10 @@ from .stats import frequent_key_hashes, key_hash64
 # Rows of one piece of a hot key; keys with more rows are cut into more pieces.
 PIECE_ROWS = 1_000_000
 LEAST_PIECES = 8
+# A value of a looked-up column is frequent in the table that is scored if it holds this
+# many rows and this share of them: below, it fits into a task of a thousand. The sketch that finds
+# them keeps so many counters.
+HOT_ROWS, HOT_VALUES, TRACKED = 5_000, 1_000, 10_000
 # A joined table up to this size, counted before the join, is broadcast.
 BROADCAST_BYTES = 32 << 20
 
@@ -123,6 +127,89 @@ def lookup(
     return found.withColumn(out, F.coalesce("_hot_code", "_code")).drop(*helpers)
 
 
+def _named_values(df: DataFrame, columns: Sequence[str], beside: Sequence[Column] = ()) -> DataFrame:
+    """``(column, value)`` for each of the columns of a row, as a number and a text."""
+    pairs = F.array(*[F.struct(F.lit(i).alias("column"), as_text(df, c).alias("value")) for i, c in enumerate(columns)])
+    return df.select(*beside, F.inline(pairs))
+
+
+def frequent_values(df: DataFrame, columns: Sequence[str]) -> list[tuple[int, str]]:
+    """The frequent values of several columns, as number of the column and digest.
+
+    One pass with one sketch over all columns; at most ``HOT_VALUES`` come back, whatever the
+    table holds.
+    """
+    key = F.concat(F.col("column").cast("string"), F.lit(":"), digest("value"))
+    rows = _named_values(df, columns).where("value is not null").select(key.alias("key"))
+    found = rows.agg(F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k(key, {HOT_VALUES}, {TRACKED})").alias("top")).first()
+    least = max(HOT_ROWS, found["n"] / HOT_VALUES)
+    pairs = (r["item"].split(":") for r in found["top"] or () if r["count"] >= least)
+    return [(int(column), value) for column, value in pairs]
+
+
+def hot_entries(df: DataFrame, dictionaries: Mapping[str, DataFrame], hot: Mapping[str, DataFrame]) -> DataFrame:
+    """``(column, value, code)``: what is answered by broadcast, ``value`` as a digest.
+
+    These are the frequent values of the fit, ``hot``, and those of ``df``: a frequent value of
+    ``df`` that its dictionary has comes with its code, any other with NULL, so that it meets
+    no task either. The number of rows is bounded by both lists.
+    """
+    columns = list(dictionaries)
+    none = df.sparkSession.createDataFrame([], "column int, value string, code double")
+    known = reduce(DataFrame.union, [hot[c].select(F.lit(i).alias("column"), "value", "code") for i, c in enumerate(columns)], none)
+    if df.isStreaming:
+        return known
+    found = frequent_values(df, columns)
+    if not found:
+        return known
+    listed = df.sparkSession.createDataFrame(found, "column int, value string")
+    new = listed.join(F.broadcast(known), ["column", "value"], "left_anti")
+    coded = [
+        dictionaries[c].select(F.lit(i).alias("column"), digest("value").alias("value"), "code").join(F.broadcast(new), ["column", "value"], "left_semi")
+        for i, c in enumerate(columns)
+    ]
+    return known.union(new.join(reduce(DataFrame.union, coded), ["column", "value"], "left").select("column", "value", "code"))
+
+
+def lookup_many(
+    df: DataFrame,
+    dictionaries: Mapping[str, DataFrame],
+    outs: Mapping[str, str],
+    hot: DataFrame,
+    spread_by: str | Sequence[str] | None = None,
+) -> DataFrame:
+    """:func:`lookup` for several large dictionaries ``(value, code)``, by one join.
+
+    The columns become narrow rows of a row's name, a column and a value; those in ``hot``
+    (as of :func:`hot_entries`) are answered by broadcast, the others meet all dictionaries at
+    once, by column and value. The codes then meet their rows by name, so the wide row is
+    moved once, however many columns there are. A row's name is a hash of ``spread_by``, or of
+    the whole row, and a digest of the looked-up values: rows of one name have the same codes.
+    """
+    columns = list(dictionaries)
+    texts = [F.concat(F.length(as_text(df, c)).cast("string"), F.lit(":"), as_text(df, c)) for c in columns]
+    name = F.concat(F.hex(_row_hash(df, spread_by)), digest(F.concat_ws(",", *[F.coalesce(t, F.lit("-")) for t in texts])))
+    wide = df.withColumn("_name", name)
+    coded = _coded_values(wide, dictionaries, hot)
+    codes = coded.where("code is not null").groupBy("_name")
+    codes = codes.agg(*[F.max(F.when(F.col("column") == i, F.col("code"))).alias(outs[c]) for i, c in enumerate(columns)])
+    return wide.join(codes, "_name", "left").drop("_name")
+
+
+def _open_values(wide: DataFrame, columns: Sequence[str], hot: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Narrow rows ``(_name, column, value)`` that need a dictionary, and those answered at once."""
+    rows = _named_values(wide, columns, [F.col("_name")]).where("value is not null")
+    first = hot.select("column", F.col("value").alias("_digest"), "code", F.lit(True).alias("_hot"))
+    told = rows.withColumn("_digest", digest("value")).join(F.broadcast(first), ["column", "_digest"], "left")
+    return told.where("_hot is null").select("_name", "column", "value"), told.where("_hot").select("_name", "column", "code")
+
+
+def _coded_values(wide: DataFrame, dictionaries: Mapping[str, DataFrame], hot: DataFrame) -> DataFrame:
+    open_, answered = _open_values(wide, list(dictionaries), hot)
+    tables = [t.select(F.lit(i).alias("column"), "value", "code") for i, t in enumerate(dictionaries.values())]
+    return open_.join(reduce(DataFrame.union, tables), ["column", "value"]).select("_name", "column", "code").union(answered)
+
+
 def digest(text: str | Column) -> Column:
     """128 bits that stand for a dictionary value in a list of frequent ones."""
     return F.md5(F.col(text).cast("binary") if isinstance(text, str) else text.cast("binary"))

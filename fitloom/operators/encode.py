@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from ..session import materialise, write_table
 from . import stats
 from .columns import columns_of_type, is_missing, quoted
-from .combine import as_text, digest, lookup
+from .combine import as_text, digest, hot_entries, lookup, lookup_many
 
 # A dictionary up to this size is kept inside the fitted stage and broadcast.
 SMALL_ENTRIES = 20_000
@@ -314,22 +314,33 @@ class DictionaryModel(_Fitted, MLReadable, MLWritable):
     """Replaces values by a fitted code, by broadcast or by a skew-proof join."""
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
+        """Small dictionaries are broadcast. Large ones are joined: one by one on a streaming
+        table, else all by a single join, after the frequent values of the table, known or
+        not, are answered by broadcast."""
         state = self.fitted()
         spark = dataset.sparkSession
-        order = dataset.columns
+        order, spread = dataset.columns, state["spread_by"] or None
+        out = {c: f"_coded_{i}" for i, c in enumerate(state["columns"])}
+        large, hot = {}, {}
         for c, fitted in state["columns"].items():
             if "table" in fitted:
-                table = spark.read.parquet(fitted["table"]).select("value", "code")
-                hot = _entries(spark, fitted["hot"])
-                coded = lookup(dataset, c, table, "_coded", hot=hot, spread_by=state["spread_by"] or None)
-            else:
-                coded = lookup(dataset, c, _entries(spark, fitted), "_coded", small=True)
-            code = F.col("_coded")
+                large[c] = spark.read.schema(f"{_ENTRY}, n long").parquet(fitted["table"]).select("value", "code")
+                hot[c] = _entries(spark, fitted["hot"])
+        if dataset.isStreaming or len(large) == 1:
+            for c, table in large.items():
+                answered = hot_entries(dataset, {c: table}, {c: hot[c]}).select("value", "code")
+                dataset = lookup(dataset, c, table, out[c], hot=answered, spread_by=spread)
+        elif large:
+            dataset = lookup_many(dataset, large, out, hot_entries(dataset, large, hot), spread)
+        coded = {}
+        for c, fitted in state["columns"].items():
+            if c not in large:
+                dataset = lookup(dataset, c, _entries(spark, fitted), out[c], small=True)
+            coded[c] = code = F.col(out[c])
             if state["unknown"] == "error":
-                failure = F.raise_error(F.concat(F.lit(f"column {c}: unknown category: "), quoted(c).cast("string")))
-                code = F.when(quoted(c).isNull() | code.isNotNull(), code).otherwise(failure)
-            dataset = coded.withColumn(c, code).drop("_coded")
-        return dataset.select(*[quoted(n) for n in order])
+                failure = F.raise_error(F.concat(F.lit(f"column {c}: unknown category: "), as_text(dataset, c)))
+                coded[c] = F.when(as_text(dataset, c).isNull() | code.isNotNull(), code).otherwise(failure)
+        return dataset.select(*[coded[n].alias(n) if n in coded else quoted(n) for n in order])
 
     def write(self) -> MLWriter:
         return _DictionaryWriter(self)

@@ -319,6 +319,42 @@ def lookup_map(spark: SparkSession, folder: str) -> DataFrame:
     return mapping.transform(orders).select("id", F.round("o_orderkey", 12).alias("share"))
 
 
+@query
+def lookup_frequent_unknown(spark: SparkSession, folder: str) -> DataFrame:
+    """A value that the dictionary lacks and half of the scored rows have."""
+    lines = table(spark, folder, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line"))
+    mapping = encode.FrequencyEncode(inputCols=["line"], spreadBy=["id"]).fit(lines)
+    line = F.when(F.col("l_linenumber") < 4, F.concat_ws("-", "l_orderkey", "l_linenumber")).otherwise("none")
+    scored = table(spark, folder, "lineitem").select(line.alias("line"), F.concat_ws("-", *LINE_KEY).alias("id"))
+    return mapping.transform(scored).select("id", F.round("line", 12).alias("share"))
+
+
+def large_values(lines: DataFrame) -> DataFrame:
+    return lines.select(
+        F.concat_ws("-", *LINE_KEY).alias("id"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line"),
+        F.concat_ws("|", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice").alias("goods"),
+        F.col("l_extendedprice").alias("price"),
+    )
+
+
+@query
+def frequency_encode_large(spark: SparkSession, folder: str) -> DataFrame:
+    """Three columns of very many values, learned on the training rows, applied to all by one join."""
+    lines = table(spark, folder, "lineitem")
+    names = ["line", "goods", "price"]
+    fitted = encode.FrequencyEncode(inputCols=names, spreadBy=["id"]).fit(large_values(hash_split(lines, "l_partkey", 0.2).train))
+    return rounded(fitted.transform(large_values(lines)), names, 12)
+
+
+@query
+def ordinal_encode_large(spark: SparkSession, folder: str) -> DataFrame:
+    """Positions among the sorted values of three columns of very many values."""
+    values = large_values(table(spark, folder, "lineitem"))
+    names = ["line", "goods", "price"]
+    return encode.OrdinalEncode(inputCols=names, spreadBy=["id"]).fit(values).transform(values)
+
+
 @query
 def column_concat_keyed(spark: SparkSession, folder: str) -> DataFrame:
     part = table(spark, folder, "part").select("p_partkey", "p_brand")

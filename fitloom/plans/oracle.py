@@ -22,6 +22,9 @@ SCORES = """(SELECT l.*, d.n_chars, (d.n_chars % 97 + 1)::DOUBLE / 98 AS p_quali
     (d.n_chars % 11 = 0)::INTEGER AS toxic_guess FROM labels l JOIN documents d USING (doc_id))"""
 LINES = """(SELECT (l_returnflag = 'R')::INTEGER AS y, l_extendedprice * (1::DOUBLE - l_discount) AS score,
     l_quantity, l_extendedprice, l_quantity * 2000 AS guess FROM lineitem)"""
+LARGE = f"""SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id, l_orderkey || '-' || l_linenumber AS line,
+    concat_ws('|', l_partkey, l_suppkey, l_quantity, l_extendedprice) AS goods, l_extendedprice AS price, {_test('l_partkey')} AS test
+    FROM lineitem"""
 EPS = "2.220446049250313e-16::DOUBLE"
 
 
@@ -129,6 +132,19 @@ ORACLE: dict[str, str] = {
     "lookup_map": """WITH f AS (SELECT l_orderkey, count(*)::DOUBLE / (SELECT count(*) FROM lineitem) AS f
             FROM lineitem GROUP BY 1)
         SELECT o_orderkey AS id, round(f, 12) AS share FROM orders LEFT JOIN f ON l_orderkey = o_orderkey""",
+    "lookup_frequent_unknown": """WITH t AS (SELECT l_orderkey || '-' || l_linenumber AS line, count(*) / (SELECT count(*) FROM lineitem)::DOUBLE AS share
+            FROM lineitem GROUP BY 1)
+        SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id, round(CASE WHEN l_linenumber < 4 THEN share END, 12) AS share
+        FROM lineitem JOIN t ON t.line = l_orderkey || '-' || l_linenumber""",
+    "frequency_encode_large": f"""WITH v AS ({LARGE}), t AS (SELECT * FROM v WHERE NOT test),
+            a AS (SELECT line, count(*) / sum(count(*)) OVER ()::DOUBLE AS f FROM t GROUP BY 1),
+            b AS (SELECT goods, count(*) / sum(count(*)) OVER ()::DOUBLE AS f FROM t GROUP BY 1),
+            c AS (SELECT price, count(*) / sum(count(*)) OVER ()::DOUBLE AS f FROM t GROUP BY 1)
+        SELECT id, round(a.f, 12) AS line, round(b.f, 12) AS goods, round(c.f, 12) AS price
+        FROM v LEFT JOIN a USING (line) LEFT JOIN b USING (goods) LEFT JOIN c USING (price)""",
+    "ordinal_encode_large": f"""WITH v AS ({LARGE})
+        SELECT id, (dense_rank() OVER (ORDER BY line) - 1)::DOUBLE AS line, (dense_rank() OVER (ORDER BY goods) - 1)::DOUBLE AS goods,
+            (dense_rank() OVER (ORDER BY price) - 1)::DOUBLE AS price FROM v""",
     "column_concat_keyed": """WITH s AS (SELECT l_partkey AS p_partkey, count(*) AS n_lines FROM lineitem GROUP BY 1)
         SELECT p_partkey, p_brand, n_lines FROM part FULL JOIN s USING (p_partkey)""",
     "stack_columns": f"SELECT doc_id, quality_guess AS label1, toxic_guess AS label2 FROM {SCORES}",
