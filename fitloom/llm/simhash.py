@@ -35,6 +35,8 @@ LEAST = 16
 #: Most sets, and most hashes besides one set, in a piece of a group; a bound on the memory of
 #: a task, not on what is compared.
 PIECE_SETS, PIECE_HASHES = 256, 1 << 19
+#: Rounds in which a group of several pieces meets a set of its own before what is left meets all.
+ROUNDS = 3
 
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
@@ -350,28 +352,12 @@ def similar_stars(names: list[bytes], sets: list[np.ndarray], n_tree: int) -> li
     return [(m, least[r]) for m, r in zip(names, label.tolist(), strict=True) if m != least[r]]
 
 
-def similar(docs: DataFrame, nodes: DataFrame, size: int, radius: int) -> DataFrame:
-    """Links ``(a, b)`` between the sets of ``nodes(set, first, fp, n, least)`` that keep every
-    connection by a Jaccard similarity of ``SIMILAR`` or more.
-
-    Sets that share one of their least hashes and whose fingerprints are within the radius
-    only form loose groups. In these, cut into pieces that all meet, the sets are compared.
-    """
-    keyed = materialise(nodes.select(F.lit(0).alias("shard"), F.explode("least").alias("key"), "fp").distinct(), "simhash-shards")
-    loose = connected_components(_linked(keyed, radius), "simhash-loose")
-    named = nodes.join(loose, nodes.fp == loose.node, "left").select("set", "first", "n", F.coalesce("root", "fp").alias("root"))
-    named = materialise(named, "simhash-groups")
-    groups = named.groupBy("root").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("hashes")).where("sets > 1 and hashes > 0")
-    pieces = F.greatest(F.ceil(F.col("sets") / PIECE_SETS), F.ceil(F.col("hashes") / PIECE_HASHES)).cast("int")
-    placed = named.join(groups, "root").select("set", "first", "root", pieces.alias("pieces"), F.pmod(F.xxhash64("set"), pieces).cast("int").alias("piece"))
-    placed = materialise(placed, "simhash-placed")
-    wanted = placed.select(F.col("first").alias("_first")).distinct()
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, F.expr("doc_id <=> _first"), "left_semi")
-    sets = materialise(_shingles(texts, size).join(placed, "set", "left_semi").dropDuplicates(["set"]), "simhash-sets")
-    blocks = placed.join(sets, "set").select("*", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("other"))
-    blocks = blocks.select("root", F.least("piece", "other").alias("i"), F.greatest("piece", "other").alias("j"), "piece", "set", "shingles")
+def _compared(placed: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` of all blocks of ``placed(root, i, j, late, set)``: within a block the late
+    sets meet the others; without late ones the others meet each other."""
+    blocks = placed.join(sets, "set").select("root", "i", "j", "late", "set", "shingles")
     blocks = blocks.repartition("root", "i", "j").groupBy("root", "i", "j")
-    blocks = blocks.agg(F.collect_list(F.struct((F.col("piece") != F.col("i")).alias("late"), "set", "shingles")).alias("m"))
+    blocks = blocks.agg(F.collect_list(F.struct("late", "set", "shingles")).alias("m"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -386,6 +372,85 @@ def similar(docs: DataFrame, nodes: DataFrame, size: int, radius: int) -> DataFr
     return blocks.select("m").mapInArrow(run, "a binary, b binary")
 
 
+def _placed(members: DataFrame, rest: DataFrame) -> DataFrame:
+    """Blocks in which the sets of ``rest(root, set, n)`` meet all of ``members(root, set, n)``.
+
+    Sets are put into classes of sizes, each a quarter up: similar ones are in the same or in
+    neighbouring classes. A class is cut into pieces, and a block is a piece of either table.
+    """
+    step = 1.0001 * SIMILAR[1] / SIMILAR[0]  # so that no rounding parts two that are similar
+    cut: dict[str, DataFrame] = {}
+    for name, table in (("rest", rest), ("all", members)):
+        sized = table.withColumn("class", F.floor(F.log(step, F.col("n"))).cast("int"))
+        many = sized.groupBy("root", "class").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("hashes"))
+        pieces = F.greatest(F.ceil(F.col("sets") / PIECE_SETS), F.ceil(F.col("hashes") / PIECE_HASHES)).cast("int")
+        cut[f"{name} pieces"] = many.select("root", "class", pieces.alias("pieces"))
+        cut[name] = sized.join(cut[f"{name} pieces"], ["root", "class"])
+    number = F.concat_ws(":", "class", F.pmod(F.xxhash64("set"), F.col("pieces")))
+    sides = []
+    for own, other, late in (("rest", "all", False), ("all", "rest", True)):
+        near = cut[f"{other} pieces"].select("root", F.explode(F.array(*[F.col("class") + d for d in (-1, 0, 1)])).alias("class"), F.col("class").alias("met"), F.col("pieces").alias("met_pieces"))
+        met = cut[own].join(near, ["root", "class"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("met_pieces") - 1)))
+        met = met.select("root", "set", number.alias("own"), F.concat_ws(":", "met", "other").alias("other"))
+        sides.append(met.select("root", *[F.col(c).alias(k) for k, c in zip("ij", ("other", "own") if late else ("own", "other"), strict=True)], F.lit(late).alias("late"), "set"))
+    return sides[0].union(sides[1])
+
+
+def similar(docs: DataFrame, nodes: DataFrame, size: int, radius: int) -> DataFrame:
+    """Links ``(a, b)`` between the sets of ``nodes(nid, set, first, fp, n, least)`` that keep every
+    connection by a Jaccard similarity of ``SIMILAR`` or more.
+
+    Sets that share one of their least hashes and whose fingerprints are within the radius
+    only form loose groups. A group of one piece is compared at once. Of a larger one, all sets
+    meet the least set that is linked to none so far, a few times over: each time a set moves
+    once, and most near copies are connected then. What lies outside the largest part of its
+    group meets the whole group, piece by piece.
+    """
+    keys = nodes.select("nid", F.explode("least").alias("key"))
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1").select("key")
+    keyed = keys.join(shared, "key").join(nodes.select("nid", "fp"), "nid").select(F.lit(0).alias("shard"), "key", "fp").distinct()
+    loose = connected_components(_linked(materialise(keyed, "simhash-shards"), radius), "simhash-loose")
+    named = nodes.where("n > 0").join(loose, nodes.fp == loose.node, "left").select("set", "first", "n", F.coalesce("root", "fp").alias("root"))
+    named = materialise(named, "simhash-groups")
+    groups = named.groupBy("root").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("hashes")).where("sets > 1")
+    large = (F.col("sets") > PIECE_SETS) | (F.col("hashes") > PIECE_HASHES)
+    members = materialise(named.join(groups.select("root", large.alias("large")), "root"), "simhash-members")
+    wanted = members.select(F.col("first").alias("_first")).distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, F.expr("doc_id <=> _first"), "left_semi")
+    sets = materialise(_shingles(texts, size).join(members, "set", "left_semi").dropDuplicates(["set"]), "simhash-sets")
+    whole = members.where("not large").select("root", F.lit("").alias("i"), F.lit("").alias("j"), F.lit(False).alias("late"), "set")
+    links = materialise(_compared(whole, sets), "simhash-similar")
+    members = materialise(members.where("large").select("root", "set", "n"), "simhash-large")
+    if members.isEmpty():
+        return links
+    alone = members
+    for _ in range(ROUNDS):
+        pivots = alone.groupBy("root").agg(F.min(F.struct("set", "n")).alias("pivot")).select("root", "pivot.*")
+        pivots = materialise(pivots, "simhash-pivots")
+        near = f"n * {SIMILAR[1]} >= pivot_n * {SIMILAR[0]} and pivot_n * {SIMILAR[1]} >= n * {SIMILAR[0]} and set != pivot"
+        met = members.join(pivots.select("root", F.col("set").alias("pivot"), F.col("n").alias("pivot_n")), "root").where(near).drop("pivot", "pivot_n")
+        many = met.groupBy("root").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("hashes"))
+        pieces = F.greatest(F.ceil(F.col("sets") / PIECE_SETS), F.ceil(F.col("hashes") / PIECE_HASHES)).cast("int")
+        many = many.select("root", pieces.alias("pieces"))
+        late = met.join(many, "root").select("root", F.pmod(F.xxhash64("set"), F.col("pieces")).cast("string").alias("i"), F.lit("").alias("j"), F.lit(True).alias("late"), "set")
+        early = pivots.join(many, "root").select("root", F.explode(F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), lambda x: x.cast("string"))).alias("i"), F.lit("").alias("j"), F.lit(False).alias("late"), "set")
+        found = materialise(_compared(early.union(late), sets), "simhash-stars")
+        links = links.union(found)
+        linked_ = found.select(F.explode(F.array("a", "b")).alias("set")).union(pivots.select("set")).distinct()
+        alone = materialise(alone.join(linked_, "set", "left_anti"), "simhash-alone")
+        if alone.isEmpty():
+            break
+    # components so far; the sets outside the largest of a group meet the group
+    roots = connected_components(links, "simhash-parts").withColumnsRenamed({"node": "set", "root": "part"})
+    parted = materialise(members.join(roots, "set", "left").withColumn("part", F.coalesce("part", "set")), "simhash-parted")
+    main = parted.groupBy("root", "part").agg(F.count(F.lit(1)).alias("sets")).groupBy("root").agg(F.max(F.struct("sets", "part")).alias("x"))
+    rest = materialise(parted.join(main.select("root", F.col("x.part").alias("main")), "root").where("part != main").select("root", "set", "n"), "simhash-rest")
+    if rest.isEmpty():
+        return links
+    open_ = members.join(rest.select("root").distinct(), "root", "left_semi")
+    return links.union(materialise(_compared(_placed(open_, rest), sets), "simhash-late"))
+
+
 def keep_one_of_each(docs: DataFrame, size: int = 5, words: int = 6, radius: int = 118) -> DataFrame:
     """The rows of ``docs`` without near copies: of each group, the smallest ``doc_id`` stays.
 
@@ -395,11 +460,13 @@ def keep_one_of_each(docs: DataFrame, size: int = 5, words: int = 6, radius: int
     of ``words`` times 64 bits: the worst such pair, sets of 4 and 5, in 72 with a deviation
     of 7.7, so ``radius`` adds six. Rows go by their own text: of the rows of one id in a group
     that it names, the one of least text hash, then of least columns, stays. Rows without an
-    id stay.
+    id stay. Null, empty and blank texts have the same, empty set: they are copies of each other.
+    A very long text is one set, in a piece of its own if need be; columns besides ``doc_id``
+    and ``text`` may have any names. An empty table gives an empty table.
     """
     known = materialise(_sets(docs, size, words), "simhash")
     nodes = known.groupBy("set").agg(F.min("doc_id").alias("first"), *[F.first(c).alias(c) for c in ("fp", "n", "least")])
-    nodes = materialise(nodes, "simhash-nodes")
+    nodes = materialise(nodes.withColumn("nid", F.monotonically_increasing_id()), "simhash-nodes")
     roots = connected_components(similar(docs, nodes, size, radius), "simhash-links")
     named = nodes.join(roots, nodes.set == roots.node, "left").select("set", "first", F.coalesce("root", "set").alias("root"))
     named = materialise(named, "simhash-roots")

@@ -108,7 +108,7 @@ def test_one_of_each_group_stays(spark):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == [2, 9, None]
 
 
-@pytest.mark.parametrize("pieces", [3, 256])
+@pytest.mark.parametrize("pieces", [1, 3, 256])
 def test_only_sets_that_are_similar_enough_are_near_copies(spark, monkeypatch, pieces):
     monkeypatch.setattr(simhash, "PIECE_SETS", pieces)
     rng, rows = random.Random(12), []
@@ -137,3 +137,42 @@ def test_a_unique_text_under_a_repeated_id_stays(spark):
     kept = sorted((r.doc_id, r.text) for r in simhash.keep_one_of_each(frame(spark, rows)).collect())
     assert [r[0] for r in kept] == [1, 2, 4] and kept[:2] == [(1, a), (2, b)] and kept[2][1].startswith(c)
     assert sorted((r.doc_id, r.text) for r in simhash.keep_one_of_each(frame(spark, rows[::-1])).collect()) == kept
+
+
+@pytest.mark.parametrize("rounds", [1, 3])
+def test_large_groups_of_near_copies_are_connected_whole(spark, monkeypatch, rounds):
+    """Copies of two similar bases, and chains away from them, in one loose group of many pieces."""
+    monkeypatch.setattr(simhash, "PIECE_SETS", 5)
+    monkeypatch.setattr(simhash, "ROUNDS", rounds)
+    rng, rows = random.Random(21), []
+    base = [f"w{rng.randrange(9000)}" for _ in range(200)]
+    other = list(base)
+    for at in range(10, 190, 30):  # far from the base: 6 changes cost 30 shingles
+        other[at] = f"y{at}"
+    for k in range(60):
+        near = list(other if k % 3 == 0 else base)
+        for at in rng.sample(range(200), rng.randint(0, 7)):
+            near[at] = f"x{rng.randrange(9000)}"
+        rows.append((k, " ".join(near)))
+    chain = list(base)
+    for k in range(12):
+        for at in rng.sample(range(200), 3):
+            chain[at] = f"z{k}{at}"
+        rows.append((100 + k, " ".join(chain)))
+    sets = [set(simhash.shingle_hashes(t, 5).tolist()) for _, t in rows]
+    roots = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if 5 * len(a & sets[j]) >= 4 * len(a | sets[j]):
+                roots = [min(roots[i], roots[j]) if r in (roots[i], roots[j]) else r for r in roots]
+    kept = {r.doc_id for r in simhash.keep_one_of_each(frame(spark, rows)).collect()}
+    assert kept == {rows[r][0] for r in roots} and 1 < len(kept) < 40
+
+
+def test_near_copies_of_odd_rows(spark):
+    long = " ".join(f"w{i % 9973}" for i in range(120_000))
+    rows = [(1, None), (2, ""), (3, " \t"), (4, long), (5, long + " end"), (6, "few words"), (7, "Few Words"), (None, "few words")]
+    docs = spark.createDataFrame([(*r, b"x", "y", 1) for r in rows], "doc_id long, text string, fp binary, set string, first int")
+    kept = simhash.keep_one_of_each(docs)
+    assert sorted((str(r.doc_id) for r in kept.collect())) == ["1", "4", "6", "None"] and kept.columns == docs.columns
+    assert simhash.keep_one_of_each(docs.where("false")).collect() == []
