@@ -1,13 +1,16 @@
 """Toxicity from the nearest labelled examples by exact TF-IDF cosine.
 
-Terms are words and beginnings of words, chosen for their association with the label. Examples lie in an inverted index cut into blocks, each with the largest
-weight of every term in it: blocks are visited by falling upper bound and the search ends
+Terms are words, beginnings of words and the windows of letters behind a long word's tenth, so
+that every letter of a text is read. Those that stand with the label too often for chance, at a
+fixed rate of false discoveries, are chosen on the labelled examples. Examples lie in an
+inverted index cut into blocks, each with the largest weight of every term in it: blocks are visited by falling upper bound and the search ends
 once no block can reach the k-th best cosine, so the neighbours are exact. Their
 distance-weighted votes, calibrated on the examples themselves, are the score.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -22,11 +25,16 @@ from fitloom.session import materialise
 
 #: Labelled rows of each class that the classifier is fitted on, least hash of the id first.
 EXAMPLES = 2500
-#: Terms kept, and the least chi-square (one degree of freedom) of a term.
-TERMS = 1536
-LEAST_CHI = 24.0
+#: Share of the chosen terms that may be chosen by chance, by the step-up rule of Benjamini and
+#: Hochberg over exact one-sided p-values: as strict for a few examples as for many. Terms in too
+#: few examples ever to pass are not tested.
+FALSE_DISCOVERIES = 0.05
+#: Least number of examples of label 1 that have a chosen term.
+LEAST_EXAMPLES = 2
 #: Least ratio of a term's frequencies among examples of label 1 and of label 0.
 LEAST_LIFT = 4.0
+#: Least hashes by which examples are compared, and the similarity of near copies.
+LEAST, SIMILAR = 16, 0.8
 NEIGHBOURS = 25
 BLOCK = 64
 FIRST_BLOCKS = 4
@@ -34,11 +42,11 @@ FIRST_BLOCKS = 4
 HALF_VOTE = 0.35
 #: Votes that the base rate has beside the neighbours.
 PULL = 0.2
-#: Least share of the examples of label 1, and least number of them, that have a chosen term.
-LEAST_SHARE, LEAST_EXAMPLES = 0.01, 4
 SLICE = 1 << 19
 #: Letters of the shortest and the longest beginning of a word that is a term.
 SHORTEST, LONGEST = 3, 10
+#: Letters of the windows that read what lies behind the longest beginning.
+INNER = (2, 3, 5)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -52,6 +60,7 @@ def _letters() -> np.ndarray:
 def term_codes(text: str | None) -> Iterator[np.ndarray]:
     """64-bit codes of all terms of a whole text, repeats included, slice by slice."""
     table, last, text = _letters(), np.zeros(1, np.uint64), text or ""
+    gap = 0  # place of the last character that is no letter, before or at the slice's first
     for at in range(0, len(text), SLICE):
         part = text[at : at + SLICE].lower().encode("utf-32-le", "surrogatepass")
         final = at + SLICE >= len(text)
@@ -69,6 +78,17 @@ def term_codes(text: str | None) -> Iterator[np.ndarray]:
             words, h = words[~ends], h[~ends]
             if SHORTEST <= j <= LONGEST:
                 yield code[~ends]
+        if stop:
+            gaps = np.maximum.accumulate(np.where(ids == 0, np.arange(len(ids)), gap))
+            deep = np.arange(stop) - gaps[:stop]  # a word's first letter is 1 deep
+            for size in INNER:
+                spots = np.flatnonzero((deep > 0) & (deep + size - 1 > LONGEST))
+                spots = spots[gaps[spots + size - 1] == gaps[spots]]
+                h = np.full(len(spots), 1000 + size, np.uint64)
+                for j in range(size):
+                    h = (h ^ ids[spots + j]) * _MIX
+                yield h ^ (h >> np.uint64(32))
+            gap = int(gaps[stop]) - stop
         last = ids[stop:]
 
 
@@ -105,13 +125,18 @@ def features(text: Column, terms: Terms) -> Column:
 
 @dataclass
 class Model:
-    """Blocks of examples as term-major weights, block maxima, and the calibration."""
+    """Blocks of examples, their largest weights, and the calibration.
+
+    ``lanes`` has a row of weights for each term and block that meet, one weight an example;
+    ``rows`` says which, row 0 being empty.
+    """
 
     idf: np.ndarray
     ids: np.ndarray
     labels: np.ndarray
     votes: np.ndarray
-    blocks: np.ndarray
+    lanes: np.ndarray
+    rows: np.ndarray
     peaks: np.ndarray
     base: float
     xs: np.ndarray
@@ -143,7 +168,7 @@ class Model:
         return spot, cosines
 
     def _search(self, blocks: np.ndarray, at: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        lists = self.blocks[at[:, None], blocks[None, :]]
+        lists = self.lanes[self.rows[at[:, None], blocks[None, :]]]
         cosines = weights @ lists.reshape(len(at), -1)
         spot = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
         if len(cosines) > k:
@@ -189,16 +214,21 @@ def fit(examples: list, idf: np.ndarray, shares: dict[int, float]) -> Model:
     base = (sum(shares[r.y] for r in empty if r.y) + 0.5) / (total + 1.0)
     rows = sorted((r for r in examples if len(r.at)), key=lambda r: (r.y, max(zip(r.n, r.at, strict=True))[1], r.doc_id or 0))
     size = -(-max(len(rows), 1) // BLOCK)
-    blocks = np.zeros((len(idf), size, BLOCK), np.float32)
     ids, labels = np.array([r.doc_id for r in rows], object), np.array([r.y for r in rows], np.float64)
-    model = Model(idf, ids, labels, np.array([shares[r.y] for r in rows]), blocks, np.zeros((len(idf), size), np.float32), base, np.array([0.0, 1.0]), np.array([0.0, 1.0]))
+    lanes, table = np.zeros((1, BLOCK), np.float32), np.zeros((len(idf), size), np.int32)
+    model = Model(idf, ids, labels, np.array([shares[r.y] for r in rows]), lanes, table, np.zeros((len(idf), size), np.float32), base, np.array([0.0, 1.0]), np.array([0.0, 1.0]))
     if not rows:
         return model
     model.votes = model.votes / model.votes.min()
     vectors = [(np.array(r.at), model.vector(np.array(r.at), np.array(r.n))) for r in rows]
+    for i, (at, _) in enumerate(vectors):
+        table[at, i // BLOCK] = 1
+    met = np.nonzero(table)
+    table[met] = np.arange(1, len(met[0]) + 1)
+    model.lanes = np.zeros((len(met[0]) + 1, BLOCK), np.float32)
     for i, (at, w) in enumerate(vectors):
-        blocks[at, i // BLOCK, i % BLOCK] = w
-    model.peaks = blocks.max(axis=2)
+        model.lanes[table[at, i // BLOCK], i % BLOCK] = w
+    model.peaks[met] = model.lanes[1:].max(axis=1)
     raw = np.empty(len(rows))
     for i, (at, w) in enumerate(vectors):  # each example by its neighbours without itself
         spot, cosines = model.nearest(at, w, NEIGHBOURS + 1)
@@ -209,18 +239,22 @@ def fit(examples: list, idf: np.ndarray, shares: dict[int, float]) -> Model:
 
 
 def _chosen_terms(sample: DataFrame) -> Terms:
-    """The terms most associated with label 1, from how many examples of each class have them.
+    """The terms that stand with label 1, from how many examples of each class have them.
 
-    Near copies would make the words of one text look frequent: of examples with the same
-    least shingle hash, which most copies share, one is counted.
+    Near copies would make the words of one text look frequent: of examples of a class whose
+    sets of five-word shingles are similar, by their least hashes, one is counted.
     """
 
-    @F.arrow_udf("long")
-    def least_hash(texts: pa.Array) -> pa.Array:
-        hashes = [shingle_hashes(t.as_py(), 5) for t in texts]
-        return pa.array([int(h.min().view(np.int64)) if len(h) else 0 for h in hashes], pa.int64())
+    @F.arrow_udf("array<long>")
+    def least(texts: pa.Array) -> pa.Array:
+        return pa.array([np.unique(shingle_hashes(t.as_py(), 5))[:LEAST].view(np.int64) for t in texts], pa.list_(pa.int64()))
 
-    sample = materialise(sample.withColumn("key", least_hash("text")).dropDuplicates(["y", "key"]), "toxicity-distinct")
+    text_hash = F.xxhash64("text").alias("h")
+    rows = sample.select("y", text_hash, "text").dropDuplicates(["y", "h"]).orderBy("h", "y").limit(2 * EXAMPLES).select("y", "h", least("text").alias("least"))
+    kept = _unlike([(r.y, r.h, r.least) for r in rows.collect()])
+    kept = sample.sparkSession.createDataFrame(kept, "y int, h long")  # at most twice EXAMPLES rows
+    sample = sample.select("y", "text", text_hash).dropDuplicates(["y", "h"]).join(F.broadcast(kept), ["y", "h"])
+    sample = materialise(sample.select("y", "text"), "toxicity-distinct")
     count = {r.y: r.n for r in sample.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,14 +270,70 @@ def _chosen_terms(sample: DataFrame) -> Terms:
 
     seen = sample.select("y", "text").mapInArrow(run, "code long, y int, n long").groupBy("code")
     seen = seen.agg(*[F.sum(F.when(F.col("y") == y, F.col("n")).otherwise(0)).cast("double").alias(f"n{y}") for y in (0, 1)])
-    n0, n1, a, b = float(count.get(0, 0)), float(count.get(1, 0)), F.col("n1"), F.col("n0")
-    rest = (F.lit(n1) - a, F.lit(n0) - b)
-    chi = (n0 + n1) * F.pow(a * rest[1] - b * rest[0], F.lit(2)) / ((a + b) * (rest[0] + rest[1] + 0.5) * max(n0, 0.5) * max(n1, 0.5))
-    best = seen.withColumn("chi", chi).where((a >= max(LEAST_EXAMPLES, LEAST_SHARE * n1)) & (a * n0 > LEAST_LIFT * (b + 0.5) * n1) & (F.col("chi") >= LEAST_CHI))
-    rows = best.orderBy(F.desc("chi"), "code").limit(TERMS).select("code").collect()
+    n0, n1 = count.get(0, 0), count.get(1, 0)
+
+    @F.arrow_udf("double")
+    def chance(a: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array(log_chance(a.to_numpy().astype(np.int64), b.to_numpy().astype(np.int64), n0, n1))
+
+    a, b = F.col("n1"), F.col("n0")
+    tested = seen.where(a + b >= least_testable(n0, n1)).withColumn("p", chance("n1", "n0"))
+    tested = materialise(tested, "toxicity-tested")
+    # ranks from counts of p-values in narrow steps, so no task sorts all terms
+    steps = tested.groupBy(F.ceil(F.col("p") * 64).alias("step")).agg(F.count(F.lit(1)).alias("n")).orderBy("step").collect()
+    total, below, cut = sum(r.n for r in steps), 0, -np.inf
+    for r in steps:
+        below += r.n
+        if np.exp(r.step / 64) <= FALSE_DISCOVERIES * below / total:
+            cut = r.step
+    best = tested.where((F.ceil(F.col("p") * 64) <= F.lit(float(cut))) & (a >= LEAST_EXAMPLES) & (a * n0 > LEAST_LIFT * (b + 0.5) * n1))
+    rows = best.select("code").collect()
     return Terms(np.array([r.code for r in rows], np.int64).view(np.uint64) if rows else np.empty(0, np.uint64))
 
 
+def _unlike(rows: list[tuple[int, int, list[int]]]) -> list[tuple[int, int]]:
+    """``(y, h)`` of the rows ``(y, h, least hashes)`` that are similar to none before them."""
+    kept: list[tuple[int, int]] = []
+    sets: list[set[int]] = []
+    having: dict[tuple[int, int], list[int]] = {}
+    for y, h, least in sorted(rows):
+        own = set(least)
+        met = Counter(i for x in least for i in having.get((y, x), ()))
+        for i in met:
+            # of the least hashes of both sets together; shorter sets are whole
+            both = sorted(own | sets[i])[:LEAST]
+            if sum(x in own and x in sets[i] for x in both) >= SIMILAR * len(both):
+                break
+        else:
+            for x in least:
+                having.setdefault((y, x), []).append(len(kept))
+            kept.append((y, h))
+            sets.append(own)
+    return kept
+
+
+def least_testable(n0: int, n1: int) -> int:
+    """The least number of examples that can pass: all of label 1."""
+    alone = np.arange(LEAST_EXAMPLES, n1 + 1)
+    able = np.flatnonzero(log_chance(alone, np.zeros_like(alone), n0, n1) <= np.log(FALSE_DISCOVERIES))
+    return int(alone[able[0]]) if len(able) else max(LEAST_EXAMPLES, n1)
+
+
+def log_chance(a: np.ndarray, b: np.ndarray, n0: int, n1: int) -> np.ndarray:
+    """Logarithm of the chance that of ``a + b`` examples, drawn from ``n0`` and ``n1``, at least
+    ``a`` are of the second kind: the one-sided exact test."""
+    if not n0 or not n1:
+        return np.zeros(len(a))
+    logs = np.concatenate(([0.0], np.cumsum(np.log(np.arange(1, n0 + n1 + 1)))))
+    choose = lambda n, k: logs[n] - logs[k] - logs[n - k]
+    drawn, out = a + b, np.full(len(a), -np.inf)
+    for i in range(int(b.max(initial=0)) + 1):
+        more = np.flatnonzero((i <= b) & (a + i <= n1))
+        x = a[more] + i
+        out[more] = np.logaddexp(out[more], choose(n1, x) + choose(n0, drawn[more] - x) - choose(n0 + n1, drawn[more]))
+    return np.minimum(out, 0.0)
+
+
 def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, int]]:
     """Labelled texts, at most ``EXAMPLES`` of a class, and the labelled rows of each class."""
     sure = labels.where("y in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("y").alias("y"))
@@ -294,7 +384,11 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``."""
+    """The rows of ``docs`` that score below ``threshold``, as they are.
+
+    Null and empty texts and texts without a chosen term score as in :func:`score`; rows that
+    repeat stay or go together; without labels, or from an empty table, every row stays.
+    """
     sample, count = _sample(docs, labels)
     terms = _chosen_terms(sample)
     frequencies = materialise(docs.select(features(F.col("text"), terms).alias("f")).select("f.at"), "toxicity-terms")
