@@ -35,6 +35,8 @@ LEAST = 16
 #: Most sets, and most hashes besides one set, in a piece of a group; a bound on the memory of
 #: a task, not on what is compared.
 PIECE_SETS, PIECE_HASHES = 256, 1 << 19
+#: Ids of texts, or shingles of sets, that are broadcast, after a count of their bytes.
+BROADCAST_BYTES = 16 << 20
 #: Rounds in which a group of several pieces meets a set of its own before what is left meets all.
 ROUNDS = 3
 
@@ -352,10 +354,9 @@ def similar_stars(names: list[bytes], sets: list[np.ndarray], n_tree: int) -> li
     return [(m, least[r]) for m, r in zip(names, label.tolist(), strict=True) if m != least[r]]
 
 
-def _compared(placed: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links ``(a, b)`` of all blocks of ``placed(root, i, j, late, set)``: within a block the late
-    sets meet the others; without late ones the others meet each other."""
-    blocks = placed.join(sets, "set").select("root", "i", "j", "late", "set", "shingles")
+def _compared(blocks: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` of all blocks of ``(root, i, j, late, set, shingles)``: within a block the
+    late sets meet the others; without late ones the others meet each other."""
     blocks = blocks.repartition("root", "i", "j").groupBy("root", "i", "j")
     blocks = blocks.agg(F.collect_list(F.struct("late", "set", "shingles")).alias("m"))
 
@@ -372,6 +373,56 @@ def _compared(placed: DataFrame, sets: DataFrame) -> DataFrame:
     return blocks.select("m").mapInArrow(run, "a binary, b binary")
 
 
+def _met(sets: DataFrame, pivots: DataFrame) -> DataFrame:
+    """Links ``(a, b)`` between ``pivots(root, pivot, pivot_n, pivot_shingles)`` and all similar
+    ``sets(root, set, n, shingles)`` of their groups. Pivots of a counted size are broadcast, so
+    that no set moves."""
+    size = pivots.agg(F.sum(F.octet_length("pivot_shingles"))).first()[0] or 0
+    near = f"n * {SIMILAR[1]} >= pivot_n * {SIMILAR[0]} and pivot_n * {SIMILAR[1]} >= n * {SIMILAR[0]} and set != pivot"
+    rows = sets.join(F.broadcast(pivots) if size <= BROADCAST_BYTES else pivots, "root").where(near)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                out = []
+                for name, pivot, own, other in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns), strict=True):
+                    a, b = np.frombuffer(own, "<u8"), np.frombuffer(other, "<u8")
+                    both = len(np.intersect1d(a, b, assume_unique=True))
+                    if both * SIMILAR[1] >= (len(a) + len(b) - both) * SIMILAR[0]:
+                        out.append((name, pivot))
+                yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.binary()) for k in (0, 1)], ["a", "b"])
+
+    return rows.select("set", "pivot", "shingles", "pivot_shingles").mapInArrow(run, "a binary, b binary")
+
+
+def _near(placed: DataFrame, radius: int) -> DataFrame:
+    """The rows ``(root, i, j, late, set)`` of blocks of ``(…, fp, n)`` that have a set of the other
+    kind within the radius and of a size that can be similar: only their shingles move."""
+    blocks = placed.repartition("root", "i", "j").groupBy("root", "i", "j")
+    blocks = blocks.agg(F.collect_list(F.struct("late", "set", "fp", "n")).alias("m"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[list] = [[], [], [], [], []]
+            for root, i, j, row in zip(*(batch.column(k) for k in range(4)), strict=True):
+                late, names, fps, n = (row.values.field(k).to_pylist() for k in ("late", "set", "fp", "n"))
+                late, n = np.array(late, bool), np.array(n, np.int64)
+                if late.all() or not late.any():
+                    continue
+                words, names_ = _words(fps), np.array(names, object)
+                a, b = np.flatnonzero(~late), np.flatnonzero(late)
+                far = np.stack([np.bitwise_count(words[b] ^ words[x]).sum(axis=1, dtype=np.int64) for x in a])
+                small, large = np.minimum(n[a][:, None], n[b]), np.maximum(n[a][:, None], n[b])
+                near = (far <= radius) & (small * SIMILAR[1] >= large * SIMILAR[0]) & (names_[a][:, None] != names_[b])
+                for k in [*a[near.any(axis=1)], *b[near.any(axis=0)]]:
+                    for column, value in zip(out, (root.as_py(), i.as_py(), j.as_py(), bool(late[k]), names[k]), strict=True):
+                        column.append(value)
+            kinds = [pa.binary(), pa.string(), pa.string(), pa.bool_(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], ["root", "i", "j", "late", "set"])
+
+    return blocks.select("root", "i", "j", "m").mapInArrow(run, "root binary, i string, j string, late boolean, set binary")
+
+
 def _placed(members: DataFrame, rest: DataFrame) -> DataFrame:
     """Blocks in which the sets of ``rest(root, set, n)`` meet all of ``members(root, set, n)``.
 
@@ -402,41 +453,39 @@ def similar(docs: DataFrame, nodes: DataFrame, size: int, radius: int) -> DataFr
 
     Sets that share one of their least hashes and whose fingerprints are within the radius
     only form loose groups. A group of one piece is compared at once. Of a larger one, all sets
-    meet the least set that is linked to none so far, a few times over: each time a set moves
-    once, and most near copies are connected then. What lies outside the largest part of its
+    meet the least set that is linked to none so far, a few times over: no set moves, and most
+    near copies are connected then. What lies outside the largest part of its
     group meets the whole group, piece by piece.
     """
     keys = nodes.select("nid", F.explode("least").alias("key"))
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1").select("key")
     keyed = keys.join(shared, "key").join(nodes.select("nid", "fp"), "nid").select(F.lit(0).alias("shard"), "key", "fp").distinct()
     loose = connected_components(_linked(materialise(keyed, "simhash-shards"), radius), "simhash-loose")
-    named = nodes.where("n > 0").join(loose, nodes.fp == loose.node, "left").select("set", "first", "n", F.coalesce("root", "fp").alias("root"))
+    named = nodes.where("n > 0").join(loose, nodes.fp == loose.node, "left").select("set", "first", "fp", "n", F.coalesce("root", "fp").alias("root"))
     named = materialise(named, "simhash-groups")
     groups = named.groupBy("root").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("hashes")).where("sets > 1")
     large = (F.col("sets") > PIECE_SETS) | (F.col("hashes") > PIECE_HASHES)
     members = materialise(named.join(groups.select("root", large.alias("large")), "root"), "simhash-members")
-    wanted = members.select(F.col("first").alias("_first")).distinct()
+    wanted = materialise(members.select(F.col("first").alias("_first")).distinct(), "simhash-wanted")
+    if wanted.count() * 16 <= BROADCAST_BYTES:
+        wanted = F.broadcast(wanted)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, F.expr("doc_id <=> _first"), "left_semi")
-    sets = materialise(_shingles(texts, size).join(members, "set", "left_semi").dropDuplicates(["set"]), "simhash-sets")
-    whole = members.where("not large").select("root", F.lit("").alias("i"), F.lit("").alias("j"), F.lit(False).alias("late"), "set")
-    links = materialise(_compared(whole, sets), "simhash-similar")
-    members = materialise(members.where("large").select("root", "set", "n"), "simhash-large")
+    sets = _shingles(texts, size).dropDuplicates(["set"]).join(members.drop("first", "fp"), "set")
+    sets = materialise(sets.select("root", "large", "n", "set", "shingles"), "simhash-sets")
+    whole = sets.where("not large").select("root", F.lit("").alias("i"), F.lit("").alias("j"), F.lit(False).alias("late"), "set", "shingles")
+    links = materialise(_compared(whole), "simhash-similar")
+    sets = sets.where("large").drop("large")
+    members = materialise(members.where("large").select("root", "set", "fp", "n"), "simhash-large")
     if members.isEmpty():
         return links
     alone = members
     for _ in range(ROUNDS):
-        pivots = alone.groupBy("root").agg(F.min(F.struct("set", "n")).alias("pivot")).select("root", "pivot.*")
-        pivots = materialise(pivots, "simhash-pivots")
-        near = f"n * {SIMILAR[1]} >= pivot_n * {SIMILAR[0]} and pivot_n * {SIMILAR[1]} >= n * {SIMILAR[0]} and set != pivot"
-        met = members.join(pivots.select("root", F.col("set").alias("pivot"), F.col("n").alias("pivot_n")), "root").where(near).drop("pivot", "pivot_n")
-        many = met.groupBy("root").agg(F.count(F.lit(1)).alias("sets"), F.sum("n").alias("hashes"))
-        pieces = F.greatest(F.ceil(F.col("sets") / PIECE_SETS), F.ceil(F.col("hashes") / PIECE_HASHES)).cast("int")
-        many = many.select("root", pieces.alias("pieces"))
-        late = met.join(many, "root").select("root", F.pmod(F.xxhash64("set"), F.col("pieces")).cast("string").alias("i"), F.lit("").alias("j"), F.lit(True).alias("late"), "set")
-        early = pivots.join(many, "root").select("root", F.explode(F.transform(F.sequence(F.lit(0), F.col("pieces") - 1), lambda x: x.cast("string"))).alias("i"), F.lit("").alias("j"), F.lit(False).alias("late"), "set")
-        found = materialise(_compared(early.union(late), sets), "simhash-stars")
+        chosen = alone.groupBy("root").agg(F.min("set").alias("pivot"))
+        pivots = sets.join(chosen, (sets.set == chosen.pivot) & (sets.root == chosen.root), "left_semi")
+        pivots = materialise(pivots.select("root", F.col("set").alias("pivot"), F.col("n").alias("pivot_n"), F.col("shingles").alias("pivot_shingles")), "simhash-pivots")
+        found = materialise(_met(sets, pivots), "simhash-stars")
         links = links.union(found)
-        linked_ = found.select(F.explode(F.array("a", "b")).alias("set")).union(pivots.select("set")).distinct()
+        linked_ = found.select(F.explode(F.array("a", "b")).alias("set")).union(pivots.select("pivot")).distinct()
         alone = materialise(alone.join(linked_, "set", "left_anti"), "simhash-alone")
         if alone.isEmpty():
             break
@@ -448,7 +497,9 @@ def similar(docs: DataFrame, nodes: DataFrame, size: int, radius: int) -> DataFr
     if rest.isEmpty():
         return links
     open_ = members.join(rest.select("root").distinct(), "root", "left_semi")
-    return links.union(materialise(_compared(_placed(open_, rest), sets), "simhash-late"))
+    near = _near(_placed(open_, rest).join(members.select("set", "fp", "n"), "set"), radius)
+    blocks = materialise(near, "simhash-near").join(sets.select("set", "shingles"), "set")
+    return links.union(materialise(_compared(blocks.select("root", "i", "j", "late", "set", "shingles")), "simhash-late"))
 
 
 def keep_one_of_each(docs: DataFrame, size: int = 5, words: int = 6, radius: int = 118) -> DataFrame:

@@ -42,7 +42,7 @@ FIRST_BLOCKS = 4
 HALF_VOTE = 0.35
 #: Votes that the base rate has beside the neighbours.
 PULL = 0.2
-SLICE = 1 << 19
+SLICE = 1 << 17
 #: Letters of the shortest and the longest beginning of a word that is a term.
 SHORTEST, LONGEST = 3, 10
 #: Letters of the windows that read what lies behind the longest beginning.
@@ -250,7 +250,7 @@ def _chosen_terms(sample: DataFrame) -> Terms:
         return pa.array([np.unique(shingle_hashes(t.as_py(), 5))[:LEAST].view(np.int64) for t in texts], pa.list_(pa.int64()))
 
     text_hash = F.xxhash64("text").alias("h")
-    rows = sample.select("y", text_hash, "text").dropDuplicates(["y", "h"]).orderBy("h", "y").limit(2 * EXAMPLES).select("y", "h", least("text").alias("least"))
+    rows = sample.select("y", text_hash, least("text").alias("least")).dropDuplicates(["y", "h"]).orderBy("h", "y").limit(2 * EXAMPLES)
     kept = _unlike([(r.y, r.h, r.least) for r in rows.collect()])
     kept = sample.sparkSession.createDataFrame(kept, "y int, h long")  # at most twice EXAMPLES rows
     sample = sample.select("y", "text", text_hash).dropDuplicates(["y", "h"]).join(F.broadcast(kept), ["y", "h"])
