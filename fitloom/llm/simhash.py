@@ -38,7 +38,7 @@ PIECE_SETS, PIECE_HASHES = 256, 1 << 19
 #: Ids of texts, or shingles of sets, that are broadcast, after a count of their bytes.
 BROADCAST_BYTES = 16 << 20
 #: Rounds in which a group of several pieces meets a set of its own before what is left meets all.
-ROUNDS = 3
+ROUNDS = 1
 
 _BITS = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.int64)
 
@@ -529,6 +529,8 @@ def keep_one_of_each(docs: DataFrame, size: int = 5, words: int = 6, radius: int
     least = rows.where("component_id = doc_id").groupBy("doc_id", "root").agg(F.min(F.struct("text_hash", "n")).alias("stays"))
     stay = materialise(least.select("doc_id", "stays.*"), "simhash-stay")
     gone = materialise(rows.join(stay, ["doc_id", "text_hash"], "left_anti").select("doc_id", "text_hash"), "simhash-gone")
+    if gone.count() * 32 <= BROADCAST_BYTES:
+        gone = F.broadcast(gone)
     named = docs.select(F.struct(*docs.columns).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"))
     rest = named.join(gone, ["doc_id", "text_hash"], "left_anti")
     twice = materialise(stay.where("n > 1").select("doc_id", "text_hash"), "simhash-twice")
