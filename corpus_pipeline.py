@@ -2,6 +2,11 @@
 
 Toxic documents go, one document of each group of near copies stays, documents with
 benchmark items go, secrets are masked, and what is left is encoded.
+
+Every stage keeps null and empty texts as its operator does: they score like texts without a
+chosen term, are copies of each other, contain no item and no secret, and have no ids. Rows
+that repeat meet the same decision, near copies apart, of which one row stays. Columns
+beside ``doc_id`` and ``text`` stay, whatever they are called; an empty table stays empty.
 """
 
 from __future__ import annotations
