@@ -6,6 +6,7 @@ from floating-point sums are rounded so that engines can be compared.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -48,7 +49,7 @@ from ..sources import (
 )
 from . import workloads
 from .inputs import PathsInput, SchemaInput, TableInput, read_files
-from .learner import FeaturePlan, FittedLearner, tap
+from .learner import FeaturePlan, FittedLearner, column_function, tap
 from .models import PriorClassifier, forest_classifier
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,6 +149,22 @@ def row_function(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").select("doc_id", text_length("text").cast("bigint").alias("n"))
 
 
+def _without_marks(text: str | None) -> str | None:
+    if text is None:
+        return None
+    bare = (c for c in unicodedata.normalize("NFD", text) if not unicodedata.category(c).startswith("M"))
+    return unicodedata.normalize("NFC", "".join(bare))
+
+
+@query
+def row_function_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """A function of each whole text that no built-in expresses, in Arrow batches."""
+    plain = column_function(lambda texts: texts.map(_without_marks), "string")
+    documents = table(spark, folder, "documents").withColumn("text", F.concat("text", F.lit(" d\u00e9j\u00e0 na\u00efve \u00c5ngstr\u00f6m e\u0301")))
+    bare = documents.select("doc_id", plain("text").alias("text"))
+    return bare.select("doc_id", F.md5("text").alias("digest"), F.char_length("text").cast("bigint").alias("n_chars"))
+
+
 @query
 def strip_text_line_ends(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
@@ -779,6 +796,15 @@ def csv_text_with_line_ends(spark: SparkSession, folder: str) -> DataFrame:
     return back.select("doc_id", F.md5("text").alias("digest"))
 
 
+@query
+def csv_text_split(spark: SparkSession, folder: str) -> DataFrame:
+    """The same, with every file cut into records by several tasks; one type is inferred."""
+    path = scratch_path(spark, "documents")
+    write_csv(table(spark, folder, "documents").select("doc_id", "text", "n_chars"), path)
+    back = read_csv(spark, path, {"doc_id": T.LongType(), "text": T.StringType()}, multi_line="split")
+    return back.select("doc_id", F.md5("text").alias("digest"), "n_chars")
+
+
 @query
 def submission_csv(spark: SparkSession, folder: str) -> DataFrame:
     """The key and one named output, written and read back."""

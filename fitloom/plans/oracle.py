@@ -99,6 +99,8 @@ ORACLE: dict[str, str] = {
     "string_suffix_length": """SELECT c_custkey, c_name || ' Test' AS name,
             length(c_name || ' Test')::INTEGER AS n_chars FROM customer""",
     "row_function": "SELECT doc_id, length(text)::BIGINT AS n FROM documents",
+    "row_function_batches": """WITH p AS (SELECT doc_id, strip_accents(text || ' d\u00e9j\u00e0 na\u00efve \u00c5ngstr\u00f6m e\u0301') AS t FROM documents)
+        SELECT doc_id, md5(t) AS digest, length(t)::BIGINT AS n_chars FROM p""",
     "strip_text_line_ends": r"""WITH p AS (SELECT doc_id, regexp_replace(
             replace(text, chr(10), ' ' || chr(9) || chr(10)) || '  ' || chr(13), '(?m)[ \t\r\f\v]+$', '', 'g') AS t
         FROM documents) SELECT doc_id, md5(t) AS digest, length(t)::BIGINT AS n_chars FROM p""",
@@ -244,6 +246,7 @@ ORACLE: dict[str, str] = {
     "csv_rebind": f"""SELECT l_returnflag, count(*) AS n, round(sum(l_quantity), 2) AS quantity,
             ({_test('l_orderkey', cut='80000000')})::INTEGER AS binding FROM lineitem GROUP BY l_returnflag, binding""",
     "csv_text_with_line_ends": "SELECT doc_id, md5(text) AS digest FROM documents",
+    "csv_text_split": "SELECT doc_id, md5(text) AS digest, n_chars FROM documents",
     "submission_csv": f"SELECT doc_id, quality_guess AS quality FROM {SCORES}",
     "preview_sample": "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 100",
     "preview_file_sample": """SELECT * FROM (SELECT c_custkey AS id, c_name AS name FROM customer

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .csv_records import split_records
+
 # The field texts that count as missing.
 MISSING_MARKERS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
@@ -81,7 +83,22 @@ def _files_by_header(spark: SparkSession, paths: list[str]) -> dict[tuple[str, .
     return dict(sorted(found.items(), key=lambda group: group[1][0]))  # columns in the order of the first file by name
 
 
-def _scan_text(spark: SparkSession, paths: list[str], header: list[str], multi_line: bool) -> DataFrame:
+def _scan_split(spark: SparkSession, paths: list[str], header: list[str]) -> DataFrame:
+    """All fields as text, of files that many tasks cut into records; headers are checked."""
+    ddl = ", ".join(f"`{name.replace('`', '``')}` STRING" for name in header)
+    options = {"mode": "FAILFAST", "escape": '"', "multiLine": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    rows = split_records(spark, paths).select("path", "first", F.from_csv("record", ddl, options).alias("row"))
+    names = F.array(*[F.col("row").getField(name) for name in header])
+    other = F.raise_error(F.concat(F.lit("another header in "), "path")).cast("boolean")
+    data = F.when(~F.col("first"), True).when(names == F.array(*map(F.lit, header)), False).otherwise(other)
+    return rows.where(data).select("row.*")
+
+
+def _scan_text(spark: SparkSession, paths: list[str], header: list[str], multi_line: bool | str) -> DataFrame:
+    if multi_line not in (True, False, "split"):
+        raise ValueError(f"multi_line is True, False or 'split', not {multi_line!r}")
+    if multi_line == "split":
+        return _scan_split(spark, paths, header)
     strings = T.StructType([T.StructField(name, T.StringType()) for name in header])
     return spark.read.csv(
         paths,
@@ -89,7 +106,7 @@ def _scan_text(spark: SparkSession, paths: list[str], header: list[str], multi_l
         header=True,
         enforceSchema=False,
         mode="FAILFAST",
-        multiLine=multi_line,
+        multiLine=bool(multi_line),
         escape='"',
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
@@ -119,18 +136,20 @@ def _inference_counts(name: str) -> list[Column]:
     ]
 
 
-def infer_schema(spark: SparkSession, paths: str | Sequence[str], multi_line: bool = False) -> T.StructType:
+def infer_schema(spark: SparkSession, paths: str | Sequence[str], multi_line: bool | str = False) -> T.StructType:
     """Infer long, double, boolean or string per column in one pass over all rows.
 
     All counters of all columns sit in a single aggregate, so the result of the
     pass is one row whatever the size of the files.
     """
     files = _as_list(paths)
-    header = _header(spark, files[0])
-    counters = [c for name in header for c in _inference_counts(name)]
-    row = _scan_text(spark, files, header, multi_line).agg(*counters).first()
+    return _inferred(_scan_text(spark, files, _header(spark, files[0]), multi_line))
+
+
+def _inferred(scan: DataFrame) -> T.StructType:
+    row = scan.agg(*[c for name in scan.columns for c in _inference_counts(name)]).first()
     fields = []
-    for name in header:
+    for name in scan.columns:
         n, as_long, as_double, as_bool = (row[f"{name}\0{kind}"] for kind in ("n", "long", "double", "bool"))
         if n == 0 or as_double == n:
             dtype: T.DataType = T.LongType() if 0 < n == as_long else T.DoubleType()
@@ -145,7 +164,7 @@ def read_csv(
     paths: str | Sequence[str],
     schema: T.StructType | Mapping[str, T.DataType] | None = None,
     mixed_headers: bool = False,
-    multi_line: bool = False,
+    multi_line: bool | str = False,
 ) -> DataFrame:
     """Read one or many CSV files as one table, binding columns by header name.
 
@@ -154,6 +173,11 @@ def read_csv(
     field fails the read. With one header for all files there is a single scan
     that verifies each file's header; ``mixed_headers`` groups the files by header
     first, so the plan has one scan per distinct header, not per file.
+
+    ``multi_line=True`` allows line ends inside quotes, one task a file. ``"split"`` does so
+    with as many tasks a file as it has blocks: it reads the files twice, writes their records
+    to the shared folder, and needs every quote to belong to a quoted field. It keeps ``\\r\\n``
+    inside fields, which one task a file turns into ``\\n`` where the file's lines end so.
     """
     files = _as_list(paths)
     if not files:
@@ -170,9 +194,9 @@ def read_csv(
     parts = []
     for header, group in by_header.items():
         types = dict(declared)
-        if any(name not in types for name in header):
-            types = {f.name: f.dataType for f in infer_schema(spark, group, multi_line)} | types
         scan = _scan_text(spark, group, list(header), multi_line)
+        if any(name not in types for name in header):
+            types = {f.name: f.dataType for f in _inferred(scan)} | types
         parts.append(scan.select(*[_field(name, types[name]) for name in header]))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
