@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from compare import difference
 from fitloom.llm import topk
@@ -50,6 +51,38 @@ def test_large_components_stay_exact(spark):
     assert found(topk.search(df, df.where("vec_id < 5"), 3)) == plain(vectors, vectors[:5], 3)
 
 
+@pytest.mark.parametrize("spread", [1.0, 0.2])
+def test_later_lists_are_made_for_fewer_pairs(spread):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(0, 300, (20, 64))
+    rows = np.floor(centres[rng.integers(0, 20, 3000)] + rng.normal(0, 300 * spread, (3000, 64))).astype(np.int64)
+    lists = topk.Lists(np.arange(40), rows[:40])
+    whole = rows[:40] @ rows.T
+    floor = np.sort(whole, axis=1)[:, -10]
+    turned = rows[:, lists.order]
+    which, row, score, made = lists.collect(slice(0, 40), turned, lists.norms(turned), floor)
+    assert sorted(zip(which.tolist(), row.tolist(), score.tolist(), strict=True)) == [
+        (i, j, int(whole[i, j])) for i, j in zip(*np.nonzero(whole >= floor[:, None]), strict=True)
+    ]
+    assert made[0] == 40 * 3000 and made[0] >= made[1] >= made[2] > made[3]
+    assert sum(made) < 0.9 * 4 * made[0]
+    # the first phase makes one list, and what it reaches is no more than the cutoff it stands for
+    for number in range(topk.LISTS):
+        which, row, score = lists.gather(slice(0, 40), turned, number, 10)
+        assert (score == whole[which, row]).all() and len(set(zip(which.tolist(), row.tolist(), strict=True))) == len(which)
+
+
+def test_floors_without_a_cutoff_or_with_a_negative_one():
+    rng = np.random.default_rng(5)
+    rows = -np.abs(rng.integers(1, 50, (300, 9)))
+    queries = np.abs(rng.integers(1, 50, (6, 9)))
+    lists, whole = topk.Lists(np.arange(6), queries), queries @ rows.T
+    turned = rows[:, lists.order]
+    for floor in (np.full(6, topk.NONE), np.sort(whole, axis=1)[:, -4], np.full(6, 1)):
+        which, row, score, _ = lists.collect(slice(0, 6), turned, lists.norms(turned), floor)
+        assert len(which) == (whole >= floor[:, None]).sum() and (score == whole[which, row]).all()
+
+
 def test_odd_rows(spark):
     rows = [(0, [1.0, 0.5]), (100, [1.0, None]), (200, None), (300, [float("nan"), 1.0]), (400, [float("inf"), 1.0]), (1, [0.5, 0.5]), (2, []), (None, [1.0, 1.0]), (3, [1.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
