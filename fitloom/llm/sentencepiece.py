@@ -123,6 +123,7 @@ class Model:
         self._kept: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
         self._pairs: dict[tuple[str, str], bool] = {}
+        self.kept = KEPT_STRETCHES
 
     # pieces and pairs
 
@@ -177,7 +178,7 @@ class Model:
             return self._onward(stretch, 0, [""], len(stretch))
         head = self._heads.get(stretch[:HEAD])
         if head is None:
-            if len(self._heads) >= KEPT_HEADS:
+            if len(self._heads) >= min(KEPT_HEADS, self.kept):
                 self._heads.clear()
             head = [p and self._same.get(p, p) for p in self._onward(stretch, 0, [""], HEAD)]
             self._heads[stretch[:HEAD]] = head
@@ -225,7 +226,7 @@ class Model:
                 else:
                     found = self.numbers(self.trace(self._last(stretch), len(stretch)))
             if len(stretch) < 64:
-                if len(self._kept) >= KEPT_STRETCHES:
+                if len(self._kept) >= self.kept:
                     self._older, self._kept = self._kept, {}
                 self._kept[stretch] = found
         return found
@@ -343,15 +344,21 @@ def load(path: str) -> Model:
     return Model(path)
 
 
+def _keeping(path: str, kept: int) -> Model:
+    model = load(path)
+    model.kept = kept
+    return model
+
+
 def _lists(values: list[np.ndarray]) -> pa.ListArray:
     ends = np.cumsum([0, *map(len, values)])
     flat = np.concatenate(values) if values else np.empty(0, np.int32)
     return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat.astype(np.int32)))
 
 
-def _whole(path: str):
+def _whole(path: str, kept: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = load(path)
+        model = _keeping(path, kept)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
@@ -429,10 +436,10 @@ def _scan(matrices: pa.Array) -> pa.Array:
     return pa.array(rows, pa.list_(pa.struct([("chunk", pa.int32()), ("entry", pa.int32()), ("exit", pa.int32())])))
 
 
-def _traces(path: str):
+def _traces(path: str, kept: int):
     @F.arrow_udf("array<int>")
     def told(parts: pa.Array, heads: pa.Array, firsts: pa.Array, sizes: pa.Array, entries: pa.Array, exits: pa.Array) -> pa.Array:
-        model, rows = load(path), []
+        model, rows = _keeping(path, kept), []
         for part, head, first, size, entry, exit_ in zip(*(x.to_pylist() for x in (parts, heads, firsts, sizes, entries, exits)), strict=True):
             text, end = _part(model, part, head), first + size
             ids = model.traced(text, first, end, model.states(text, first)[entry], model.states(text, end)[exit_])
@@ -442,18 +449,19 @@ def _traces(path: str):
     return told
 
 
-def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", kept: int = KEPT_STRETCHES) -> DataFrame:
     """``(doc_id, ids, n_tokens, exact)`` for every row of ``docs``.
 
     ``ids`` are those of the SentencePiece library for the model at ``path``, a file that all
     executors have; only a word-start mark in the text itself is spelled in bytes, so that
     every text decodes to itself again, which ``exact`` states. Null texts are empty, empty
     ones have no ids. Texts above ``CHUNK`` characters are encoded chunk by chunk: what one
-    task holds of them are matrices, until the ids of a text meet in its row.
+    task holds of them are matrices, until the ids of a text meet in its row. A worker keeps up to
+    twice ``kept`` encoded stretches, and lives on: fewer take time, not results.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     giant = F.coalesce(F.char_length("text") > CHUNK, F.lit(False))
-    whole = rows.where(~giant).mapInArrow(_whole(path), "doc_id long, ids array<int>, exact boolean")
+    whole = rows.where(~giant).mapInArrow(_whole(path, kept), "doc_id long, ids array<int>, exact boolean")
 
     large = rows.where(giant).select(F.monotonically_increasing_id().alias("row"), "doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("digest"), "text")
     chunks = materialise(large.mapInArrow(_split(path), _CHUNK), "sentencepiece-chunks").repartition("row", "chunk")
@@ -462,7 +470,7 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     ordered = matrices.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("chunk", "m"))).alias("m"))
     borders = ordered.select("row", F.explode(scan("m")).alias("b")).select("row", "b.*")
     traced = chunks.join(borders, ["row", "chunk"]).select(
-        "row", "doc_id", "digest", "chunk", _traces(path)("part", "head", "first", "size", "entry", "exit").alias("ids")
+        "row", "doc_id", "digest", "chunk", _traces(path, kept)("part", "head", "first", "size", "entry", "exit").alias("ids")
     )
     whole_again = traced.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"), F.first("digest").alias("digest"), F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("p")
