@@ -21,6 +21,9 @@ from fitloom.llm.language import held_out
 from fitloom.llm.queries import SENTENCEPIECE_MODEL
 from fitloom.session import materialise
 
+#: Encoded stretches that a worker keeps: it serves the other stages too, beside what it keeps.
+KEPT = 30_000
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -47,7 +50,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document."""
-    return sentencepiece.encoded(docs, SENTENCEPIECE_MODEL)
+    return sentencepiece.encoded(docs, SENTENCEPIECE_MODEL, kept=KEPT)
 
 
 STAGES: list[tuple[str, Stage]] = [
