@@ -37,8 +37,8 @@ REACH = 24
 WORDLIKE, BETWEEN = 4.2, 0.4
 #: Frequent words of the corpus that are ranked: what the tasks hold.
 CORPUS_WORDS = 20_000
-#: Values up to this length are scored to the end, longer ones until they are known to be hard.
-SCORED = 256
+#: Values up to this length have their costs kept by a task, which changes no cost.
+KEPT = 256
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -158,10 +158,27 @@ def guess_cost(value: str, corpus: Mapping[str, int] | None = None, enough: floa
     cost ``enough`` are not carried on: a value that can't be had for less costs ``enough``,
     without a segmentation. With it, the time is linear in the value's length.
     """
-    n, corpus = len(value), corpus or {}
-    low = value.lower()
+    best, n = _reached(value, corpus or {}, enough, True), len(value)
+    if n not in best:
+        return enough, ()
+    parts, at = [], n
+    while at:
+        _, _, start, kind = best[at]
+        if kind == "brute" and parts and parts[-1][0] == "brute":
+            parts[-1] = (kind, value[start:at] + parts[-1][1])
+        else:
+            parts.append((kind, value[start:at]))
+        at = start
+    return best[n][0], tuple(reversed(parts))
+
+
+def _reached(value: str, corpus: Mapping[str, int], enough: float, whole: bool) -> dict[int, tuple[float, int, int, str]]:
+    """Positions that are reached, from the left: cost, segments, where the last began, its kind.
+
+    Unless the ``whole`` way is asked for, positions are forgotten as the search passes them.
+    """
+    n, low = len(value), value.lower()
     plain = low.translate(_LEET)
-    # positions that are reached, from the left: cost, segments, where the last began, its kind
     best: dict[int, tuple[float, int, int, str]] = {0: (0.0, 0, 0, "")}
     open_, none = [0], (inf, 0, 0, "")
 
@@ -176,22 +193,17 @@ def guess_cost(value: str, corpus: Mapping[str, int] | None = None, enough: floa
         i = heappop(open_)
         if i == n:
             break
-        cost, count, _, last = best[i]
+        cost, count, _, last = best[i] if whole else best.pop(i)
         chain = last == "brute"
         reach(i + 1, cost + _brute(value[i]) + (0.0 if chain else 0.3), count + (not chain), i, "brute")
         for end, more, kind in _pieces(value, i, low, plain, corpus):
             reach(end, cost + more + 0.3, count + 1, i, kind)
-    if n not in best:
-        return enough, ()
-    parts, at = [], n
-    while at:
-        _, _, start, kind = best[at]
-        if kind == "brute" and parts and parts[-1][0] == "brute":
-            parts[-1] = (kind, value[start:at] + parts[-1][1])
-        else:
-            parts.append((kind, value[start:at]))
-        at = start
-    return best[n][0], tuple(reversed(parts))
+    return best
+
+
+def least_cost(value: str, corpus: Mapping[str, int], enough: float = inf) -> float:
+    """The cost of :func:`guess_cost` without its segmentation, in memory for few positions."""
+    return _reached(value, corpus, enough, False).get(len(value), (enough,))[0]
 
 
 class Guesser:
@@ -199,11 +211,12 @@ class Guesser:
 
     def __init__(self, corpus: Mapping[str, int] | None = None) -> None:
         self.corpus = corpus or {}
-        self._short = lru_cache(2048)(lambda value: guess_cost(value, self.corpus)[0])
+        self._kept = lru_cache(4096)(lambda value, enough: least_cost(value, self.corpus, enough))
+
+    def cost(self, value: str, enough: float = inf) -> float:
+        """The least cost, or ``enough`` if it is that or more, of a value of any length."""
+        return self._kept(value, enough) if len(value) <= KEPT else least_cost(value, self.corpus, enough)
 
-    def cost(self, value: str) -> float:
-        """The least cost; of a value over ``SCORED`` characters ``MIN_COST`` if it is that or more."""
-        return self._short(value) if len(value) <= SCORED else guess_cost(value, self.corpus, MIN_COST)[0]
 
 
 _PLAIN = Guesser()
@@ -211,7 +224,10 @@ _PLAIN = Guesser()
 
 @dataclass(frozen=True)
 class Span:
-    """Code points ``start`` to ``end`` of a text; the secret itself starts at ``value``."""
+    """Code points ``start`` to ``end`` of a text; the secret itself starts at ``value``.
+
+    ``cost`` is at most ``MIN_COST``: a span needs no more.
+    """
 
     kind: str
     start: int
@@ -246,7 +262,7 @@ def find(text: str | None, guesser: Guesser = _PLAIN) -> list[Span]:
                 continue
             if group == 4 and _PROSE.fullmatch(text, start, end):
                 continue
-            cost = guesser.cost(text[start:end])
+            cost = guesser.cost(text[start:end], MIN_COST)
             # a value of which a fixed format has seen the beginning is a secret to its end
             if cost >= MIN_COST or any(s.kind == "assign" and s.value <= start < s.end for s in base):
                 spans.append(Span("guess", start, end, start, cost))
@@ -316,20 +332,21 @@ _FOUND = "struct<n_assign:long,n_access:long,n_hex:long,base_sha256:string,spans
 
 def found(text: Column, corpus: Mapping[str, int] | None = None) -> Column:
     """Struct of counts by kind, the digest of the base spans, all spans, the largest guess cost
-    (of values over ``SCORED`` characters, only that they reach ``MIN_COST``)."""
+    of the method's own spans, whose values are scored to their ends, however long they are."""
     words = dict(corpus or {})
 
     @F.arrow_udf(_FOUND)
     def told(texts: pa.Array) -> pa.Array:
         rows, guesser = [], Guesser(words)
         for t in texts:
-            spans = find(t.as_py(), guesser)
+            text = t.as_py() or ""
+            spans = find(text, guesser)
             base = ",".join(str(s) for s in spans if s.kind != "guess")
             n = {k: sum(s.kind == k for s in spans) for k in KINDS}
             rows.append({
                 "n_assign": n["assign"], "n_access": n["access"], "n_hex": n["hex"],
                 "base_sha256": hashlib.sha256(base.encode()).hexdigest(), "spans": ",".join(map(str, spans)),
-                "n_guess": n["guess"], "max_cost": max((s.cost for s in spans), default=0.0),
+                "n_guess": n["guess"], "max_cost": max((guesser.cost(text[s.start : s.end]) for s in spans if s.kind == "guess"), default=0.0),
             })
         kinds = {"n_assign": pa.int64(), "n_access": pa.int64(), "n_hex": pa.int64(), "base_sha256": pa.string(), "spans": pa.string(), "n_guess": pa.int64(), "max_cost": pa.float64()}
         return pa.array(rows, pa.struct(list(kinds.items())))

@@ -206,3 +206,18 @@ def test_ranks_by_slices_equal_a_plain_sort(spark):
     plain = sorted((w for w in counts if counts[w] > 1), key=lambda w: (-counts[w], w))
     for n in (1, 37, 150, 10_000):
         assert secrets.corpus_words(docs, n) == {w: i + 1 for i, w in enumerate(plain[:n])}
+
+
+def test_costs_know_no_length(spark):
+    """A value just above and one just below the length that tasks keep cost alike, by whole value."""
+    rng = random.Random(11)
+    values = ["".join(rng.choices("abcXYZ#9", k=n)) for n in (secrets.KEPT - 1, secrets.KEPT, secrets.KEPT + 1, 4 * secrets.KEPT)]
+    docs = spark.createDataFrame([(i, f"pwd: {v}") for i, v in enumerate(values)], "doc_id long, text string")
+    got = {r.doc_id: r.max_cost for r in secrets.scan(docs, corpus={}).collect()}
+    assert [got[i] for i in range(4)] == [secrets.guess_cost(v)[0] for v in values]
+    assert min(got.values()) > 300 and secrets.find(f"pwd: {values[0]}")[0].cost == secrets.find(f"pwd: {values[3]}")[0].cost == secrets.MIN_COST
+
+
+@pytest.mark.parametrize("value", ["Zk9" * 3_000, "".join(random.Random(2).choices("abcXYZ019+/", k=20_000)), "password" * 2_000])
+def test_least_cost_is_that_of_the_segmentation(value):
+    assert secrets.least_cost(value, {}) == secrets.guess_cost(value)[0]
