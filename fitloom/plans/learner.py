@@ -43,6 +43,9 @@ TARGET_TRANSFORMS: dict[str, tuple[Callable[[Column], Column], str]] = {
 }
 SPLIT_SEED = 42
 MODELS_AT_ONCE = 4
+# What one piece of a training matrix may take in a task's memory, and what a plain row takes.
+PIECE_BYTES = 128 << 20
+PLAIN_ROW_BYTES = 67
 
 
 def _names(value: str | Sequence[str]) -> tuple[str, ...]:
@@ -205,7 +208,7 @@ class Learner:
         preparation = Pipeline(stages=[*plan.stages, FeatureVector(exclude=exclude)]).fit(seen)
         keys = [quoted(k) for k in plan.keys]
         matrix = preparation.transform(table).select(*keys, *[quoted(c) for c in labels.values()], "features")
-        partitions = plan.partitions or _training_partitions(table)
+        partitions = plan.partitions or _training_partitions(table, _row_bytes(plan, matrix))
         row_hash = F.xxhash64(*keys)
         matrix = matrix.repartition(partitions, row_hash).sortWithinPartitions(*keys, row_hash)
         shared_dir(table.sparkSession)
@@ -243,15 +246,23 @@ def _with_target(plan: FeaturePlan, features: DataFrame | None, target: DataFram
     return concat_columns(features, target.select(*names), plan.keys, "exact")
 
 
-def _training_partitions(table: DataFrame) -> int:
+def _row_bytes(plan: FeaturePlan, matrix: DataFrame) -> int:
+    """What tree training keeps of a row: its features, their bins, and for forests how often
+    each tree draws it."""
+    attributes = matrix.schema["features"].metadata.get("ml_attr", {})
+    trees = [m.getOrDefault("numTrees") if m.hasParam("numTrees") else 0 for m in plan.models.values()]
+    return PLAIN_ROW_BYTES + 12 * attributes.get("num_attrs", 0) + 4 * max(trees)
+
+
+def _training_partitions(table: DataFrame, row_bytes: int = PLAIN_ROW_BYTES) -> int:
     """Small matrices in few partitions, large ones in pieces that fit a task's memory.
 
-    The rows alone decide, as forests draw their bags by partition: the same table gives
-    the same model on any cluster. This counts the rows; a plan with ``partitions`` set
-    saves that pass.
+    The rows and their width alone decide, as forests draw their bags by partition: the same
+    table gives the same model on any cluster. This counts the rows; a plan with ``partitions``
+    set saves that pass.
     """
     rows = table.count()
-    return max(1, min(8, math.ceil(rows / 20_000)), math.ceil(rows / 2_000_000))
+    return max(1, min(8, math.ceil(rows / 20_000)), math.ceil(rows * row_bytes / PIECE_BYTES))
 
 
 def _fit_models(plan: FeaturePlan, labels: dict[str, str], matrix: DataFrame) -> dict[str, Model]:

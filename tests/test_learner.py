@@ -210,3 +210,21 @@ def test_a_category_of_validation_rows_only_is_known(spark):
     df = spark.createDataFrame(rows, "id int, ord_1 string, nom_1 string, target int")
     made = workloads.categorical_target(df, model=forest_classifier(trees=3), fraction=0.5)
     assert made.scored.count() == 30 and made.score.first()[0] is not None
+
+
+def test_wide_rows_and_many_trees_make_more_pieces(spark, monkeypatch):
+    """What a task holds of a row counts, not only the number of rows."""
+    from fitloom.plans import learner
+
+    rows = spark.range(400).select("id", (F.col("id") % 2).alias("y"), *[(F.col("id") * i % 7).alias(f"x{i}") for i in range(8)])
+    seen, fit_models = {}, learner._fit_models
+
+    def watched(plan, labels, matrix):
+        seen[plan.model.getNumTrees()] = (learner._row_bytes(plan, matrix), matrix.rdd.getNumPartitions())
+        return fit_models(plan, labels, matrix)
+
+    monkeypatch.setattr(learner, "_fit_models", watched)
+    monkeypatch.setattr(learner, "PIECE_BYTES", 400 * 200)
+    for trees in (1, 30):
+        FeaturePlan(key="id", target="y", model=forest_classifier(trees=trees, maxDepth=2)).make_learner().fit(raw=rows)
+    assert seen == {1: (67 + 96 + 4, 1), 30: (67 + 96 + 120, 2)}
