@@ -21,6 +21,8 @@ LEAST_PIECES = 8
 HOT_ROWS, HOT_VALUES, TRACKED = 5_000, 1_000, 10_000
 # A joined table up to this size, counted before the join, is broadcast.
 BROADCAST_BYTES = 32 << 20
+# What a row's name takes beside it, and a looked-up value with its code, where rows are named.
+NAME_BYTES, VALUE_BYTES = 64, 48
 
 
 def _names(on: str | Sequence[str]) -> list[str]:
@@ -37,8 +39,8 @@ def _row_hash(df: DataFrame, spread_by: str | Sequence[str] | None) -> Column:
     return F.xxhash64(*[quoted(f.name) for f in df.schema if "map<" not in f.dataType.simpleString()])
 
 
-def counted_bytes(df: DataFrame) -> int | None:
-    """Bytes of the plain values of a table, from one aggregate; None with nested columns."""
+def _extent(df: DataFrame) -> tuple[int, int] | None:
+    """Rows and bytes of the plain values of a table, from one aggregate; None with nested columns."""
     size = F.lit(0)
     for f in df.schema:
         if isinstance(f.dataType, (T.StringType, T.BinaryType)):
@@ -47,7 +49,14 @@ def counted_bytes(df: DataFrame) -> int | None:
             return None
         else:
             size = size + 16
-    return df.agg(F.sum(size.cast("bigint"))).first()[0] or 0
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(size.cast("bigint"))).first()
+    return rows, size or 0
+
+
+def counted_bytes(df: DataFrame) -> int | None:
+    """Bytes of the plain values of a table, from one aggregate; None with nested columns."""
+    extent = _extent(df)
+    return None if extent is None else extent[1]
 
 
 def inner_join(
@@ -99,6 +108,7 @@ def lookup(
     hot: DataFrame | None = None,
     small: bool = False,
     spread_by: str | Sequence[str] | None = None,
+    strict: bool = False,
 ) -> DataFrame:
     """Add ``out``, the dictionary's ``code`` for each value; unmatched rows get NULL.
 
@@ -106,6 +116,7 @@ def lookup(
     was checked, so it is broadcast. For a large one, ``hot`` lists the frequent values
     (a bounded number) by their digest in ``value``: they are answered by a broadcast,
     however long they are, and the rest is joined by key. Rows already answered are spread by a hash, so they crowd no partition.
+    With ``strict`` a value that a large dictionary lacks fails, and ``column`` need not be moved for that.
     """
     text = as_text(df, column)
     entries = dictionary.select(F.col("value").alias("_value"), F.col("code").alias("_code"))
@@ -120,11 +131,44 @@ def lookup(
     else:
         tagged = tagged.withColumns({"_hot_value": F.lit(None).cast("string"), "_hot_code": F.lit(None).cast("double")})
     open_ = F.col("_hot_value").isNull() & F.col("_text").isNotNull()
-    tagged = tagged.withColumns({"_open": open_, "_key": F.when(open_, F.col("_text")).otherwise(F.col("_spread"))})
+    key = F.when(open_, F.col("_text"))
+    if strict:
+        key = key.when(F.col("_hot_value").isNotNull() & F.col("_hot_code").isNull(), unknown_category(column, F.col("_text")))
+    tagged = tagged.withColumns({"_open": open_, "_key": key.otherwise(F.col("_spread"))})
     table = entries.withColumn("_live", F.lit(True))
     found = tagged.join(table, (F.col("_key") == F.col("_value")) & (F.col("_open") == F.col("_live")), "left")
     helpers = ["_text", "_spread", "_hot_value", "_hot_code", "_open", "_key", "_value", "_code", "_live"]
-    return found.withColumn(out, F.coalesce("_hot_code", "_code")).drop(*helpers)
+    code = F.coalesce("_hot_code", "_code")
+    if strict:
+        code = F.when(F.col("_open") & F.col("_code").isNull(), unknown_category(column, F.col("_key"))).otherwise(code)
+    return found.withColumn(out, code).drop(*helpers)
+
+
+def unknown_category(column: str, text: Column) -> Column:
+    """A failure that names the value."""
+    return F.raise_error(F.concat(F.lit(f"column {column}: unknown category: "), text))
+
+
+def ways(df: DataFrame, sizes: Mapping[str, int | None]) -> tuple[list[str], bool]:
+    """How several large dictionaries meet a table: which are broadcast, and whether the others
+    are joined one by one.
+
+    ``sizes`` are the counted bytes of the dictionaries. A table that would itself be broadcast
+    moves for little, and meets all of them by one join; so does one that can't be measured. For
+    any other, dictionaries of that size stay put, and the rest is joined one by one if the
+    whole row, moved once for each, takes less than its name and value, and its name and code.
+    """
+    extent = None if None in sizes.values() else _extent(df)
+    if extent is None or extent[1] <= BROADCAST_BYTES:
+        return [], False
+    rows, size = extent
+    near, total = [], 0
+    for c, held in sorted(sizes.items(), key=lambda item: item[1]):
+        total += held
+        if total <= BROADCAST_BYTES:
+            near.append(c)
+    rest = len(sizes) - len(near)
+    return near, rest * size <= size + rows * NAME_BYTES + rest * rows * (2 * NAME_BYTES + VALUE_BYTES)
 
 
 def _named_values(df: DataFrame, columns: Sequence[str], beside: Sequence[Column] = ()) -> DataFrame:

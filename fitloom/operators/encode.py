@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from ..session import materialise, write_table
 from . import stats
 from .columns import columns_of_type, is_missing, quoted
-from .combine import as_text, digest, hot_entries, lookup, lookup_many
+from .combine import as_text, digest, hot_entries, lookup, lookup_many, unknown_category, ways
 
 # A dictionary up to this size is kept inside the fitted stage and broadcast.
 SMALL_ENTRIES = 20_000
@@ -209,20 +209,30 @@ def _inline(rows: list, code) -> dict:
     return {"values": [r["text"] for r in rows], "codes": [float(code(i, r)) for i, r in enumerate(rows)]}
 
 
-def _large_dictionary(counts: DataFrame, kind: str, rows: int) -> dict:
+def _large_dictionary(counts: DataFrame, kind: str, rows: int, size: int) -> dict:
     """Code the values of one column as a table; only its frequent values are read back.
 
-    Ordinal codes come from a running count, so no task sorts the whole dictionary.
+    Ordinal codes are places in a table written in order, so no task sorts the whole
+    dictionary and each value moves once.
     """
+    text = as_text(counts, "value").alias("value")
     if kind == "ordinal":
-        coded = stats.running_total(counts.withColumn("one", F.lit(1)), ["value"], "one", "rank")
-        coded = coded.withColumn("code", (F.col("rank") - 1).cast("double"))
+        path, before = stats.written_in_order(counts, ["value"], [text, F.col("n")], "dictionary")
+        state = {"table": path, "before": before, "bytes": size}
     else:
-        coded = counts.withColumn("code", F.col("n") / F.lit(float(rows)))
-    path = write_table(coded.select(as_text(counts, "value").alias("value"), "code", "n"), "dictionary")
-    table = counts.sparkSession.read.parquet(path)
+        coded = counts.select(text, (F.col("n") / F.lit(float(rows))).alias("code"), "n")
+        state = {"table": write_table(coded, "dictionary", compression="zstd"), "bytes": size}
+    table = _dictionary(counts.sparkSession, state)
     hot = table.where(F.col("n") > HOT_SHARE * rows).select(digest("value").alias("value"), "code").collect()
-    return {"table": path, "hot": {"values": [r["value"] for r in hot], "codes": [r["code"] for r in hot]}}
+    return state | {"hot": {"values": [r["value"] for r in hot], "codes": [r["code"] for r in hot]}}
+
+
+def _dictionary(spark: SparkSession, state: dict) -> DataFrame:
+    """``(value, code, n)`` of a large dictionary."""
+    if "before" not in state:
+        return spark.read.schema(f"{_ENTRY}, n long").parquet(state["table"])
+    table = spark.read.schema("value string, n long, at long").parquet(state["table"])
+    return table.select("value", stats.place(F.col("at"), state["before"]).cast("double").alias("code"), "n")
 
 
 def _coded_counts(counts: DataFrame, names: Sequence[str], kind: str) -> dict[str, dict]:
@@ -243,7 +253,8 @@ def _coded_counts(counts: DataFrame, names: Sequence[str], kind: str) -> dict[st
     state: dict[str, dict] = {}
     for c in names:
         if c in sizes and c not in small:
-            state[c] = _large_dictionary(counts.where(F.col("column") == c), kind, sizes[c][2])
+            entries, size, covered = sizes[c]
+            state[c] = _large_dictionary(counts.where(F.col("column") == c), kind, covered, size + 16 * entries)
             continue
         ordered = sorted(rows[c], key=lambda r: r["value"])
         total = sizes[c][2] if c in sizes else 1
@@ -255,7 +266,7 @@ def _dictionaries(dataset: DataFrame, names: Sequence[str], kind: str) -> dict[s
     """Fit dictionaries for several columns, with one shuffle per type of column."""
     state: dict[str, dict] = {}
     for group in stats.by_type(dataset, names).values():
-        state |= _coded_counts(materialise(stats.value_counts(dataset, group), "values"), group, kind)
+        state |= _coded_counts(materialise(stats.value_counts(dataset, group), "values", compression="zstd"), group, kind)
     return {c: state[c] for c in names}
 
 
@@ -310,36 +321,63 @@ class FrequencyEncode(Estimator, _Columns, _Spread, DefaultParamsReadable, Defau
         return DictionaryModel.of(self.columns(), state)
 
 
+def checked(df: DataFrame, c: str, code: Column) -> Column:
+    """``code``, or a failure where a value has none."""
+    text = as_text(df, c)
+    return F.when(text.isNull() | code.isNotNull(), code).otherwise(unknown_category(c, text))
+
+
+def replaced(df: DataFrame, c: str, code: str, strict: bool) -> DataFrame:
+    """The column by its code, at once: the value is moved no further."""
+    return df.withColumn(c, checked(df, c, F.col(code)) if strict else F.col(code)).drop(code)
+
+
 class DictionaryModel(_Fitted, MLReadable, MLWritable):
     """Replaces values by a fitted code, by broadcast or by a skew-proof join."""
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        """Small dictionaries are broadcast. Large ones are joined: one by one on a streaming
-        table, else all by a single join, after the frequent values of the table, known or
-        not, are answered by broadcast."""
+        """Small dictionaries are broadcast. Large ones are joined after the frequent values of
+        the table, known or not, are answered by broadcast: one by one on a streaming table
+        or where that moves less, else all by a single join."""
         state = self.fitted()
         spark = dataset.sparkSession
         order, spread = dataset.columns, state["spread_by"] or None
         out = {c: f"_coded_{i}" for i, c in enumerate(state["columns"])}
+        strict = state["unknown"] == "error"
         large, hot = {}, {}
         for c, fitted in state["columns"].items():
             if "table" in fitted:
-                large[c] = spark.read.schema(f"{_ENTRY}, n long").parquet(fitted["table"]).select("value", "code")
+                large[c] = _dictionary(spark, fitted).select("value", "code")
                 hot[c] = _entries(spark, fitted["hot"])
+        done: set[str] = set()
         if dataset.isStreaming or len(large) == 1:
             for c, table in large.items():
                 answered = hot_entries(dataset, {c: table}, {c: hot[c]}).select("value", "code")
                 dataset = lookup(dataset, c, table, out[c], hot=answered, spread_by=spread)
         elif large:
-            dataset = lookup_many(dataset, large, out, hot_entries(dataset, large, hot), spread)
+            sizes = {c: state["columns"][c].get("bytes") for c in large}
+            near, singly = ways(dataset, sizes)
+            for c in near:
+                dataset = replaced(lookup(dataset, c, large[c], out[c], small=True), c, out[c], strict)
+            rest = {c: t for c, t in large.items() if c not in near}
+            if singly:
+                found = hot_entries(dataset, rest, hot)
+                for c in sorted(rest, key=lambda c: -sizes[c]):
+                    answered = found.where(F.col("column") == list(rest).index(c)).select("value", "code")
+                    dataset = lookup(dataset, c, rest[c], out[c], hot=answered, spread_by=spread, strict=strict)
+                    dataset = dataset.withColumn(c, F.col(out[c])).drop(out[c])
+                done = set(large)
+            else:
+                done = set(near)
+                if rest:
+                    dataset = lookup_many(dataset, rest, out, hot_entries(dataset, rest, hot), spread)
         coded = {}
         for c, fitted in state["columns"].items():
+            if c in done:
+                continue
             if c not in large:
                 dataset = lookup(dataset, c, _entries(spark, fitted), out[c], small=True)
-            coded[c] = code = F.col(out[c])
-            if state["unknown"] == "error":
-                failure = F.raise_error(F.concat(F.lit(f"column {c}: unknown category: "), as_text(dataset, c)))
-                coded[c] = F.when(as_text(dataset, c).isNull() | code.isNotNull(), code).otherwise(failure)
+            coded[c] = checked(dataset, c, F.col(out[c])) if strict else F.col(out[c])
         return dataset.select(*[coded[n].alias(n) if n in coded else quoted(n) for n in order])
 
     def write(self) -> MLWriter:
@@ -361,7 +399,7 @@ class _DictionaryWriter(MLWriter):
         DefaultParamsWriter.saveMetadata(self.instance, path, self.sparkSession)
         for i, fitted in enumerate(self.instance.fitted()["columns"].values()):
             if "table" in fitted:
-                self.sparkSession.read.parquet(fitted["table"]).write.parquet(f"{path}/dictionary-{i}")
+                _dictionary(self.sparkSession, fitted).write.parquet(f"{path}/dictionary-{i}")
 
 
 class _DictionaryReader(MLReader):
@@ -377,6 +415,7 @@ class _DictionaryReader(MLReader):
         for i, fitted in enumerate(model.fitted()["columns"].values()):
             if "table" in fitted:
                 fitted["table"] = f"{path}/dictionary-{i}"
+                fitted.pop("before", None)
         return model
 
 

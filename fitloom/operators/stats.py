@@ -4,16 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialise
+from ..session import materialise, write_table
 from .columns import present, quoted
 
 # A running total over at most this many rows may use one ordinary window.
 WINDOW_ROWS = 1_000_000
+# monotonically_increasing_id has the partition above these bits, the row below them.
+SLICE_BITS = 33
 
 
 def by_type(df: DataFrame, names: Sequence[str]) -> dict[str, list[str]]:
@@ -97,6 +100,25 @@ def running_total(df: DataFrame, order_by: Sequence[str], amount: str, out: str,
     )
 
 
+def written_in_order(df: DataFrame, order_by: Sequence[str], columns: Sequence[Column], name: str) -> tuple[str, list[int]]:
+    """Write ``columns`` of rows that are unique in ``order_by`` in that order, moved once.
+
+    Gives the path and the rows before each slice: a row's ``at`` holds its slice above
+    ``SLICE_BITS`` and its place in it below, so :func:`place` numbers the rows from 0.
+    """
+    ordered = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by).withColumn("at", F.monotonically_increasing_id())
+    path = write_table(ordered.select(*columns, "at"), name, compression="zstd")
+    slices = df.sparkSession.read.parquet(path).groupBy(F.shiftright("at", SLICE_BITS).alias("slice")).count()
+    held = {r["slice"]: r["count"] for r in slices.collect()}
+    return path, list(accumulate((held.get(i, 0) for i in range(max(held, default=-1))), initial=0))
+
+
+def place(at: Column, before: Sequence[int]) -> Column:
+    """The number of a row of :func:`written_in_order`."""
+    offset = F.element_at(F.array(*[F.lit(b).cast("long") for b in before]), (F.shiftright(at, SLICE_BITS) + 1).cast("int"))
+    return offset + at.bitwiseAND(F.lit((1 << SLICE_BITS) - 1))
+
+
 def _running(df: DataFrame, order_by: list[str], amount: str, out: str, within: list[str], rows: int) -> DataFrame:
     if rows > WINDOW_ROWS:
         return running_total(df, order_by, amount, out, within)

@@ -53,20 +53,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return "/".join([shared_dir(spark), "fitloom", f"{name}-{uuid.uuid4().hex}"])
 
 
-def write_table(df: DataFrame, name: str) -> str:
+def write_table(df: DataFrame, name: str, **options: str) -> str:
     """Write ``df`` as an intermediate table and return its path."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return path
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     The written table survives lost executors, ends the lineage, and gives the
     optimizer real sizes, so a later join can decide on a broadcast by itself.
     """
-    return df.sparkSession.read.schema(df.schema).parquet(write_table(df, name))
+    return df.sparkSession.read.schema(df.schema).parquet(write_table(df, name, **options))
 
 
 def clean_up(spark: SparkSession) -> None:

@@ -104,3 +104,69 @@ def test_streams_are_looked_up_one_by_one(spark, small_limits, tmp_path):
     run.awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out")).drop("b")
     assert got.count() == 60 and bag(got) == bag(model.transform(rows(spark, 60)).drop("b"))
+
+
+@pytest.fixture
+def singly(small_limits):
+    """Tables and dictionaries of over a kilobyte are too large to be broadcast."""
+    small_limits.setattr(combine, "BROADCAST_BYTES", 1_000)
+    return small_limits
+
+
+def moved(df):
+    df.write.format("noop").mode("overwrite").save()
+    text = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    return [re.sub(r"#\d+L?", "", m) for m in re.findall(r"Exchange hashpartitioning\(([^)]*)", text)]
+
+
+def many(spark):
+    """Two columns of many values, one of few."""
+    i = F.col("id")
+    return spark.range(2_000).select("id", F.concat(F.lit("a"), i % 900).alias("a"), (i % 700 / 4).alias("b"), F.concat(F.lit("c"), i % 20).alias("c"))
+
+
+@pytest.mark.parametrize("spread", [[], ["id"]])
+@pytest.mark.parametrize("hot_rows", [1, 5_000])
+def test_narrow_rows_meet_large_dictionaries_one_by_one(spark, singly, spread, hot_rows):
+    singly.setattr(combine, "HOT_ROWS", hot_rows)
+    model = encode.FrequencyEncode(inputCols=["a", "b", "c"], spreadBy=spread).fit(many(spark).where("id % 3 > 0"))
+    table = many(spark).withColumn("a", F.when(F.col("id") % 4 == 0, "never").when(F.col("id") % 4 > 1, F.col("a")))
+    table = table.union(table.where("id < 40"))
+    got = model.transform(table)
+    assert got.dtypes == [("id", "bigint"), *[(c, "double") for c in "abc"]]
+    assert bag(got) == bag(one_by_one(model, table))
+    ways = moved(got)
+    # the dictionary of few values is broadcast; each of the others and the whole row meet by value
+    assert not any("_name" in w for w in ways) and sum("_key" in w for w in ways) == 2
+
+
+@pytest.mark.parametrize("hot_rows", [1, 5_000])
+def test_places_and_unknown_values_one_by_one(spark, singly, hot_rows):
+    singly.setattr(combine, "HOT_ROWS", hot_rows)
+    model = encode.OrdinalEncode(inputCols=["a", "b", "c"], spreadBy=["id"]).fit(many(spark))
+    texts = {c: sorted({r[0] for r in many(spark).select(c).collect()}) for c in "abc"}
+    want = sorted((r.id, *[float(texts[c].index(r[c])) for c in "abc"]) for r in many(spark).collect())
+    assert sorted(tuple(r) for r in model.transform(many(spark)).collect()) == want
+    for c in "ac":
+        with pytest.raises(Exception, match=f"column {c}: unknown category: new"):
+            model.transform(many(spark).withColumn(c, F.when(F.col("id") > 2, F.lit("new")).otherwise(F.col(c)))).collect()
+        gone = model.transform(many(spark).withColumn(c, F.when(F.col("id") > 2, F.col(c))))
+        assert gone.where(f"{c} is null").count() == 3
+
+
+def test_places_of_a_dictionary_survive_saving(spark, singly, tmp_path):
+    model = encode.OrdinalEncode(inputCols=["a", "b"], spreadBy=["id"]).fit(many(spark))
+    assert all("before" in d for d in model.fitted()["columns"].values())
+    model.write().overwrite().save(str(tmp_path / "model"))
+    again = encode.DictionaryModel.load(str(tmp_path / "model"))
+    assert bag(again.transform(many(spark))) == bag(model.transform(many(spark)))
+
+
+def test_each_value_of_a_dictionary_moves_once_into_its_order(spark, tmp_path):
+    from fitloom.operators import stats
+
+    rows = spark.range(5_000).select((F.col("id") * 7919 % 5_000).alias("value")).repartition(9)
+    path, before = stats.written_in_order(rows, ["value"], [F.col("value")], "places")
+    got = spark.read.parquet(path).select("value", stats.place(F.col("at"), before).alias("n")).collect()
+    assert len(got) == 5_000 and all(r.value == r.n for r in got)
+    assert stats.written_in_order(rows.where("false"), ["value"], [F.col("value")], "places")[1] == [0]
