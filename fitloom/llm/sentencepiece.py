@@ -4,8 +4,9 @@ The model file is of the BPE kind: a segmentation is the library's if and only i
 neighbouring pieces, encoded by merges alone, come out as these two pieces. So the lattice of
 pieces has one path, and its weights are 0 for a fitting pair and minus infinity for others.
 
-Positions that no piece crosses cut a text into short stretches, whose encodings are kept. A
-giant text is split into chunks anywhere: a chunk's matrix says which state at its end (the
+Positions that no piece crosses cut a text into short stretches, whose encodings are kept.
+Stretches met for the first time go over the lattice together, one step for all of them at a
+time: pieces come from a trie, fitting pairs from a table, both in arrays. A giant text is split into chunks anywhere: a chunk's matrix says which state at its end (the
 piece over the border, and how far it reaches) each state at its start leads to. Matrices
 combine associatively by max-plus products; the states on the one finite path are then known
 at every border, and each chunk is traced back on its own.
@@ -13,12 +14,10 @@ at every border, and each chunk is traced back on its own.
 
 from __future__ import annotations
 
-import re
 import struct
 from array import array
 from collections.abc import Iterator
 from functools import cache
-from operator import concat
 
 import numpy as np
 import pyarrow as pa
@@ -29,13 +28,14 @@ from fitloom.session import materialise
 
 #: Characters of a chunk; longer texts are encoded by several tasks.
 CHUNK = 1 << 16
-#: Characters of a stretch's beginning whose path is kept.
-HEAD = 8
-#: Stretches, pairs and beginnings that a worker keeps; a memory bound, as workers live on
-#: when their task is done.
-KEPT_STRETCHES, KEPT_PAIRS, KEPT_HEADS = 160_000, 400_000, 100_000
-#: Rows whose ids are handed on together.
-ROWS = 500
+#: Stretches and pairs that a worker keeps; a memory bound, as workers live on when their
+#: task is done.
+KEPT_STRETCHES, KEPT_PAIRS = 160_000, 400_000
+#: Characters of the longest stretch that is kept, and of the longest run of joined characters
+#: that goes over the lattice with others.
+SHORT = 64
+#: Rows whose ids are handed on together, and the characters from which fewer rows are.
+ROWS, TOGETHER = 500, 1 << 20
 #: A chunk border is moved back up to so far to a position that no piece crosses.
 SEARCH = 512
 
@@ -71,6 +71,45 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
             at += size
 
 
+class Lookup:
+    """Whole numbers by keys from 0 on, open addressing in arrays, for many keys at once."""
+
+    def __init__(self, most: int) -> None:
+        bits = max(4, (2 * most).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.full(1 << bits, -1, np.int32)
+        self.size = 0
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * _MIX) >> self.shift).astype(np.int64)
+
+    def add(self, keys: np.ndarray, values: np.ndarray) -> None:
+        """Takes in distinct keys that it doesn't hold, ``most`` in all."""
+        self.size += len(keys)
+        slots = self._slots(keys)
+        while len(keys):
+            _, first = np.unique(slots, return_index=True)
+            first = first[self.keys[slots[first]] < 0]
+            self.keys[slots[first]], self.values[slots[first]] = keys[first], values[first]
+            rest = np.ones(len(keys), bool)
+            rest[first] = False
+            keys, values, slots = keys[rest], values[rest], (slots[rest] + 1) & self.mask
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        """The number of every key, -1 for those it doesn't hold."""
+        slots = self._slots(keys)
+        met = self.keys[slots]
+        out = np.where(met == keys, self.values[slots], -1)
+        open_ = np.flatnonzero((met != keys) & (met >= 0))
+        while len(open_):
+            slots[open_] = (slots[open_] + 1) & self.mask
+            met = self.keys[slots[open_]]
+            hit = met == keys[open_]
+            out[open_[hit]] = self.values[slots[open_[hit]]]
+            open_ = open_[~hit & (met >= 0)]
+        return out
+
+
 class Model:
     """Pieces and scores of a model file, its lattice and its encodings."""
 
@@ -104,7 +143,8 @@ class Model:
         if any(SPACE in p.lstrip(SPACE) for p in self.ids) or len(self.bytes) < 256:
             raise ValueError("pieces cross word starts, or bytes are missing")
         own = "".join(c for c in "\n\r\t" if c not in alphabet)
-        self._stretch = re.compile(f"{SPACE}*[^{SPACE}{own}]+|{SPACE}+" + (f"|[{own}]" if own else ""))
+        self._alone = np.zeros(256, bool)
+        self._alone[list(own.encode())] = True
         def short(tail: str) -> set[int]:
             return {1} | {n for n in (2, 3) if tail[-n:] in self.ids and n <= len(tail)}
 
@@ -119,11 +159,33 @@ class Model:
         self._joined = {p[i : i + 2] for p in self.ids for i in range(len(p) - 1)}
         #: One object for each piece, so that what is kept shares them.
         self._same = {p: p for p in self.ids}
-        self._heads: dict[str, list[str | None]] = {}
-        self._kept: dict[str, bytes] = {}
-        self._older: dict[str, bytes] = {}
+        self._kept: dict[bytes, bytes] = {}
+        self._older: dict[bytes, bytes] = {}
         self._pairs: dict[tuple[str, str], bool] = {}
         self.kept = KEPT_STRETCHES
+        self._spelled = pa.array(self.spelled, pa.binary())
+        self._arrays()
+
+    def _arrays(self) -> None:
+        """What the lattice needs of many stretches: a character's piece, or its code point
+        behind all pieces; the trie of the pieces; joined characters; known pairs."""
+        n = len(self.pieces)
+        self._single = np.arange(n, n + 0x110000, dtype=np.int32)
+        nodes, keys = {"": 0}, []
+        for p in self.ids:
+            if len(p) == 1:
+                self._single[ord(p)] = self.ids[p]
+            for i in range(1, len(p) + 1):
+                if p[:i] not in nodes:
+                    nodes[p[:i]] = len(nodes)
+                    keys.append(nodes[p[: i - 1]] << 21 | ord(p[i - 1]))
+        self._trie = Lookup(len(keys))
+        self._trie.add(np.array(keys, np.int64), np.arange(1, len(nodes), dtype=np.int32))
+        self._at_node = np.array([self.ids.get(p, -1) for p in nodes], np.int32)
+        joined = np.array([ord(a) << 21 | ord(b) for a, b in self._joined], np.int64)
+        self._joins = Lookup(len(joined))
+        self._joins.add(joined, np.ones(len(joined), np.int32))
+        self._fitting = Lookup(KEPT_PAIRS)
 
     # pieces and pairs
 
@@ -172,18 +234,6 @@ class Model:
             last.append(found)
         return last
 
-    def _last(self, stretch: str) -> list[str | None]:
-        """The last pieces of a stretch; those of its beginning are kept, as many share it."""
-        if len(stretch) <= HEAD:
-            return self._onward(stretch, 0, [""], len(stretch))
-        head = self._heads.get(stretch[:HEAD])
-        if head is None:
-            if len(self._heads) >= min(KEPT_HEADS, self.kept):
-                self._heads.clear()
-            head = [p and self._same.get(p, p) for p in self._onward(stretch, 0, [""], HEAD)]
-            self._heads[stretch[:HEAD]] = head
-        return self._onward(stretch, 0, head, len(stretch))
-
     def trace(self, last: list[str | None], at: int) -> list[str]:
         """The pieces of the path that ends ``at`` characters after its start."""
         pieces: list[str] = []
@@ -207,35 +257,161 @@ class Model:
 
     def prepared(self, text: str) -> str:
         """Spaces as word starts; one that the text itself contains stands as a character of its own."""
-        marked = text.replace(SPACE, _OWN).replace(" ", SPACE)
+        marked = self._marked(text)
         return SPACE + marked if self.prefix and text else marked
 
-    def stretches(self, prepared: str) -> list[str]:
-        return self._stretch.findall(prepared)
-
-    def encode_stretch(self, stretch: str) -> bytes:
-        """Packed ids of a stretch. What was asked since the last generation but one is kept."""
-        found = self._kept.get(stretch)
-        if found is None:
-            found = self._older.get(stretch)
-            if found is None:
-                joined = self._joined
-                if not joined.issuperset(map(concat, stretch, stretch[1:])):
-                    cuts = [i for i in range(1, len(stretch)) if stretch[i - 1 : i + 1] not in joined]
-                    found = b"".join([self.encode_stretch(stretch[a:b]) for a, b in zip([0, *cuts], [*cuts, len(stretch)], strict=True)])
-                else:
-                    found = self.numbers(self.trace(self._last(stretch), len(stretch)))
-            if len(stretch) < 64:
-                if len(self._kept) >= self.kept:
-                    self._older, self._kept = self._kept, {}
-                self._kept[stretch] = found
+    def _fit(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """:meth:`fits` for arrays of numbers; -1 is no left piece. A number from the count of
+        pieces on is a character without one."""
+        keys = (left.astype(np.int64) + 1) << 32 | right
+        out = self._fitting.get(keys)
+        new = np.flatnonzero(out < 0)
+        if len(new):
+            fresh, back = np.unique(keys[new], return_inverse=True)
+            n = len(self.pieces)
+            told = lambda i: self.pieces[i] if i < n else chr(i - n)
+            known = np.empty(len(fresh), np.int32)
+            for k, key in enumerate(fresh.tolist()):
+                a, b = told((key >> 32) - 1) if key >> 32 else "", told(key & 0xFFFFFFFF)
+                known[k] = self.merged(a + b) == ([a, b] if a else [b])
+            if len(fresh) <= KEPT_PAIRS:
+                if self._fitting.size + len(fresh) > KEPT_PAIRS:
+                    self._fitting = Lookup(KEPT_PAIRS)
+                self._fitting.add(fresh, known)
+            out[new] = known[back]
+        return out == 1
+
+    def _together(self, stretches: list[bytes]) -> list[bytes]:
+        """Packed ids of every stretch, by one walk over the lattice of all of them."""
+        raw = b"".join(stretches)
+        text = self._marked(raw.decode("utf-8", "surrogatepass"))
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        chars = np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)
+        n, stops = len(codes), chars[np.cumsum([len(s) for s in stretches]) - 1]
+        first = np.ones(n, bool)
+        first[1:] = self._joins.get(codes[:-1] << 21 | codes[1:]) < 0
+        first[stops[:-1]] = True
+        begins = np.flatnonzero(first).astype(np.int32)
+        ends = np.append(begins[1:], np.int32(n))
+        begin, end = np.repeat(begins, ends - begins), np.repeat(ends, ends - begins)
+
+        # pieces by where they start, their sizes and numbers
+        at = np.flatnonzero(end - begin <= SHORT).astype(np.int32)
+        room, node, size = end[at] - at, self._trie.get(codes[at]), 1
+        starts, sizes, numbers = [at], [np.ones(len(at), np.uint8)], [self._single[codes[at]]]
+        while True:
+            on = (node >= 0) & (room > size)
+            at, room, node, size = at[on], room[on], node[on], size + 1
+            if not len(at):
+                break
+            node = self._trie.get(node.astype(np.int64) << 21 | codes[at + (size - 1)])
+            number = self._at_node[node]
+            found = np.flatnonzero((node >= 0) & (number >= 0))
+            starts.append(at[found])
+            sizes.append(np.full(len(found), size, np.uint8))
+            numbers.append(number[found])
+        start, wide, number = np.concatenate(starts), np.concatenate(sizes), np.concatenate(numbers)
+
+        # the piece of the path that ends at every position, by distance from the beginning: of
+        # pieces that end there the longest is tried first, and at most one fits
+        last, width = np.full(n + 1, -1, np.int32), np.zeros(n + 1, np.uint8)
+        step = ((start + wide - begin[start]) * (size + 1) + size - wide).astype(np.int16)
+        order = np.argsort(step, kind="stable")
+        start, wide, number = start[order], wide[order], number[order]
+        groups = np.cumsum(np.bincount(step, minlength=1)).tolist()
+        for lo, hi in zip([0, *groups], groups, strict=False):
+            if lo == hi:
+                continue
+            w = int(wide[lo])
+            stop = start[lo:hi] + w
+            open_ = np.flatnonzero(last[stop] < 0)
+            a, stop, own = start[lo:hi][open_], stop[open_], number[lo:hi][open_]
+            head = a == begin[a]
+            left = np.where(head, -1, last[a])
+            fits = self._fit(left, own) & (head | (left >= 0))
+            last[stop[fits]], width[stop[fits]] = own[fits], w
+
+        path = np.zeros(n + 1, bool)
+        short = ends - begins <= SHORT
+        for a, b in zip(begins[~short].tolist(), ends[~short].tolist(), strict=True):
+            for p in self.trace(self.path(text[a:b], 0, "", b - a), b - a):
+                a += len(p)
+                path[a], last[a] = True, self.ids.get(p, len(self.pieces) + ord(p[0]))
+        at, begin = ends[short], begins[short]
+        if (last[at] < 0).any():
+            raise ValueError("no path through the lattice")
+        while len(at):
+            path[at] = True
+            at = at - width[at]
+            on = at > begin
+            at, begin = at[on], begin[on]
+
+        ids, bounds = last[path], np.concatenate(([0], np.cumsum(path)[stops]))
+        packed, cuts = ids.tobytes(), (4 * bounds).tolist()
+        out = [packed[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        odd = np.unique(np.searchsorted(bounds, np.flatnonzero(ids >= len(self.pieces)), "right") - 1)
+        for i in odd.tolist():
+            own = ids[bounds[i] : bounds[i + 1]].tolist()
+            out[i] = self.numbers([self.pieces[x] if x < len(self.pieces) else chr(x - len(self.pieces)) for x in own])
+        return out
+
+    def _marked(self, text: str) -> str:
+        return text.replace(SPACE, _OWN).replace(" ", SPACE)
+
+    def _ids(self, stretches: list[bytes]) -> list[bytes]:
+        """Packed ids of distinct stretches. What was asked since the last generation but one is kept."""
+        kept, older = self._kept, self._older
+        found = list(map(kept.get, stretches))
+        for i in [i for i, f in enumerate(found) if f is None]:
+            if (old := older.get(stretches[i])) is not None:
+                found[i] = kept[stretches[i]] = old
+        fresh = [i for i, f in enumerate(found) if f is None]
+        if fresh:
+            for i, new in zip(fresh, self._together([stretches[i] for i in fresh]), strict=True):
+                found[i] = new
+                if len(stretches[i]) <= SHORT:
+                    kept[stretches[i]] = new
+        if len(kept) >= self.kept:
+            self._older, self._kept = kept, {}
         return found
 
+    def encode_rows(self, rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows, texts in UTF-8 with a space before them if the model has one; where
+        those of every row begin, and the last end.
+
+        A stretch begins with a space behind another character; line ends are on their own.
+        """
+        raw = b"".join(rows)
+        if not raw:
+            return np.empty(0, np.int32), np.zeros(len(rows) + 1, np.int64)
+        data, row_at = np.frombuffer(raw, np.uint8), np.cumsum([0, *map(len, rows)])
+        space, alone = data == 32, self._alone[data]
+        first = np.ones(len(data) + 1, bool)
+        first[1:-1] = space[1:] & ~space[:-1] | alone[1:] | alone[:-1]
+        first[row_at] = True
+        places = np.flatnonzero(first)
+        parts = pa.Array.from_buffers(pa.binary(), len(places) - 1, [None, pa.py_buffer(places.astype(np.int32)), pa.py_buffer(raw)])
+        parts = parts.dictionary_encode()
+        found, which = self._ids(parts.dictionary.to_pylist()), parts.indices.to_numpy()
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        begins, counts = (np.cumsum(sizes) - sizes)[which], sizes[which]
+        stops = np.concatenate(([0], np.cumsum(counts)))
+        ids = np.frombuffer(b"".join(found), np.int32)[np.repeat(begins - stops[:-1], counts) + np.arange(stops[-1])]
+        return ids, stops[np.searchsorted(places, row_at)]
+
+    def rows(self, texts: list[str]) -> list[bytes]:
+        return [(" " + t if self.prefix and t else t).encode("utf-8", "surrogatepass") for t in texts]
+
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of a whole text."""
-        kept, make = self._kept.get, self.encode_stretch
-        parts = [kept(s) or make(s) for s in self.stretches(self.prepared(text or ""))]
-        return np.frombuffer(b"".join(parts), np.int32)
+        return self.encode_rows(self.rows([text or ""]))[0]
+
+    def decodes(self, ids: np.ndarray, bounds: np.ndarray, rows: list[bytes]) -> list[bool]:
+        """Whether the ids between the bounds spell each row."""
+        spelled = self._spelled.take(pa.array(ids))
+        at = np.frombuffer(spelled.buffers()[1], np.int32, len(spelled) + 1)[bounds].tolist()
+        told = spelled.buffers()[2].to_pybytes() if len(ids) else b""
+        return [told[a:b] == row for a, b, row in zip(at, at[1:], rows, strict=False)]
 
     def decode(self, ids: np.ndarray) -> str:
         text = b"".join(map(self.spelled.__getitem__, ids.tolist())).decode("utf-8", "replace")
@@ -309,7 +485,8 @@ class Model:
     def traced(self, text: str, begin: int, end: int, entry: State, exit_: State) -> bytes:
         """Ids of the pieces after the entry state's piece up to the exit state's, inclusive."""
         if entry[2] == exit_[2] == -1:
-            return b"".join(map(self.encode_stretch, self.stretches(text[begin:end])))
+            raw = text[begin:end].replace(SPACE, " ").replace(_OWN, SPACE).encode("utf-8", "surrogatepass")
+            return self.encode_rows([raw])[0].tobytes()
         start, last = self._walk(text, begin, end, entry)
         return self.numbers(self.trace(last, end + exit_[1] - start))
 
@@ -317,6 +494,7 @@ class Model:
 #: Stands for a word-start mark of the text itself while it is encoded; never in a text, as
 #: Spark's strings are valid UTF-8.
 _OWN = "\udc81"
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 #: One character stands for itself, with a piece or as bytes.
 _ONE, _TWO = (1,), (2, 1)
@@ -360,14 +538,17 @@ def _whole(path: str, kept: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _keeping(path, kept)
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                part = batch.slice(at, ROWS)
-                values, exact = [], []
-                for value in part.column(1):
-                    text = value.as_py() or ""
-                    values.append(model.encode(text))
-                    exact.append(model.decode(values[-1]) == text)
-                yield pa.RecordBatch.from_arrays([part.column(0), _lists(values), pa.array(exact)], ["doc_id", "ids", "exact"])
+            texts, size, begun = [], 0, 0
+            for i, value in enumerate(batch.column(1), 1):
+                texts.append(value.as_py() or "")
+                size += len(texts[-1])
+                if i == batch.num_rows or len(texts) == ROWS or size >= TOGETHER:
+                    rows = model.rows(texts)
+                    ids, bounds = model.encode_rows(rows)
+                    exact = pa.array(model.decodes(ids, bounds, rows), pa.bool_())
+                    ids = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids))
+                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(begun, len(texts)), ids, exact], ["doc_id", "ids", "exact"])
+                    texts, size, begun = [], 0, i
 
     return run
 
@@ -456,7 +637,7 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     executors have; only a word-start mark in the text itself is spelled in bytes, so that
     every text decodes to itself again, which ``exact`` states. Null texts are empty, empty
     ones have no ids. Texts above ``CHUNK`` characters are encoded chunk by chunk: what one
-    task holds of them are matrices, until the ids of a text meet in its row. A worker keeps up to
+    task holds of them are matrices, until the ids of a text meet in its row. A worker keeps about
     twice ``kept`` encoded stretches, and lives on: fewer take time, not results.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
