@@ -637,8 +637,9 @@ def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
     executors have; only a word-start mark in the text itself is spelled in bytes, so that
     every text decodes to itself again, which ``exact`` states. Null texts are empty, empty
     ones have no ids. Texts above ``CHUNK`` characters are encoded chunk by chunk: what one
-    task holds of them are matrices, until the ids of a text meet in its row. A worker keeps about
-    twice ``kept`` encoded stretches, and lives on: fewer take time, not results.
+    task holds of them are matrices, until the ids of a text meet in its row. A worker keeps up to
+    twice ``kept`` encoded stretches and those of rows encoded together, and lives on: fewer
+    take time, not results.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     giant = F.coalesce(F.char_length("text") > CHUNK, F.lit(False))
